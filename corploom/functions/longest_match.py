@@ -63,19 +63,21 @@ class LongestMatch:
             at += len(piece)
         return found
 
+    def ids_and_ends(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where each text starts and ends among them."""
+        raw, starts = _bytes_and_offsets(texts)
+        if self.longest > 1:
+            return self._by_segment(raw, starts)
+        ids = self.single[raw]
+        if len(ids) and ids.min() < 0:
+            self.match(bytes(raw[ids < 0][:1]))
+        return ids, starts
+
     def __call__(self, texts: pa.Array) -> pa.Array:
         """list<int32> of token ids for each text; null stays null."""
-        raw, starts = _bytes_and_offsets(texts)
-        if self.longest == 1:
-            values, row_ends = self.single[raw], starts
-            if (values < 0).any():
-                self.match(bytes(raw[values < 0][:1]))
-        else:
-            values, row_ends = self._by_segment(raw, starts)
+        ids, ends = self.ids_and_ends(texts)
         mask = texts.is_null() if texts.null_count else None
-        return pa.ListArray.from_arrays(
-            pa.array(row_ends, pa.int32()), pa.array(values, pa.int32()), mask=mask
-        )
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=mask)
 
     def _by_segment(self, raw: np.ndarray, starts: np.ndarray):
         edge = np.zeros(len(raw) + 1, bool)

@@ -12,30 +12,16 @@ from pyspark.sql import functions as F
 
 from corploom.functions.arithmetic import div
 from corploom.functions.keys import shuffle_key
+from corploom.functions.packed_ids import line_bytes
 from corploom.operators.running_totals import default_bits, hash_bucket, with_running_totals
 from corploom.staging import stage
 
 MIN_ROWS = 4096
 MIN_SUBCHUNK = 1024
 LENGTH_SEED = 102
-# Fixed value: bytes of a JSON line with three empty lists,
-# {"input_ids":[],"token_type_ids":[],"attention_mask":[]} and the line end.
-_EMPTY_LINE = 57
 _BROADCAST_GROUPS = 100_000
 
 
-def line_bytes(ids: str = "input_ids", n_real: str | None = None) -> Column:
-    """Byte length of the row as a JSON line of ids, token types and mask, without making it.
-
-    `n_real` names the count of unpadded ids in packed rows.
-    """
-    size = F.size(ids)
-    types = F.col(n_real) if n_real else size
-    digits = F.octet_length(F.array_join(F.col(ids).cast("array<string>"), ","))
-    flags = F.greatest(2 * size - 1, F.lit(0)) + F.greatest(2 * types - 1, F.lit(0))
-    return (digits + flags + _EMPTY_LINE).cast("bigint")
-
-
 def _partition_gcd(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     divisor = 0
     for batch in batches:
@@ -74,7 +60,7 @@ def rank_by_length(df: DataFrame, length: str = "len", position: str = "pos") ->
         {
             "_class": -F.shiftright(length, 12),
             "_falling": -F.col(length),
-            "_block": F.shiftright(position, 18),
+            "_block": F.shiftright(position, 22),
         }
     )
     levels = [["_class"], ["_falling"], ["_block"]]
@@ -82,6 +68,11 @@ def rank_by_length(df: DataFrame, length: str = "len", position: str = "pos") ->
     return ranked.drop("_class", "_falling", "_block")
 
 
+def stage_ranked(ranked: DataFrame) -> DataFrame:
+    """Stage with runs of neighbouring ranks in one file, so that groups combine before a shuffle."""
+    return stage(ranked.repartition(F.shiftright("rn", 12)), "by-length")
+
+
 def _divisors(number: int) -> list[int]:
     found, rest, prime = [1], number, 2
     while rest > 1:
@@ -213,7 +204,7 @@ def length_places(
     seed: int = LENGTH_SEED,
 ) -> DataFrame:
     """From `keys, pos, len` of each row its `group_id`, `sub_id` and new `pos`."""
-    ranked = stage(rank_by_length(measured).drop("pos"), "by-length")
+    ranked = stage_ranked(rank_by_length(measured).drop("pos"))
     plan = choose_groups(ranked, min_rows)
     parts = assign_subchunks(assign_groups(ranked, plan), plan, min_subchunk)
     return shuffle_subchunks(parts, keys, seed).select(*keys, "len", "group_id", "sub_id", "pos")

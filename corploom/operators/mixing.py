@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corploom.operators.lengths import length_places, line_bytes
+from corploom.functions.packed_ids import line_bytes
+from corploom.operators.lengths import length_places
 from corploom.operators.ordering import SHUFFLE_SEED, shuffle_rows
 from corploom.operators.rechunking import CHUNK_SIZE, SPLITS, rechunk, row_total
 

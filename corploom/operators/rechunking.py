@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corploom.functions.arithmetic import div
+from corploom.functions.packed_ids import ID_BYTES, id_count, pack_ids, unpack_ids
 from corploom.operators.running_totals import running_totals_by_position
 
 CHUNK_SIZE = 2048
 SPLITS = 30
 PAD_ID = 0
+_BROADCAST_SPLITS = 50_000
 
 
 def row_total(df: DataFrame) -> Column:
@@ -54,20 +56,26 @@ def rechunk(
 ) -> DataFrame:
     """Join the ids of consecutive rows and cut every `size` tokens, split by split.
 
-    Needs `pos` (dense) and `input_ids`; `n_tokens` and `start` (tokens before the row) are used
-    if the shuffle or concatenation already made them. The tail of each split is padded with id
-    0, and a split without tokens gives one row of padding. Returns `split_id, chunk_id, pos`
-    (place in the output), `n_real` (ids that are not padding) and `input_ids`.
+    Needs `pos` (dense) and packed `tokens`; `n_tokens` and `start` (tokens before the row) are
+    used if they are there. The tail of each split is padded with id 0, and a split without
+    tokens gives one row of padding. Returns `split_id, chunk_id, pos` (place in the output),
+    `n_real` (ids that are not padding) and `tokens`. For a table with an `input_ids` array in
+    place of `tokens`, arrays come back.
 
     Every row is cut where chunks end, and the pieces of a chunk, at most `size` tokens, meet by
     one hash exchange on the chunk: a long row or a hot source spreads over many chunks.
     """
+    if "tokens" not in df.columns:
+        packed = df.withColumn("tokens", pack_ids("input_ids")).drop("input_ids")
+        return with_ids(rechunk(packed, size, splits, rows))
     if "n_tokens" not in df.columns:
-        df = df.withColumn("n_tokens", F.size("input_ids"))
+        df = df.withColumn("n_tokens", id_count("tokens"))
     if "start" not in df.columns:
         df = running_totals_by_position(df, {"start": "n_tokens"})
     placed = with_splits(df, splits, "pos", rows)
-    layout = split_layout(placed, size)  # at most 2 * splits - 1 rows
+    layout = split_layout(placed, size)
+    if splits <= _BROADCAST_SPLITS:  # the layout has at most 2 * splits - 1 rows
+        layout = F.broadcast(layout)
 
     at = F.col("start") - F.col("split_start")
     first, last = div(at, size), div(at + F.col("n_tokens") - 1, size)
@@ -75,16 +83,18 @@ def rechunk(
     def piece(chunk: Column) -> Column:
         begin = F.greatest(at, chunk * size)
         end = F.least(at + F.col("n_tokens"), (chunk + 1) * size)
+        first_byte = ((begin - at) * ID_BYTES + 1).cast("int")
+        n_bytes = ((end - begin) * ID_BYTES).cast("int")
         return F.struct(
             chunk.alias("chunk_id"),
             begin.alias("at"),
-            F.slice("input_ids", (begin - at + 1).cast("int"), (end - begin).cast("int")).alias("ids"),
+            F.substring("tokens", first_byte, n_bytes).alias("tokens"),
         )
 
     # The first row of a split without tokens stands for its row of padding.
     stands_in = (F.col("split_tokens") == 0) & (F.col("pos") == F.col("split_pos"))
     pieces = (
-        placed.join(F.broadcast(layout), "split_id")
+        placed.join(layout, "split_id")
         .where((F.col("n_tokens") > 0) | stands_in)
         .select(
             "split_id",
@@ -95,26 +105,27 @@ def rechunk(
             "split_id",
             F.col("piece.chunk_id").alias("chunk_id"),
             (F.col("first_chunk") + F.col("piece.chunk_id")).alias("pos"),
-            F.struct("piece.at", "piece.ids").alias("part"),
+            F.col("piece.at").alias("at"),
+            F.col("piece.tokens").alias("tokens"),
         )
     )
-    in_order = F.sort_array(F.collect_list("part"))
-    chunks = (
-        pieces.groupBy("split_id", "chunk_id", "pos")
-        .agg(F.flatten(F.transform(in_order, lambda p: p["ids"])).alias("input_ids"))
-        .withColumn("n_real", F.size("input_ids"))
-    )
-    padding = F.array_repeat(F.lit(PAD_ID), size - F.col("n_real"))
-    full = F.col("n_real") == size
+    joined = F.expr("listagg(tokens) WITHIN GROUP (ORDER BY at)")
+    chunks = pieces.groupBy("split_id", "chunk_id", "pos").agg(joined.alias("tokens"))
+    pad = F.lit(PAD_ID.to_bytes(ID_BYTES, "little"))
     return chunks.select(
         "split_id",
         "chunk_id",
         "pos",
-        "n_real",
-        F.when(full, F.col("input_ids")).otherwise(F.concat("input_ids", padding)).alias("input_ids"),
+        id_count("tokens").alias("n_real"),
+        F.rpad("tokens", F.lit(size * ID_BYTES), pad).alias("tokens"),
     )
 
 
+def with_ids(df: DataFrame) -> DataFrame:
+    """Packed `tokens` turned into an `input_ids` array."""
+    return df.withColumn("input_ids", unpack_ids("tokens")).drop("tokens")
+
+
 def with_chunk_masks(df: DataFrame, pad_token_types: bool = False) -> DataFrame:
     """Masks of packed rows: attention 1 for real ids, 0 for padding.
 

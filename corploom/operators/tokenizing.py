@@ -10,29 +10,68 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corploom.functions.longest_match import LongestMatch, TokenBytes
+from corploom.functions.packed_ids import pack_ids, packed_array
 from corploom.sources.vocabulary import decoding_table, encoding_table
 
 Tokenizer = Callable[[Column], Column]
 
 
-def vocabulary_tokenizer(vocab: DataFrame) -> Tokenizer:
-    """Column function text -> array<int>, or array<string> -> array<array<int>> by `parts`."""
-    matcher = vocab.sparkSession.sparkContext.broadcast(LongestMatch(encoding_table(vocab)))
+class VocabularyTokenizer:
+    """Column functions for one vocabulary: text -> array<int>, and text -> packed ids.
 
-    @F.arrow_udf("array<int>")
-    def tokenize(texts: pa.Array) -> pa.Array:
-        return matcher.value(texts)
+    A list field gives array<array<int>> by `parts`, or the packed ids of all parts in order.
+    """
+
+    def __init__(self, vocab: DataFrame):
+        matcher = vocab.sparkSession.sparkContext.broadcast(LongestMatch(encoding_table(vocab)))
+
+        def inner(lists: pa.Array) -> tuple[pa.Array, pa.Array]:
+            first, last = lists.offsets[0].as_py(), lists.offsets[-1].as_py()
+            return lists.values.slice(first, last - first), pa.compute.subtract(lists.offsets, first)
+
+        def validity(values: pa.Array):
+            return values.is_valid().buffers()[1] if values.null_count else None
+
+        @F.arrow_udf(T.ArrayType(T.IntegerType()))
+        def tokenize(texts: pa.Array) -> pa.Array:
+            return matcher.value(texts)
+
+        @F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+        def tokenize_parts(lists: pa.Array) -> pa.Array:
+            texts, ends = inner(lists)
+            mask = lists.is_null() if lists.null_count else None
+            return pa.ListArray.from_arrays(ends, matcher.value(texts), mask=mask)
+
+        @F.arrow_udf(T.BinaryType())
+        def tokenize_packed(texts: pa.Array) -> pa.Array:
+            return packed_array(*matcher.value.ids_and_ends(texts), validity(texts))
+
+        @F.arrow_udf(T.BinaryType())
+        def tokenize_parts_packed(lists: pa.Array) -> pa.Array:
+            texts, ends = inner(lists)
+            ids, text_ends = matcher.value.ids_and_ends(texts)
+            return packed_array(ids, text_ends[ends.to_numpy()], validity(lists))
 
-    @F.arrow_udf("array<array<int>>")
-    def tokenize_parts(lists: pa.Array) -> pa.Array:
-        offsets = lists.offsets
-        first = offsets[0].as_py()
-        parts = matcher.value(lists.values.slice(first, offsets[-1].as_py() - first))
-        mask = lists.is_null() if lists.null_count else None
-        return pa.ListArray.from_arrays(pa.compute.subtract(offsets, first), parts, mask=mask)
+        self._tokenize, self.parts = tokenize, tokenize_parts
+        self._packed, self._packed_parts = tokenize_packed, tokenize_parts_packed
 
-    tokenize.parts = tokenize_parts
-    return tokenize
+    def __call__(self, text: Column) -> Column:
+        return self._tokenize(text)
+
+    def packed(self, text: Column, is_list: bool = False) -> Column:
+        return self._packed_parts(text) if is_list else self._packed(text)
+
+
+def is_list_field(df: DataFrame, key: str) -> bool:
+    return isinstance(df.schema[key].dataType, T.ArrayType)
+
+
+def packed_tokens(df: DataFrame, tokenizer: Tokenizer, key: str) -> Column:
+    """Packed ids of field `key`, the parts of a list field joined in order."""
+    field, is_list = F.col(key), is_list_field(df, key)
+    if isinstance(tokenizer, VocabularyTokenizer):
+        return tokenizer.packed(field, is_list)
+    return pack_ids(F.flatten(tokenizer(field)) if is_list else tokenizer(field))
 
 
 def tokenize_corpus(
@@ -50,16 +89,11 @@ def tokenize_corpus(
     if (vocab is None) == (fn is None):
         raise ValueError("give either vocab or fn")
     if vocab is not None:
-        tokenizer = vocabulary_tokenizer(vocab)
-        is_list = isinstance(df.schema[key].dataType, T.ArrayType)
-        fn = tokenizer.parts if is_list else tokenizer
+        fn = VocabularyTokenizer(vocab)
+        fn = fn.parts if is_list_field(df, key) else fn
     return df.withColumn(out, fn(F.col(key)))
 
 
-def with_token_count(df: DataFrame, ids: str = "input_ids", out: str = "n_tokens") -> DataFrame:
-    return df.withColumn(out, F.size(ids))
-
-
 def with_masks(df: DataFrame, ids: str = "input_ids") -> DataFrame:
     """`token_type_ids` of zeros and `attention_mask` of ones, as long as the ids."""
     size = F.size(ids)
@@ -71,11 +105,12 @@ def with_masks(df: DataFrame, ids: str = "input_ids") -> DataFrame:
     )
 
 
-def token_totals(df: DataFrame, ids: str = "input_ids") -> DataFrame:
-    """One row: how many rows and tokens."""
+def token_totals(df: DataFrame) -> DataFrame:
+    """One row: how many rows and tokens (`n_tokens` if there is one, else the ids are counted)."""
+    count = F.col("n_tokens") if "n_tokens" in df.columns else F.size("input_ids")
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(F.size(ids).cast("bigint")), F.lit(0).cast("bigint")).alias("n_tokens"),
+        F.coalesce(F.sum(count.cast("bigint")), F.lit(0).cast("bigint")).alias("n_tokens"),
     )
 
 

@@ -7,15 +7,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corploom.functions.keys import with_content_keys
+from corploom.functions.packed_ids import id_count, line_bytes
 from corploom.operators import mixing
-from corploom.operators.lengths import MIN_ROWS, MIN_SUBCHUNK, line_bytes
-from corploom.operators.rechunking import CHUNK_SIZE, SPLITS, rechunk, row_total
-from corploom.operators.tokenizing import Tokenizer, vocabulary_tokenizer, with_token_count
-from corploom.sinks.arrow_shards import export_rows, train_test, write_arrow_shards
+from corploom.operators.lengths import MIN_ROWS, MIN_SUBCHUNK
+from corploom.operators.ordering import write_order
+from corploom.operators.rechunking import CHUNK_SIZE, SPLITS, rechunk, row_total, with_ids
+from corploom.operators.tokenizing import Tokenizer, VocabularyTokenizer, packed_tokens
+from corploom.sinks.arrow_shards import write_arrow_shards
 from corploom.sinks.json_lines import write_json_lines
+from corploom.sinks.token_rows import export_rows, train_test
 from corploom.sinks.token_store import write_token_store
 from corploom.sources.datasets import keyed_rows
 from corploom.staging import stage
@@ -34,7 +36,7 @@ class Source:
 
 
 def prepare_source(source: Source, tokenizer: Tokenizer, partitions: int | None = None) -> DataFrame:
-    """`row_key, input_ids` of the rows with text; the parts of a list field are joined in order.
+    """`row_key, tokens` (packed ids) of the rows with text; the parts of a list field are joined in order.
 
     `partitions` spreads the texts by key before tokenizing, for files that do not split well
     (gzip, one large row group). Files that do split need no such shuffle.
@@ -47,12 +49,7 @@ def prepare_source(source: Source, tokenizer: Tokenizer, partitions: int | None
         rows = rows.select(given.cast("string").alias("row_key"), F.col(source.key))
     if partitions:
         rows = rows.repartition(partitions, "row_key")
-    field = F.col(source.key)
-    if isinstance(rows.schema[source.key].dataType, T.ArrayType):
-        ids = F.flatten(getattr(tokenizer, "parts", tokenizer)(field))
-    else:
-        ids = tokenizer(field)
-    return rows.select("row_key", ids.alias("input_ids"))
+    return rows.select("row_key", packed_tokens(rows, tokenizer, source.key).alias("tokens"))
 
 
 def tokenized_stage(
@@ -65,7 +62,7 @@ def tokenized_stage(
     by_name = {source.name: prepare_source(source, tokenizer, partitions) for source in sources}
     if len(by_name) != len(sources):
         raise ValueError("source names must be unique")
-    tokens = with_token_count(mixing.concat_sources(by_name))
+    tokens = mixing.concat_sources(by_name).withColumn("n_tokens", id_count("tokens"))
     return stage(tokens.withColumn("len", line_bytes()) if measure_lines else tokens, "tokenized")
 
 
@@ -79,7 +76,7 @@ def mix(
     min_rows: int = MIN_ROWS,
     min_subchunk: int = MIN_SUBCHUNK,
 ) -> DataFrame:
-    """Order (`pos`) for staged tokens, then rows of `chunk_size` if `force_rechunk`.
+    """Order (`pos`) for staged tokens, then rows of `chunk_size` if `force_rechunk`; ids stay packed.
 
     `inverse_shuffle` with mode shuffle cuts first and shuffles the chunks. Length distribution
     never rechunks.
@@ -99,14 +96,19 @@ def pack(
     vocab: DataFrame | None = None,
     fn: Tokenizer | None = None,
     partitions: int | None = None,
+    packed: bool = False,
     **options,
 ) -> dict[str, DataFrame]:
-    """Training rows of all sources as `{"train": ..., "test": ...}`; see `mix` for the options."""
+    """Training rows of all sources as `{"train": ..., "test": ...}`; see `mix` for the options.
+
+    Ids come as `input_ids` arrays, or stay in packed `tokens`, which `export` writes faster.
+    """
     if (vocab is None) == (fn is None):
         raise ValueError("give either vocab or fn")
-    tokenizer = fn if fn is not None else vocabulary_tokenizer(vocab)
+    tokenizer = fn if fn is not None else VocabularyTokenizer(vocab)
     by_length = options.get("mode") == "dist_by_length"
-    return train_test(mix(tokenized_stage(sources, tokenizer, partitions, by_length), **options))
+    rows = mix(tokenized_stage(sources, tokenizer, partitions, by_length), **options)
+    return train_test(rows if packed else with_ids(rows))
 
 
 def export(df: DataFrame, fmt: str, path: str, **options) -> DataFrame | None:
@@ -114,8 +116,7 @@ def export(df: DataFrame, fmt: str, path: str, **options) -> DataFrame | None:
     if fmt == "json":
         return write_json_lines(export_rows(df), path)
     if fmt == "parquet":
-        rows = export_rows(df).repartitionByRange("pos").sortWithinPartitions("pos")
-        return rows.write.mode("overwrite").parquet(path)
+        return write_order(export_rows(df), "pos").write.mode("overwrite").parquet(path)
     if fmt == "arrow":
         return write_arrow_shards(df, path, **options)
     if fmt == "store":

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.operators.lengths import line_bytes
-from corploom.operators.rechunking import with_chunk_masks
-from corploom.operators.tokenizing import with_masks
-from corploom.sinks.shards import SHARD_BYTES, AtomicFile, each_shard, in_shards, with_shards
+from corploom.functions.packed_ids import as_lists, line_bytes
+from corploom.sinks.shards import (
+    SHARD_BYTES,
+    AtomicFile,
+    each_shard,
+    in_shards,
+    open_folder,
+    with_shards,
+)
+from corploom.sinks.token_rows import packed_rows, train_test
+from corploom.staging import stage
 
 # Columns and types of a shard file.
 SHARD_SCHEMA = pa.schema(
@@ -22,16 +32,30 @@ SHARD_SCHEMA = pa.schema(
 MANIFEST = "split string, shard bigint, file string, n_rows bigint, n_bytes bigint"
 
 
+def _flags(sizes: np.ndarray, ones: np.ndarray) -> pa.Array:
+    """list<int8> rows of `sizes` with that many leading ones, zeros after."""
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    place = np.arange(ends[-1]) - np.repeat(ends[:-1], sizes)
+    values = (place < np.repeat(ones, sizes)).astype(np.int8)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
 class _ShardFile:
-    def __init__(self, root: str, split: str, shard: int):
+    def __init__(self, root: str, split: str, shard: int, pad_token_types: bool):
         self.split, self.shard, self.rows = split, shard, 0
+        self.pad_token_types = pad_token_types
         self.name = f"data-{shard:05d}.arrow"
         self.file = AtomicFile(f"{root}/{split}/{self.name}")
         self.writer = pa.ipc.new_stream(self.file.stream, SHARD_SCHEMA)
 
     def add(self, run: pa.RecordBatch):
+        ids = as_lists(run.column("tokens"))
+        real = run.column("n_real").to_numpy()
+        sizes = np.diff(ids.offsets.to_numpy())
+        types = _flags(sizes if self.pad_token_types else real, np.zeros_like(real))
+        batch = pa.RecordBatch.from_arrays([ids, types, _flags(sizes, real)], schema=SHARD_SCHEMA)
+        self.writer.write_batch(batch)
         self.rows += run.num_rows
-        self.writer.write_batch(run.select(SHARD_SCHEMA.names).cast(SHARD_SCHEMA))
 
     def finish(self) -> pa.RecordBatch:
         self.writer.close()
@@ -45,68 +69,66 @@ class _ShardFile:
         return pa.record_batch(report)
 
 
-def train_test(df: DataFrame, position: str = "pos") -> dict[str, DataFrame]:
-    """Train has all rows; test is the first row, which train keeps."""
-    return {"train": df, "test": df.orderBy(position).limit(1)}
-
-
-def export_rows(df: DataFrame) -> DataFrame:
-    """The three export columns, derived for packed (`n_real`) and for plain token rows."""
-    if "attention_mask" in df.columns:
-        return df
-    return with_chunk_masks(df) if "n_real" in df.columns else with_masks(df)
-
-
 def write_arrow_shards(
-    df: DataFrame, path: str, shard_bytes: int = SHARD_BYTES, position: str = "pos"
+    df: DataFrame, path: str, shard_bytes: int = SHARD_BYTES, pad_token_types: bool = False
 ) -> DataFrame:
     """Write `train/data-00000.arrow`, ... and `test/data-00000.arrow`; returns the manifest table.
 
-    A shard takes whole rows up to `shard_bytes` of JSON line size. `path` must be visible to
-    all executors. The manifest is also kept as Parquet under `path/manifest`.
+    A shard takes whole rows, in order of `pos`, up to `shard_bytes` of JSON line size. `path`
+    must be visible to all executors. The manifest is also kept as Parquet under `path/manifest`.
+    A shard that cannot be written fails the job.
     """
-    spark = df.sparkSession
-    size = line_bytes("input_ids", "n_real" if "n_real" in df.columns else None)
+    rows = packed_rows(df)
+    staged = stage(rows.withColumn("row_bytes", line_bytes("tokens", "n_real")), "export")
     reports = []
-    for split, rows in train_test(df, position).items():
-        sharded = with_shards(rows, size, shard_bytes, position) if split == "train" else rows.withColumn("shard", F.lit(0).cast("bigint"))
-        columns = export_rows(in_shards(sharded, position)).select("shard", *SHARD_SCHEMA.names)
+    for split, part in train_test(staged).items():
+        if split == "train":
+            part = with_shards(part, shard_bytes)
+        else:
+            part = part.withColumn("shard", F.lit(0).cast("bigint"))
 
-        def write(batches, split=split):
-            return each_shard(batches, lambda shard: _ShardFile(path, split, shard))
+        def write(batches: Iterator[pa.RecordBatch], split: str = split) -> Iterator[pa.RecordBatch]:
+            return each_shard(batches, lambda shard: _ShardFile(path, split, shard, pad_token_types))
 
+        columns = in_shards(part).select("shard", "tokens", "n_real")
         reports.append(columns.mapInArrow(write, MANIFEST))
     reports[0].unionByName(reports[1]).write.mode("overwrite").parquet(f"{path}/manifest")
-    manifest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
+    manifest = read_manifest(df.sparkSession, path)
+    written = manifest.where(F.col("split") == "train").agg(F.sum("n_rows").alias("n")).first()["n"] or 0
+    if written != staged.count():
+        raise RuntimeError(f"{written} rows in the shards for {staged.count()} rows of input")
     return manifest
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
+
+
 def manifest_features(manifest: DataFrame) -> DataFrame:
     """Manifest with the column names and types of the files."""
     features = ", ".join(f"{f.name}: {f.type}" for f in SHARD_SCHEMA)
     return manifest.withColumn("features", F.lit(features))
 
 
-def read_arrow_shards(spark, path: str, split: str = "train") -> DataFrame:
+def read_arrow_shards(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
     """Rows of the shard files named by the manifest, with `shard` and `row` for their order."""
-    manifest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").where(F.col("split") == split)
-    schema = "shard bigint, row bigint, input_ids array<int>, token_type_ids array<tinyint>, attention_mask array<tinyint>"
-
-    def read(batches):
-        from corploom.sinks.shards import open_folder
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, folder = open_folder(f"{path}/{split}")
         for batch in batches:
             for shard, name in zip(batch["shard"].to_pylist(), batch["file"].to_pylist()):
-                files, folder = open_folder(f"{path}/{split}")
                 row = 0
                 with files.open_input_stream(f"{folder}/{name}") as stream:
                     for rows in pa.ipc.open_stream(stream):
-                        numbers = pa.array(range(row, row + rows.num_rows), pa.int64())
+                        place = [
+                            pa.array(np.full(rows.num_rows, shard)),
+                            pa.array(np.arange(row, row + rows.num_rows)),
+                        ]
                         row += rows.num_rows
-                        shards = pa.array([shard] * rows.num_rows, pa.int64())
                         yield pa.RecordBatch.from_arrays(
-                            [shards, numbers, *rows.columns],
-                            ["shard", "row", *SHARD_SCHEMA.names],
+                            [*place, *rows.columns], ["shard", "row", *SHARD_SCHEMA.names]
                         )
 
-    return manifest.select("shard", "file").repartition("shard").mapInArrow(read, schema)
+    listed = read_manifest(spark, path).where(F.col("split") == split).select("shard", "file")
+    lists = "input_ids array<int>, token_type_ids array<tinyint>, attention_mask array<tinyint>"
+    return listed.repartition("shard").mapInArrow(read, f"shard bigint, row bigint, {lists}")

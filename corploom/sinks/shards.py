@@ -8,25 +8,43 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corploom.functions.arithmetic import div
 from corploom.operators.running_totals import running_totals_by_position
 
 SHARD_BYTES = 500_000_000
+_BLOCK_BITS = 16
+_BROADCAST_BLOCKS = 100_000
 
 
 def with_shards(
-    df: DataFrame, row_bytes: Column, shard_bytes: int = SHARD_BYTES, position: str = "pos"
+    staged: DataFrame, shard_bytes: int = SHARD_BYTES, size: str = "row_bytes", position: str = "pos"
 ) -> DataFrame:
-    """`shard`: bytes of all rows before, div `shard_bytes`. Rows are never cut."""
-    sized = df.withColumn("row_bytes", row_bytes.cast("bigint"))
-    summed = running_totals_by_position(sized, {"bytes_before": "row_bytes"}, position)
-    return summed.withColumn("shard", div(F.col("bytes_before"), shard_bytes)).drop("bytes_before")
+    """`shard`: bytes of all rows before, div `shard_bytes`. Rows are never cut.
+
+    `staged` is a table, as it is read twice: running sums need positions and sizes alone, and
+    leave a few cuts per block of 65,536 positions. Rows look their shard up there, so that they
+    move only once, to the task that writes the shard.
+    """
+    summed = running_totals_by_position(staged.select(position, size), {"before": size}, position)
+    block = F.shiftright(position, _BLOCK_BITS)
+    cuts = (
+        summed.groupBy(block.alias("_block"), div(F.col("before"), shard_bytes).alias("shard"))
+        .agg(F.min(position).alias("since"))
+        .groupBy("_block")
+        .agg(F.sort_array(F.collect_list(F.struct("since", "shard"))).alias("_cuts"))
+    )
+    if staged.count() >> _BLOCK_BITS <= _BROADCAST_BLOCKS:
+        cuts = F.broadcast(cuts)
+    reached = F.filter("_cuts", lambda cut: cut["since"] <= F.col(position))
+    found = staged.withColumn("_block", block).join(cuts, "_block")
+    return found.withColumn("shard", F.element_at(reached, -1)["shard"]).drop("_block", "_cuts")
 
 
 def shard_manifest(sharded: DataFrame) -> DataFrame:
+    """Rows and bytes of each shard."""
     return sharded.groupBy("shard").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("row_bytes").alias("n_bytes")
     )

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corploom.functions.packed_ids import id_count, packed_ids
 from corploom.operators.running_totals import running_totals_by_position
 from corploom.sinks.shards import SHARD_BYTES, AtomicFile, each_shard, in_shards, with_shards
+from corploom.sinks.token_rows import packed_rows
+from corploom.staging import stage
 
 # Fixed values of the store format.
 MAGIC = b"MMIDIDX\x00\x00"
@@ -22,12 +26,14 @@ MAX_ID = 65_535
 STORE_INDEX = "doc_ord bigint, shard bigint, shard_doc bigint, size int, shard_pointer bigint"
 
 
-def store_index(df: DataFrame, position: str = "pos", item_bytes: int = ITEM_BYTES) -> DataFrame:
+def store_index(df: DataFrame, item_bytes: int = ITEM_BYTES) -> DataFrame:
     """`doc_ord, size, pointer`: each document's token count and first byte in the joined data."""
-    sizes = df.select(F.col(position), F.size("input_ids").alias("size"))
-    indexed = running_totals_by_position(sizes, {"before": "size"}, position)
+    sizes = df.select("pos", "n_tokens" if "n_tokens" in df.columns else id_count("tokens").alias("n_tokens"))
+    indexed = running_totals_by_position(sizes, {"before": "n_tokens"})
     return indexed.select(
-        F.col(position).alias("doc_ord"), "size", (F.col("before") * item_bytes).alias("pointer")
+        F.col("pos").alias("doc_ord"),
+        F.col("n_tokens").cast("int").alias("size"),
+        (F.col("before") * item_bytes).alias("pointer"),
     )
 
 
@@ -50,13 +56,12 @@ class _StorePair:
         self.docs, self.sizes = [], []
 
     def add(self, run: pa.RecordBatch):
-        lists = run.column("input_ids")
-        ids = lists.flatten().to_numpy()
+        ids, ends = packed_ids(run.column("tokens"))
         if len(ids) and (ids.min() < 0 or ids.max() > MAX_ID):
             bad = ids[(ids < 0) | (ids > MAX_ID)][0]
             raise ValueError(f"token id {bad} does not fit the 16-bit store")
         self.data.stream.write(ids.astype("<u2").tobytes())
-        self.sizes.append(np.diff(lists.offsets.to_numpy()).astype("<i4"))
+        self.sizes.append(np.diff(ends).astype("<i4"))
         self.docs.append(run.column("doc_ord").to_numpy())
 
     def finish(self) -> pa.RecordBatch:
@@ -81,33 +86,26 @@ class _StorePair:
         )
 
 
-def write_token_store(
-    df: DataFrame,
-    path: str,
-    shard_bytes: int = SHARD_BYTES,
-    position: str = "pos",
-    row_bytes: Column | None = None,
-) -> DataFrame:
-    """Write `shard-00000.bin` and `.idx`, ... in order of `position`; returns the index table.
+def write_token_store(df: DataFrame, path: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Write `shard-00000.bin` and `.idx`, ... in order of `pos`; returns the index table.
 
-    Each pair is complete by itself; with one shard it is the whole store. An id outside 0..65535
-    fails the job. The index is also kept as Parquet under `path/index`.
+    A shard takes whole documents up to `shard_bytes` of ids. Each pair is complete by itself;
+    with one shard it is the whole store. An id outside 0..65535 fails the job. The index is also
+    kept as Parquet under `path/index`.
     """
-    spark = df.sparkSession
-    size = F.size("input_ids").cast("bigint") * ITEM_BYTES if row_bytes is None else row_bytes
-    sharded = with_shards(df, size, shard_bytes, position)
-    columns = in_shards(sharded, position).select(
-        "shard", F.col(position).alias("doc_ord"), "input_ids"
+    sizes = id_count("tokens").cast("bigint") * ITEM_BYTES
+    staged = stage(packed_rows(df).withColumn("row_bytes", sizes), "export")
+    columns = in_shards(with_shards(staged, shard_bytes)).select(
+        "shard", F.col("pos").alias("doc_ord"), "tokens"
     )
 
-    def write(batches):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return each_shard(batches, lambda shard: _StorePair(path, shard))
 
     columns.mapInArrow(write, STORE_INDEX).write.mode("overwrite").parquet(f"{path}/index")
-    index = spark.read.schema(STORE_INDEX).parquet(f"{path}/index")
-    counted = index.agg(F.count(F.lit(1)).alias("n"), F.max("doc_ord").alias("last")).first()
-    if counted["n"] and counted["n"] != counted["last"] + 1:
-        raise RuntimeError(f"the store holds {counted['n']} of {counted['last'] + 1} documents")
+    index = df.sparkSession.read.schema(STORE_INDEX).parquet(f"{path}/index")
+    if index.count() != staged.count():
+        raise RuntimeError(f"{index.count()} documents in the store for {staged.count()} of input")
     return index
 
 

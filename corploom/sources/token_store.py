@@ -43,8 +43,9 @@ class TokenStore:
         return self._read(self.index.where(wanted))
 
     def get(self, i: int, offset: int = 0, length: int | None = None) -> DataFrame:
-        """`length` ids of document `i` from `offset` on, by default all the rest."""
-        size = F.col("size") - offset if length is None else F.lit(length)
+        """`length` ids of document `i` from `offset` on, by default and at most all the rest."""
+        rest = F.greatest(F.col("size") - offset, F.lit(0))
+        size = rest if length is None else F.least(rest, F.lit(length))
         part = self.index.where(F.col("doc_ord") == self._ordinal(i)).withColumns(
             {"size": size.cast("int"), "shard_pointer": F.col("shard_pointer") + offset * ITEM_BYTES}
         )

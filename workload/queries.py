@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.functions.keys import with_content_keys
+from corploom.functions.packed_ids import id_count, line_bytes
 from corploom.operators import counting, lengths, mixing, ordering, rechunking, tokenizing
 from corploom.operators.running_totals import with_running_totals
 from corploom.plans.pack import Source, export, mix, tokenized_stage
-from corploom.sinks import arrow_shards, json_lines as json_sink, shards, token_store
+from corploom.sinks import arrow_shards, shards, token_rows, token_store
 from corploom.sources import datasets, json_lines, vocabulary
 from corploom.sources.token_store import TokenStore
 from corploom.staging import new_stage_path, stage
@@ -81,7 +82,7 @@ def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def byte_stage(spark: SparkSession, sources: list[Source], measure_lines: bool = False) -> DataFrame:
-    tokenizer = tokenizing.vocabulary_tokenizer(byte_vocabulary(spark))
+    tokenizer = tokenizing.VocabularyTokenizer(byte_vocabulary(spark))
     return tokenized_stage(sources, tokenizer, cores(spark), measure_lines)
 
 
@@ -105,6 +106,8 @@ def ids_md5(ids: str | Column = "input_ids") -> Column:
 
 
 def chunk_rows(chunks: DataFrame) -> DataFrame:
+    """Packed rows with their ids as arrays, which the digest then reads."""
+    chunks = rechunking.with_ids(chunks)
     return chunks.select("split_id", "chunk_id", "pos", "n_real", ids_md5())
 
 
@@ -311,7 +314,8 @@ def rechunk_single(spark, sf_dir):
 @query
 def rechunk_tail(spark, sf_dir):
     """Masks of packed rows: only the last row of a split has padding."""
-    chunks = rechunking.with_chunk_masks(mix(document_stage(spark, sf_dir), "concat"))
+    packed = mix(document_stage(spark, sf_dir), "concat")
+    chunks = rechunking.with_chunk_masks(rechunking.with_ids(packed))
     total = F.aggregate("attention_mask", F.lit(0), lambda a, m: a + m)
     return chunks.groupBy("split_id").agg(
         F.count(F.lit(1)).alias("n_chunks"),
@@ -327,8 +331,11 @@ def rechunk_tail(spark, sf_dir):
 def rechunk_empty_splits(spark, sf_dir):
     """Lines of documents, empty ones kept, in small rows and many splits."""
     rows = lines(spark, sf_dir).select(F.concat_ws(":", "doc_id", "line").alias("row_key"), "text")
-    tokens = tokenizing.tokenize_corpus(rows.repartition(cores(spark), "row_key"), byte_vocabulary(spark))
-    keyed = stage(tokenizing.with_token_count(tokens).select("row_key", "n_tokens", "input_ids"), "lines")
+    tokenizer = tokenizing.VocabularyTokenizer(byte_vocabulary(spark))
+    tokens = rows.repartition(cores(spark), "row_key").select(
+        "row_key", tokenizer.packed(F.col("text")).alias("tokens")
+    )
+    keyed = stage(tokens.withColumn("n_tokens", id_count("tokens")), "lines")
     ordered = ordering.shuffle_rows(keyed, ["row_key"], sums={"start": "n_tokens"})
     return chunk_rows(rechunking.rechunk(ordered, 256, 5_000, rechunking.row_total(keyed)))
 
@@ -352,7 +359,7 @@ def ranked_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = document_stage(spark, sf_dir, measure_lines=True)
     measured = tokens.select("source_ord", "row_key", "len")
     ordered = ordering.shuffle_rows(measured, ["source_ord", "row_key"], within=["source_ord"])
-    return stage(lengths.rank_by_length(ordered), "ranked")
+    return lengths.stage_ranked(lengths.rank_by_length(ordered))
 
 
 @query
@@ -396,7 +403,7 @@ def dist_by_length(spark, sf_dir):
     """Rows of like length spread evenly; token arrays included."""
     tokens = document_stage(spark, sf_dir, measure_lines=True)
     mixed = mix(tokens, "dist_by_length", min_rows=MIN_ROWS, min_subchunk=MIN_SUBCHUNK)
-    return mixed.select("row_key", "group_id", "sub_id", "pos", ids_md5())
+    return rechunking.with_ids(mixed).select("row_key", "group_id", "sub_id", "pos", ids_md5())
 
 
 # Sinks and stores
@@ -465,13 +472,13 @@ def store_manifest(spark, sf_dir):
 @query
 def shard_manifest(spark, sf_dir):
     """Shards of about 200 kB of JSON lines."""
-    docs = ordered_documents(spark, sf_dir)
-    return shards.shard_manifest(shards.with_shards(docs, lengths.line_bytes(), SHARD))
+    docs = ordered_documents(spark, sf_dir).select("pos", line_bytes().alias("row_bytes"))
+    return shards.shard_manifest(shards.with_shards(stage(docs, "sizes"), SHARD))
 
 
 @query
 def train_test(spark, sf_dir):
-    parts = arrow_shards.train_test(ordered_documents(spark, sf_dir))
+    parts = token_rows.train_test(ordered_documents(spark, sf_dir))
     tagged = [df.withColumn("split", F.lit(name)) for name, df in parts.items()]
     return tagged[0].unionByName(tagged[1]).select("split", "row_key", "pos", "n_tokens")
 

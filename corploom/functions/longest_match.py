@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,18 +25,22 @@ class LongestMatch:
     """Token ids of byte strings: at each position the longest vocabulary entry wins.
 
     Two neighbouring bytes that stand side by side in no vocabulary entry cannot share a token,
-    so the text is cut there first. The cut is exact for every vocabulary, and a batch then
-    holds few distinct segments: each one is matched once and its ids are gathered by Arrow.
+    nor can they if no entry opens within its length before them, so the text is cut there first.
+    The cut is exact for every vocabulary, and a batch then holds few distinct segments: each
+    one is matched once and its ids are gathered by Arrow.
     """
 
     def __init__(self, ids: dict[bytes, int]):
         self.ids = ids
         self.longest = max(map(len, ids), default=0)
-        self.inside = np.zeros(1 << 16, bool)
+        self.inside = np.zeros(1 << 16, bool)  # pairs of bytes within some entry
+        self.opening = np.zeros(1 << 16, bool)  # pairs that start some entry
         sizes: dict[bytes, set[int]] = {}
         for token in ids:
             raw = np.frombuffer(token, np.uint8).astype(np.uint16)
-            self.inside[(raw[:-1] << 8) | raw[1:]] = True
+            pairs = (raw[:-1] << 8) | raw[1:]
+            self.inside[pairs] = True
+            self.opening[pairs[:1]] = True
             sizes.setdefault(token[:2], set()).add(len(token))
         self.sizes = {
             start: tuple(sorted(found | ({1} if start[:1] in ids else set()), reverse=True))
@@ -66,12 +71,41 @@ class LongestMatch:
     def ids_and_ends(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text starts and ends among them."""
         raw, starts = _bytes_and_offsets(texts)
-        if self.longest > 1:
-            return self._by_segment(raw, starts)
+        bounds = np.flatnonzero(self._cuts(raw, starts))
+        if len(bounds) > len(raw):  # cut at every byte
+            return self._single_ids(raw), starts
+        # A segment of one byte has one id; for the others `counts` is filled in below.
+        counts = np.ones(len(bounds) - 1, np.int64)
+        longer = np.flatnonzero(np.diff(bounds) > 1)
+        long_ids, counts[longer] = self._distinct_ids(raw, bounds, longer)
+        ends = np.concatenate(([0], np.cumsum(counts)))
+
+        ids = np.empty(ends[-1], np.int32)
+        is_single = np.diff(bounds) == 1
+        ids[ends[:-1][is_single]] = self._single_ids(raw[bounds[:-1][is_single]])
+        sizes = counts[longer]
+        inner = np.arange(len(long_ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        ids[np.repeat(ends[longer], sizes) + inner] = long_ids
+        return ids, ends[np.searchsorted(bounds, starts)]
+
+    def _cuts(self, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """True where no token can reach across, for each place before, between and after bytes."""
+        cut = np.ones(len(raw) + 1, bool)
+        if len(raw) > 1:
+            pairs = (raw[:-1].astype(np.uint16) << 8) | raw[1:]
+            opened = np.concatenate(([0], np.cumsum(self.opening[pairs], dtype=np.int32)))
+            reach = max(self.longest - 1, 1)
+            recent = opened[1:].copy()
+            recent[reach:] -= opened[1:-reach]
+            cut[1:-1] = ~self.inside[pairs] | (recent == 0)
+            cut[starts] = True
+        return cut
+
+    def _single_ids(self, raw: np.ndarray) -> np.ndarray:
         ids = self.single[raw]
         if len(ids) and ids.min() < 0:
-            self.match(bytes(raw[ids < 0][:1]))
-        return ids, starts
+            self.match(bytes(raw[ids < 0][:1]))  # names the byte that has no entry
+        return ids
 
     def __call__(self, texts: pa.Array) -> pa.Array:
         """list<int32> of token ids for each text; null stays null."""
@@ -79,27 +113,21 @@ class LongestMatch:
         mask = texts.is_null() if texts.null_count else None
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=mask)
 
-    def _by_segment(self, raw: np.ndarray, starts: np.ndarray):
-        edge = np.zeros(len(raw) + 1, bool)
-        if len(raw):
-            edge[1:-1] = ~self.inside[(raw[:-1].astype(np.uint16) << 8) | raw[1:]]
-        edge[starts] = True
-        bounds = np.flatnonzero(edge)
+    def _distinct_ids(self, raw: np.ndarray, bounds: np.ndarray, chosen: np.ndarray):
+        """Joined ids of the chosen segments and how many each has; equal segments match once."""
         segments = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(raw)]
-        ).dictionary_encode()
+        )
+        coded = segments.take(pa.array(chosen)).dictionary_encode()
         matched = [
             self._short(s) if len(s) <= _MEMO_BYTES else self.match(s)
-            for s in segments.dictionary.to_pylist()
+            for s in coded.dictionary.to_pylist()
         ]
         sizes = np.fromiter(map(len, matched), np.int64, len(matched))
-        flat = np.fromiter((i for ids in matched for i in ids), np.int32, int(sizes.sum()))
-        distinct = pa.LargeListArray.from_arrays(
-            pa.array(np.concatenate(([0], np.cumsum(sizes)))), pa.array(flat)
-        )
-        values = distinct.take(segments.indices).flatten()
-        ends = np.concatenate(([0], np.cumsum(sizes[segments.indices.to_numpy()])))
-        return values.to_numpy(), ends[np.searchsorted(bounds, starts)]
+        flat = np.fromiter(chain.from_iterable(matched), np.int32, int(sizes.sum()))
+        ends = pa.array(np.concatenate(([0], np.cumsum(sizes))))
+        ids = pa.LargeListArray.from_arrays(ends, pa.array(flat)).take(coded.indices).flatten()
+        return ids.to_numpy(), sizes[coded.indices.to_numpy()]
 
 
 class TokenBytes:

@@ -15,6 +15,8 @@ END_OF_TEXT_ID = 0
 END_OF_TEXT = b"<|endoftext|>"
 MAX_VOCABULARY = 65_536
 
+MAX_VOCABULARY_BYTES = 64 << 20
+
 
 @F.arrow_udf(T.BinaryType())
 def _literal_bytes(literals: pa.Array) -> pa.Array:
@@ -50,7 +52,7 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
         F.col("size").cast("string"),
     )
     fits = F.octet_length("token") == F.col("size")
-    checked = entries.withColumn("size", F.when(fits, F.col("size")).otherwise(F.raise_error(message)))
+    checked = entries.withColumn("token", F.when(fits, F.col("token")).otherwise(F.raise_error(message)))
     return vocabulary_view(checked)
 
 
@@ -75,19 +77,21 @@ def vocabulary_view(entries: DataFrame) -> DataFrame:
 
 
 def _bounded_rows(vocab: DataFrame, *columns: str) -> list:
-    rows = vocab.select(*columns).limit(MAX_VOCABULARY + 1).collect()
-    if len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} entries")
-    return rows
+    size = vocab.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("token")).alias("bytes")).first()
+    if size["n"] > MAX_VOCABULARY or (size["bytes"] or 0) > MAX_VOCABULARY_BYTES:
+        raise ValueError(
+            f"a vocabulary holds at most {MAX_VOCABULARY} entries and {MAX_VOCABULARY_BYTES} bytes"
+        )
+    return vocab.select(*columns).collect()
 
 
 def encoding_table(vocab: DataFrame) -> dict[bytes, int]:
-    """Token -> id; of equal tokens the id placed last wins. At most 65,536 entries."""
+    """Token -> id; of equal tokens the id placed last wins. The size is checked first."""
     place = "place" if "place" in vocab.columns else "token_id"
     winners = vocab.groupBy("token").agg(F.max_by("token_id", place).alias("token_id"))
     return {bytes(r.token): r.token_id for r in _bounded_rows(winners, "token", "token_id")}
 
 
 def decoding_table(vocab: DataFrame) -> dict[int, bytes]:
-    """Id -> token. At most 65,536 entries."""
+    """Id -> token. The size is checked first."""
     return {r.token_id: bytes(r.token) for r in _bounded_rows(vocab, "token_id", "token")}

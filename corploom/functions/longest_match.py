@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-_MEMO_ENTRIES = 1 << 17
-_MEMO_BYTES = 64
+_BLOCK = 1 << 20
+_REACH = 1 << 16
+_FEW_SEGMENTS = 256
+_MAX_PREFIXES = 200_000
 
 
 def _bytes_and_offsets(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -26,8 +27,8 @@ class LongestMatch:
 
     Two neighbouring bytes that stand side by side in no vocabulary entry cannot share a token,
     nor can they if no entry opens within its length before them, so the text is cut there first.
-    The cut is exact for every vocabulary, and a batch then holds few distinct segments: each
-    one is matched once and its ids are gathered by Arrow.
+    The cut is exact for every vocabulary. The many short segments are then matched side by
+    side, one byte a step for all of them; a few long ones are matched one by one.
     """
 
     def __init__(self, ids: dict[bytes, int]):
@@ -46,15 +47,34 @@ class LongestMatch:
             start: tuple(sorted(found | ({1} if start[:1] in ids else set()), reverse=True))
             for start, found in sizes.items()
         }
-        self.single = np.full(256, -1, np.int32)
-        for value in range(256):
-            self.single[value] = ids.get(bytes([value]), -1)
-        self._short = lru_cache(_MEMO_ENTRIES)(self.match)
+        self.single = np.array([ids.get(bytes([value]), -1) for value in range(256)], np.int32)
+        self._index_prefixes()
 
     def __reduce__(self):
         return LongestMatch, (self.ids,)
 
-    def match(self, segment: bytes) -> list[int]:
+    def _index_prefixes(self):
+        """Number the proper prefixes of entries; (prefix, next byte) -> longer prefix, and its id."""
+        prefixes = {b"": 0}
+        for token in self.ids:
+            for size in range(1, len(token)):
+                prefixes.setdefault(token[:size], len(prefixes))
+        self.n_prefixes = len(prefixes)
+        if self.n_prefixes > _MAX_PREFIXES:
+            return
+        whole = dict(prefixes)
+        for token in self.ids:
+            whole.setdefault(token, len(whole))
+        self.longer = np.full((len(prefixes), 256), -1, np.int32)
+        self.id_of = np.full(len(whole), -1, np.int32)
+        for prefix, number in whole.items():
+            if prefix:
+                self.longer[prefixes[prefix[:-1]], prefix[-1]] = number
+            self.id_of[number] = self.ids.get(prefix, -1)
+        self.longer = self.longer.ravel()
+
+    def match(self, segment: bytes) -> list[tuple[int, int]]:
+        """Place and id of each token."""
         ids, sizes, found, at = self.ids, self.sizes, [], 0
         while at < len(segment):
             for size in sizes.get(segment[at : at + 2]) or (1,):
@@ -64,29 +84,63 @@ class LongestMatch:
                     break
             else:
                 raise ValueError(f"no vocabulary entry matches the text at {segment[at : at + 16]!r}")
-            found.append(token_id)
+            found.append((at, token_id))
             at += len(piece)
         return found
 
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        """list<int32> of token ids for each text; null stays null."""
+        ids, ends = self.ids_and_ends(texts)
+        mask = texts.is_null() if texts.null_count else None
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=mask)
+
     def ids_and_ends(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text starts and ends among them."""
         raw, starts = _bytes_and_offsets(texts)
-        bounds = np.flatnonzero(self._cuts(raw, starts))
-        if len(bounds) > len(raw):  # cut at every byte
-            return self._single_ids(raw), starts
-        # A segment of one byte has one id; for the others `counts` is filled in below.
-        counts = np.ones(len(bounds) - 1, np.int64)
-        longer = np.flatnonzero(np.diff(bounds) > 1)
-        long_ids, counts[longer] = self._distinct_ids(raw, bounds, longer)
-        ends = np.concatenate(([0], np.cumsum(counts)))
-
-        ids = np.empty(ends[-1], np.int32)
-        is_single = np.diff(bounds) == 1
-        ids[ends[:-1][is_single]] = self._single_ids(raw[bounds[:-1][is_single]])
-        sizes = counts[longer]
-        inner = np.arange(len(long_ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        ids[np.repeat(ends[longer], sizes) + inner] = long_ids
-        return ids, ends[np.searchsorted(bounds, starts)]
+        found, row_ends, total = [np.empty(0, np.int32)], np.empty(len(starts), np.int64), 0
+        for a, b in self._blocks(raw, starts):
+            rows = slice(*np.searchsorted(starts, (a, b)))
+            ids, ends = self._block_ids(raw[a:b], starts[rows] - a)
+            row_ends[rows] = total + ends
+            total += len(ids)
+            found.append(ids)
+        row_ends[starts == len(raw)] = total
+        return np.concatenate(found), row_ends
+
+    def _blocks(self, raw: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Byte ranges of a few MB that end where no token can reach across, to bound memory."""
+        a = 0
+        while a < len(raw):
+            b = a + _BLOCK
+            while b < len(raw):
+                # The last safe place in reach: between two bytes no entry holds, or between texts.
+                pairs = (raw[b - _REACH - 1 : b - 1].astype(np.uint16) << 8) | raw[b - _REACH : b]
+                safe = np.flatnonzero(~self.inside[pairs])
+                row = starts[np.searchsorted(starts, b, "right") - 1]
+                end = max(b - _REACH + safe[-1] if len(safe) else 0, row if row > b - _REACH else 0)
+                if end:
+                    b = end
+                    break
+                b += _REACH
+            b = min(b, len(raw))
+            yield a, b
+            a = b
+
+    def _block_ids(self, raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bounds = np.flatnonzero(self._cuts(raw, starts)).astype(np.int32)
+        sizes = np.diff(bounds)
+        single = sizes == 1
+        at = bounds[:-1][single]
+        id_at = np.full(len(raw), -1, np.int32)  # id of the token that starts at a byte
+        id_at[at] = self.single[raw[at]]
+        if len(at) and id_at[at].min() < 0:
+            self.match(bytes(raw[at][id_at[at] < 0][:1]))  # names the byte without an entry
+        if len(at) == len(raw):
+            return id_at, starts
+        self._match_segments(raw, bounds[:-1][~single], bounds[1:][~single], id_at)
+        is_start = id_at >= 0
+        before = np.concatenate(([0], np.cumsum(is_start)))
+        return id_at[is_start], before[starts]
 
     def _cuts(self, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """True where no token can reach across, for each place before, between and after bytes."""
@@ -101,33 +155,33 @@ class LongestMatch:
             cut[starts] = True
         return cut
 
-    def _single_ids(self, raw: np.ndarray) -> np.ndarray:
-        ids = self.single[raw]
-        if len(ids) and ids.min() < 0:
-            self.match(bytes(raw[ids < 0][:1]))  # names the byte that has no entry
-        return ids
-
-    def __call__(self, texts: pa.Array) -> pa.Array:
-        """list<int32> of token ids for each text; null stays null."""
-        ids, ends = self.ids_and_ends(texts)
-        mask = texts.is_null() if texts.null_count else None
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=mask)
-
-    def _distinct_ids(self, raw: np.ndarray, bounds: np.ndarray, chosen: np.ndarray):
-        """Joined ids of the chosen segments and how many each has; equal segments match once."""
-        segments = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(raw)]
-        )
-        coded = segments.take(pa.array(chosen)).dictionary_encode()
-        matched = [
-            self._short(s) if len(s) <= _MEMO_BYTES else self.match(s)
-            for s in coded.dictionary.to_pylist()
-        ]
-        sizes = np.fromiter(map(len, matched), np.int64, len(matched))
-        flat = np.fromiter(chain.from_iterable(matched), np.int32, int(sizes.sum()))
-        ends = pa.array(np.concatenate(([0], np.cumsum(sizes))))
-        ids = pa.LargeListArray.from_arrays(ends, pa.array(flat)).take(coded.indices).flatten()
-        return ids.to_numpy(), sizes[coded.indices.to_numpy()]
+    def _match_segments(self, raw: np.ndarray, first: np.ndarray, last: np.ndarray, id_at: np.ndarray):
+        """Set `id_at` for the segments `first..last`: each step reads one byte of every segment."""
+        raw = np.append(raw, np.uint8(0))
+        start, at, end = first, first, last
+        prefix, best = np.zeros_like(first), np.full_like(first, -1)
+        best_end = first
+        while len(start) > _FEW_SEGMENTS and self.n_prefixes <= _MAX_PREFIXES:
+            reached = self.longer[(prefix << 8) | raw[at]]
+            known = reached >= 0
+            at = at + known
+            token = np.where(known, self.id_of[reached], -1)
+            better = token >= 0
+            best = np.where(better, token, best)
+            best_end = np.where(better, at, best_end)
+            ended = ~known | (reached >= self.n_prefixes) | (at == end)
+            if best[ended].min(initial=0) < 0:
+                break  # the loop below names the text that has no entry
+            id_at[start[ended]] = best[ended]
+            start, at = np.where(ended, best_end, start), np.where(ended, best_end, at)
+            prefix, best = np.where(ended, 0, reached), np.where(ended, -1, best)
+            left = start < end
+            if not left.all():
+                start, at, end, prefix = start[left], at[left], end[left], prefix[left]
+                best, best_end = best[left], best_end[left]
+        for a, b in zip(start.tolist(), end.tolist()):
+            for place, token_id in self.match(bytes(raw[a:b])):
+                id_at[a + place] = token_id
 
 
 class TokenBytes:

@@ -15,7 +15,7 @@ END_OF_TEXT_ID = 0
 END_OF_TEXT = b"<|endoftext|>"
 MAX_VOCABULARY = 65_536
 
-MAX_VOCABULARY_BYTES = 64 << 20
+MAX_TOKEN_BYTES = 1024
 
 
 @F.arrow_udf(T.BinaryType())
@@ -76,22 +76,24 @@ def vocabulary_view(entries: DataFrame) -> DataFrame:
     return view.select("token_id", "token", F.octet_length("token").alias("size"), "place")
 
 
-def _bounded_rows(vocab: DataFrame, *columns: str) -> list:
-    size = vocab.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("token")).alias("bytes")).first()
-    if size["n"] > MAX_VOCABULARY or (size["bytes"] or 0) > MAX_VOCABULARY_BYTES:
-        raise ValueError(
-            f"a vocabulary holds at most {MAX_VOCABULARY} entries and {MAX_VOCABULARY_BYTES} bytes"
-        )
-    return vocab.select(*columns).collect()
+def _bounded_rows(vocab: DataFrame) -> list:
+    """The table on the driver: at most 65,536 entries of at most 1,024 bytes, else an error."""
+    fits = F.octet_length("token") <= MAX_TOKEN_BYTES
+    too_long = F.raise_error(F.lit(f"a vocabulary entry holds at most {MAX_TOKEN_BYTES} bytes"))
+    token = F.when(fits, F.col("token")).otherwise(too_long).alias("token")
+    rows = vocab.select("token_id", token).limit(MAX_VOCABULARY + 1).collect()
+    if len(rows) > MAX_VOCABULARY:
+        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} entries")
+    return rows
 
 
 def encoding_table(vocab: DataFrame) -> dict[bytes, int]:
     """Token -> id; of equal tokens the id placed last wins. The size is checked first."""
     place = "place" if "place" in vocab.columns else "token_id"
     winners = vocab.groupBy("token").agg(F.max_by("token_id", place).alias("token_id"))
-    return {bytes(r.token): r.token_id for r in _bounded_rows(winners, "token", "token_id")}
+    return {bytes(r.token): r.token_id for r in _bounded_rows(winners)}
 
 
 def decoding_table(vocab: DataFrame) -> dict[int, bytes]:
     """Id -> token. The size is checked first."""
-    return {r.token_id: bytes(r.token) for r in _bounded_rows(vocab, "token_id", "token")}
+    return {r.token_id: bytes(r.token) for r in _bounded_rows(vocab)}

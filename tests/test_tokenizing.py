@@ -1,5 +1,6 @@
 import gzip
 import lzma
+from unittest import mock
 
 import pyarrow as pa
 import pytest
@@ -8,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PythonException, SparkRuntimeException
 from pyspark.sql import functions as F
 
+from corploom.functions import longest_match
 from corploom.functions.longest_match import LongestMatch, TokenBytes
 from corploom.functions.packed_ids import line_bytes, pack_ids, unpack_ids
 from corploom.operators.tokenizing import (
@@ -84,9 +86,16 @@ def test_detokenize(spark, byte_vocab, letters):
 words = st.text("abc<|é ", min_size=1, max_size=5)
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(words, max_size=8), st.lists(st.text("abc<|é ", max_size=30), min_size=1, max_size=5))
-def test_cuts_never_change_the_match(tokens, samples):
+@settings(max_examples=2000, deadline=None)
+@given(
+    st.lists(words, max_size=8),
+    st.lists(st.text("abc<|é ", max_size=30), min_size=1, max_size=5),
+    st.integers(6, 40),
+    st.integers(2, 5),
+    st.sampled_from([0, 2, 1000]),
+    st.sampled_from([0, 100]),
+)
+def test_cuts_never_change_the_match(tokens, samples, block, reach, few, prefixes):
     ids = {bytes([b]): b + 1 for b in range(256)}
     for token in tokens:
         ids.setdefault(token.encode(), len(ids) + 1)
@@ -99,7 +108,8 @@ def test_cuts_never_change_the_match(tokens, samples):
             raw = raw[size:]
         return out
 
-    found = LongestMatch(ids)(pa.array(samples))
+    with mock.patch.multiple(longest_match, _BLOCK=block, _REACH=reach, _FEW_SEGMENTS=few, _MAX_PREFIXES=prefixes):
+        found = LongestMatch(ids)(pa.array([None, *samples])).slice(1)
     assert found.to_pylist() == [plain(s.encode()) for s in samples]
     back = TokenBytes({i: t for t, i in ids.items()})(found)
     assert back.to_pylist() == [s.encode() for s in samples]

@@ -78,7 +78,8 @@ def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(256 + row_number() over (order by octet_length(t) desc, t) as int) as token_id",
         "encode(t, 'UTF-8') as token",
     )
-    return byte_vocabulary(spark).select("token_id", "token").where("token_id > 0").unionByName(numbered)
+    singles = byte_vocabulary(spark).select("token_id", "token").where("token_id > 0")
+    return stage(singles.unionByName(numbered), "vocabulary")
 
 
 def byte_stage(spark: SparkSession, sources: list[Source], measure_lines: bool = False) -> DataFrame:

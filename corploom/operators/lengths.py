@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from corploom.functions.arithmetic import div
 from corploom.functions.keys import shuffle_key
-from corploom.functions.packed_ids import line_bytes
 from corploom.operators.running_totals import default_bits, hash_bucket, with_running_totals
 from corploom.staging import stage
 
@@ -208,15 +207,3 @@ def length_places(
     plan = choose_groups(ranked, min_rows)
     parts = assign_subchunks(assign_groups(ranked, plan), plan, min_subchunk)
     return shuffle_subchunks(parts, keys, seed).select(*keys, "len", "group_id", "sub_id", "pos")
-
-
-def distribute_by_length(
-    df: DataFrame, keys: list[str], length: Column | None = None, **options
-) -> DataFrame:
-    """Give rows with positions (`pos`) their new places; adds `len`, `group_id` and `sub_id`.
-
-    Length is the JSON line size unless given. Places are found on keys and lengths alone; the
-    token arrays move once, to meet their places by row key.
-    """
-    measured = df.select(*keys, "pos", (line_bytes() if length is None else length).alias("len"))
-    return df.drop("pos", "start").join(length_places(measured, keys, **options), keys)

@@ -53,4 +53,4 @@ def mix_by_length(df: DataFrame, length: Column | None = None, **options) -> Dat
     keys = ["source_ord", "row_key"]
     measured = df.select(*keys, (line_bytes() if length is None else length).alias("len"))
     placed = length_places(shuffle_rows(measured, keys, within=["source_ord"]), keys, **options)
-    return df.join(placed, keys)
+    return df.drop("len").join(placed, keys)

@@ -11,15 +11,17 @@ _MAX_BITS = 20  # five hex digits
 
 
 def default_bits(spark: SparkSession) -> int:
-    """Bucket bits that give a few hash buckets per shuffle partition. Results do not depend on it."""
+    """Bucket bits that give some 16 to 32 hash buckets per shuffle partition, so that partitions
+    are evenly filled. Results do not depend on it."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(5, min(_MAX_BITS, (4 * partitions - 1).bit_length()))
+    return min(_MAX_BITS, (16 * partitions - 1).bit_length())
 
 
 def hash_bucket(hex_key: Column, bits: int) -> Column:
     """Leading `bits` of a hex digest as int: buckets in digest order, evenly filled."""
     leading = F.conv(F.substring(hex_key, 1, _MAX_BITS // 4), 16, 10).cast("int")
-    return F.shiftright(leading, _MAX_BITS - bits)
+    # Never null, and known to be: joins on the bucket then need no filter that hashes again.
+    return F.shiftright(F.coalesce(leading, F.lit(0)), _MAX_BITS - bits)
 
 
 def with_running_totals(

@@ -16,6 +16,7 @@ from corploom.sinks.shards import (
     each_shard,
     in_shards,
     open_folder,
+    refuse_filled,
     with_shards,
 )
 from corploom.sinks.token_rows import packed_rows, train_test
@@ -75,9 +76,10 @@ def write_arrow_shards(
     """Write `train/data-00000.arrow`, ... and `test/data-00000.arrow`; returns the manifest table.
 
     A shard takes whole rows, in order of `pos`, up to `shard_bytes` of JSON line size. `path`
-    must be visible to all executors. The manifest is also kept as Parquet under `path/manifest`.
+    must be new or empty and visible to all executors. The manifest is also kept as Parquet under `path/manifest`.
     A shard that cannot be written fails the job.
     """
+    refuse_filled(path)
     rows = packed_rows(df)
     staged = stage(rows.withColumn("row_bytes", line_bytes("tokens", "n_real")), "export")
     reports = []

@@ -59,6 +59,14 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def refuse_filled(uri: str):
+    """Shards of an older export must not mix with new ones."""
+    files, folder = open_folder(uri)
+    if files.get_file_info(folder).type != fs.FileType.NotFound:
+        if files.get_file_info(fs.FileSelector(folder)):
+            raise ValueError(f"{uri} is not empty")
+
+
 class AtomicFile:
     """A file that gets its name when it is complete: a retried task just writes it again."""
 

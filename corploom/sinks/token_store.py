@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corploom.functions.packed_ids import id_count, packed_ids
 from corploom.operators.running_totals import running_totals_by_position
-from corploom.sinks.shards import SHARD_BYTES, AtomicFile, each_shard, in_shards, with_shards
+from corploom.sinks.shards import SHARD_BYTES, AtomicFile, each_shard, in_shards, refuse_filled, with_shards
 from corploom.sinks.token_rows import packed_rows
 from corploom.staging import stage
 
@@ -90,9 +90,10 @@ def write_token_store(df: DataFrame, path: str, shard_bytes: int = SHARD_BYTES)
     """Write `shard-00000.bin` and `.idx`, ... in order of `pos`; returns the index table.
 
     A shard takes whole documents up to `shard_bytes` of ids. Each pair is complete by itself;
-    with one shard it is the whole store. An id outside 0..65535 fails the job. The index is also
-    kept as Parquet under `path/index`.
+    with one shard it is the whole store. An id outside 0..65535 fails the job. `path` must be
+    new or empty and visible to all executors; the index is also kept there as Parquet.
     """
+    refuse_filled(path)
     sizes = id_count("tokens").cast("bigint") * ITEM_BYTES
     staged = stage(packed_rows(df).withColumn("row_bytes", sizes), "export")
     columns = in_shards(with_shards(staged, shard_bytes)).select(

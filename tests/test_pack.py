@@ -49,7 +49,9 @@ def test_documents_stay_whole_without_rechunk(sources, byte_vocab):
 
 
 def test_length_distribution_keeps_rows(sources, byte_vocab):
-    rows = pack(sources, byte_vocab, mode="dist_by_length", min_rows=5, min_subchunk=2)["train"].collect()
+    train = pack(sources, byte_vocab, mode="dist_by_length", min_rows=5, min_subchunk=2)["train"]
+    assert len(set(train.columns)) == len(train.columns)
+    rows = train.collect()
     assert sorted(bytes(t - 1 for t in r.input_ids).decode() for r in rows) == sorted(TEXT)
     assert sorted(r.pos for r in rows) == list(range(len(TEXT)))
 

@@ -61,6 +61,13 @@ def test_store_refuses_large_ids_and_chunks(ordered_ids, tmp_path):
         export(rechunk(ordered_ids(DOCS), 4), "store", str(tmp_path / "b"))
 
 
+def test_old_shards_are_not_mixed_with_new_ones(ordered_ids, tmp_path):
+    for fmt in ("store", "arrow"):
+        export(ordered_ids(DOCS), fmt, str(tmp_path / fmt))
+        with pytest.raises(ValueError, match="not empty"):
+            export(ordered_ids(DOCS[:1]), fmt, str(tmp_path / fmt))
+
+
 def test_pointers_and_document_index(spark, ordered_ids):
     packed = ordered_ids(DOCS).select("pos", pack_ids("input_ids").alias("tokens"))
     assert [(r.size, r.pointer) for r in store_index(packed).orderBy("doc_ord").collect()] == [(3, 0), (2, 6), (4, 10)]

@@ -65,7 +65,8 @@ def byte_vocabulary(spark: SparkSession) -> DataFrame:
 
 def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single bytes, then frequent words with and without a space before, longest first."""
-    words = table(spark, sf_dir, "documents").select(F.explode(F.split("text", " ")).alias("word"))
+    docs = table(spark, sf_dir, "documents").repartition(cores(spark), "doc_id")
+    words = docs.select(F.explode(F.split("text", " ")).alias("word"))
     frequent = (
         words.where(F.octet_length("word").between(2, 16))
         .groupBy("word")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corploom.functions.packed_ids import line_bytes
 from corploom.operators.lengths import length_places
 from corploom.operators.ordering import SHUFFLE_SEED, shuffle_rows
-from corploom.operators.rechunking import CHUNK_SIZE, SPLITS, rechunk, row_total
+from corploom.operators.rechunking import CHUNK_SIZE, SPLITS, rechunk
 
 _TOKEN_SUMS = {"start": "n_tokens"}
 
@@ -41,7 +41,7 @@ def mix_inverse(
     df: DataFrame, seed: int = SHUFFLE_SEED, size: int = CHUNK_SIZE, splits: int = SPLITS
 ) -> DataFrame:
     """Rechunk the sources in order first, then shuffle the chunks; `pos` is the new place."""
-    chunks = rechunk(mix_concat(df, seed), size, splits, row_total(df))
+    chunks = rechunk(mix_concat(df, seed), size, splits, df)
     return shuffle_rows(chunks.drop("pos"), ["split_id", "chunk_id"], seed)
 
 

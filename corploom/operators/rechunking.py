@@ -15,23 +15,18 @@ PAD_ID = 0
 _BROADCAST_SPLITS = 50_000
 
 
-def row_total(df: DataFrame) -> Column:
-    """Number of rows as a scalar subquery."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).scalar()
+def with_splits(df: DataFrame, splits: int = SPLITS, counted: DataFrame | None = None) -> DataFrame:
+    """`split_id`: runs of `rows div splits` rows by `pos`, so at most 2 * splits - 1 runs.
 
-
-def with_splits(
-    df: DataFrame, splits: int = SPLITS, position: str = "pos", rows: Column | None = None
-) -> DataFrame:
-    """`split_id`: runs of `rows div splits` rows by position, so at most 2 * splits - 1 runs.
-
-    Fewer rows than splits make one run. `rows` saves the count if it is known more cheaply.
+    Fewer rows than splits make one run. `counted` is a table with as many rows that is cheaper
+    to count, such as the stage that `df` was ordered from.
     """
     if splits == 1:
         return df.withColumn("split_id", F.lit(0).cast("bigint"))
-    rows = row_total(df) if rows is None else rows
-    per_run = F.when(rows < splits, rows).otherwise(div(rows, splits))
-    return df.withColumn("split_id", div(F.col(position), per_run))
+    rows = F.count(F.lit(1))
+    per_split = F.when(rows < splits, rows).otherwise(div(rows, splits))
+    size = (df if counted is None else counted).agg(per_split.alias("per_split")).scalar()
+    return df.withColumn("split_id", div(F.col("pos"), size))
 
 
 def split_layout(rows: DataFrame, size: int) -> DataFrame:
@@ -52,7 +47,7 @@ def rechunk(
     df: DataFrame,
     size: int = CHUNK_SIZE,
     splits: int = SPLITS,
-    rows: Column | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join the ids of consecutive rows and cut every `size` tokens, split by split.
 
@@ -67,12 +62,12 @@ def rechunk(
     """
     if "tokens" not in df.columns:
         packed = df.withColumn("tokens", pack_ids("input_ids")).drop("input_ids")
-        return with_ids(rechunk(packed, size, splits, rows))
+        return with_ids(rechunk(packed, size, splits, counted))
     if "n_tokens" not in df.columns:
         df = df.withColumn("n_tokens", id_count("tokens"))
     if "start" not in df.columns:
         df = running_totals_by_position(df, {"start": "n_tokens"})
-    placed = with_splits(df, splits, "pos", rows)
+    placed = with_splits(df, splits, counted)
     layout = split_layout(placed, size)
     if splits <= _BROADCAST_SPLITS:  # the layout has at most 2 * splits - 1 rows
         layout = F.broadcast(layout)

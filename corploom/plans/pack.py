@@ -13,7 +13,7 @@ from corploom.functions.packed_ids import id_count, line_bytes
 from corploom.operators import mixing
 from corploom.operators.lengths import MIN_ROWS, MIN_SUBCHUNK
 from corploom.operators.ordering import write_order
-from corploom.operators.rechunking import CHUNK_SIZE, SPLITS, rechunk, row_total, with_ids
+from corploom.operators.rechunking import CHUNK_SIZE, SPLITS, rechunk, with_ids
 from corploom.operators.tokenizing import Tokenizer, VocabularyTokenizer, packed_tokens
 from corploom.sinks.arrow_shards import write_arrow_shards
 from corploom.sinks.json_lines import write_json_lines
@@ -88,7 +88,7 @@ def mix(
     if mode == "shuffle" and inverse_shuffle and force_rechunk:
         return mixing.mix_inverse(tokens, size=chunk_size, splits=splits)
     ordered = mixing.mix_shuffle(tokens) if mode == "shuffle" else mixing.mix_concat(tokens)
-    return rechunk(ordered, chunk_size, splits, row_total(tokens)) if force_rechunk else ordered
+    return rechunk(ordered, chunk_size, splits, tokens) if force_rechunk else ordered
 
 
 def pack(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,12 +68,22 @@ def drop_empty(df: DataFrame, column: str = "text") -> DataFrame:
     return df.where(has_content(df, column))
 
 
-def keyed_rows(df: DataFrame, key: str = "text", text: str = "text") -> DataFrame:
+def keyed_rows(
+    df: DataFrame, key: str = "text", text: str = "text", metrics: Observation | None = None
+) -> DataFrame:
     """Rows with non-empty `text` whose field `key` is set; `key` is the field to tokenize.
 
-    An empty text drops the row even if `key` names another field.
+    An empty text drops the row even if `key` names another field. `metrics` gets the counts
+    `n_rows`, `n_empty` (no text) and `n_no_key` (text, but nothing to tokenize).
     """
     if key not in df.columns:
         raise ValueError(f"no column {key!r} to tokenize; columns: {df.columns}")
-    kept = drop_empty(df, text) if text in df.columns else df
-    return kept.where(F.col(key).isNotNull())
+    filled = has_content(df, text) if text in df.columns else F.lit(True)
+    if metrics is not None:
+        df = df.observe(
+            metrics,
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(~filled).alias("n_empty"),
+            F.count_if(filled & F.col(key).isNull()).alias("n_no_key"),
+        )
+    return df.where(filled & F.col(key).isNotNull())

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corploom.operators.ordering import shuffle_rows
-from corploom.operators.rechunking import rechunk, row_total, with_chunk_masks, with_splits
+from corploom.operators.rechunking import rechunk, with_chunk_masks, with_splits
 
 
 def packed(df, **options):
@@ -90,7 +90,7 @@ def test_tokens_reach_chunks_by_hash_exchange_only(spark, ordered_ids):
     """No task sees all token rows: single-task exchanges hold totals only."""
     df = ordered_ids([[1, 2], [3]]).withColumn("row_key", F.col("pos").cast("string")).drop("pos")
     ordered = shuffle_rows(df.withColumn("n_tokens", F.size("input_ids")), ["row_key"], sums={"start": "n_tokens"})
-    plan = rechunk(ordered, 4, 30, row_total(df))._jdf.queryExecution().toString()
+    plan = rechunk(ordered, 4, 30, df)._jdf.queryExecution().toString()
     physical = plan[plan.index("== Physical Plan ==") :]
     lines = physical.splitlines()
     for i, line in enumerate(lines):

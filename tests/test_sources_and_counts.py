@@ -1,5 +1,6 @@
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +54,9 @@ def test_only_null_and_empty_texts_are_dropped(spark):
 def test_key_field(spark):
     df = spark.createDataFrame([("x", "h"), ("", "h"), ("y", None)], "text string, html string")
     assert [r.text for r in keyed_rows(df, "html").collect()] == ["x"]
+    metrics = Observation()
+    assert keyed_rows(df, "html", metrics=metrics).count() == 1
+    assert metrics.get == {"n_rows": 3, "n_empty": 1, "n_no_key": 1}
     with pytest.raises(ValueError, match="no column"):
         keyed_rows(df, "body")
 

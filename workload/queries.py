@@ -339,7 +339,7 @@ def rechunk_empty_splits(spark, sf_dir):
     )
     keyed = stage(tokens.withColumn("n_tokens", id_count("tokens")), "lines")
     ordered = ordering.shuffle_rows(keyed, ["row_key"], sums={"start": "n_tokens"})
-    return chunk_rows(rechunking.rechunk(ordered, 256, 5_000, rechunking.row_total(keyed)))
+    return chunk_rows(rechunking.rechunk(ordered, 256, 5_000, keyed))
 
 
 @query

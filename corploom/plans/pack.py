@@ -23,6 +23,7 @@ from corploom.sources.datasets import keyed_rows
 from corploom.staging import stage
 
 MODES = ("shuffle", "concat", "dist_by_length")
+LINE_LENGTH = "len"
 
 
 @dataclass(frozen=True)
@@ -63,7 +64,7 @@ def tokenized_stage(
     if len(by_name) != len(sources):
         raise ValueError("source names must be unique")
     tokens = mixing.concat_sources(by_name).withColumn("n_tokens", id_count("tokens"))
-    return stage(tokens.withColumn("len", line_bytes()) if measure_lines else tokens, "tokenized")
+    return stage(tokens.withColumn(LINE_LENGTH, line_bytes()) if measure_lines else tokens, "tokenized")
 
 
 def mix(
@@ -75,16 +76,18 @@ def mix(
     splits: int = SPLITS,
     min_rows: int = MIN_ROWS,
     min_subchunk: int = MIN_SUBCHUNK,
+    length: str = LINE_LENGTH,
 ) -> DataFrame:
     """Order (`pos`) for staged tokens, then rows of `chunk_size` if `force_rechunk`; ids stay packed.
 
     `inverse_shuffle` with mode shuffle cuts first and shuffles the chunks. Length distribution
-    never rechunks.
+    never rechunks; `length` is the column to go by, JSON line size (`len`) or `n_tokens`.
     """
     if mode not in MODES:
         raise ValueError(f"mixing mode {mode!r} is not supported; choose from {MODES}")
     if mode == "dist_by_length":
-        return mixing.mix_by_length(tokens, F.col("len"), min_rows=min_rows, min_subchunk=min_subchunk)
+        by = F.col(length)
+        return mixing.mix_by_length(tokens, by, min_rows=min_rows, min_subchunk=min_subchunk)
     if mode == "shuffle" and inverse_shuffle and force_rechunk:
         return mixing.mix_inverse(tokens, size=chunk_size, splits=splits)
     ordered = mixing.mix_shuffle(tokens) if mode == "shuffle" else mixing.mix_concat(tokens)
@@ -107,7 +110,8 @@ def pack(
         raise ValueError("give either vocab or fn")
     tokenizer = fn if fn is not None else VocabularyTokenizer(vocab)
     by_length = options.get("mode") == "dist_by_length"
-    rows = mix(tokenized_stage(sources, tokenizer, partitions, by_length), **options)
+    measure_lines = by_length and options.get("length", LINE_LENGTH) == LINE_LENGTH
+    rows = mix(tokenized_stage(sources, tokenizer, partitions, measure_lines), **options)
     return train_test(rows if packed else with_ids(rows))
 
 

@@ -26,8 +26,13 @@ def stage_root(spark: SparkSession) -> str:
     return root
 
 
+_written: dict[str, list[str]] = {}
+
+
 def new_stage_path(spark: SparkSession, name: str) -> str:
-    return f"{stage_root(spark)}/corploom/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/corploom/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -36,3 +41,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_stages(spark: SparkSession):
+    """Delete the stages this application wrote. Frames built on them cannot be read any more."""
+    context = spark.sparkContext
+    for name in _written.pop(context.applicationId, []):
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -116,8 +116,11 @@ toks AS (SELECT doc_id, flatten(list(ids ORDER BY i)) AS ids FROM seg JOIN typed
 LINE_BYTES = """(57 + strlen(array_to_string({ids}, ','))
     + greatest(2 * {n} - 1, 0) + greatest(2 * {t} - 1, 0))::BIGINT"""
 
-RANKED = f"""
-measured AS (SELECT row_key, pos, {LINE_BYTES.format(ids="ids", n="n", t="n")} AS len, ids FROM placed),
+MEASURED = f"""
+measured AS (SELECT row_key, pos, {LINE_BYTES.format(ids="ids", n="n", t="n")} AS len, ids FROM placed)"""
+BY_TOKENS = "measured AS (SELECT row_key, pos, n AS len, 0 AS ids FROM placed)"
+
+GROUPED = f"""
 ranked AS (
     SELECT *, row_number() OVER w - 1 AS rn, (sum(len) OVER w)::BIGINT - len AS cum
     FROM measured WINDOW w AS (ORDER BY len DESC, pos ROWS UNBOUNDED PRECEDING)),
@@ -157,6 +160,10 @@ subs AS (
     SELECT *, (row_number() OVER (PARTITION BY group_id ORDER BY rn) - 1) // target AS sub_id
     FROM chosen)"""
 
+RANKED = f"{MEASURED}, {GROUPED}"
+PLACES = """row_number() OVER (ORDER BY md5('102:' || group_id::VARCHAR || ':' || sub_id::VARCHAR),
+                                  group_id, sub_id, md5('102:0:' || row_key), row_key) - 1 AS pos"""
+
 DOCS_IN_ORDER = f"{DOCUMENTS}, {TOKENS}, {placed(IN_SOURCE_ORDER)}"
 STORE_ROWS = f"SELECT pos AS doc_ord, n::INT AS n_tokens, {ids_md5('ids')} AS ids_md5 FROM placed"
 
@@ -191,6 +198,8 @@ ORACLES: dict[str, str] = {
     "byte_tokens": f"""
         SELECT doc_id, strlen(text)::INT AS n_tokens, {ids_md5(byte_ids("text"))} AS ids_md5,
                strlen(text)::INT AS n_type_zeros, strlen(text)::INT AS n_mask_ones FROM documents""",
+    "streamed_tokens": f"""
+        SELECT doc_id, strlen(text)::INT AS n_tokens, {ids_md5(byte_ids("text"))} AS ids_md5 FROM documents""",
     "token_totals": f"WITH {SOURCES} SELECT count(*) AS n_rows, sum(strlen(text))::BIGINT AS n_tokens FROM src",
     "vocabulary_table": f"WITH {WORD_VOCABULARY} SELECT token_id, h AS token_hex, size FROM vocab",
     "vocab_tokens": f"""WITH RECURSIVE {WORD_VOCABULARY}, {WORD_TOKENS}
@@ -218,6 +227,9 @@ ORACLES: dict[str, str] = {
     "rechunk_empty_splits": f"""WITH {LINES}, {TOKENS},
         {placed("md5('101:' || row_key), row_key")}, {chunks(256, 5_000)} {PACKED}""",
     "shuffled_corpus_chunks": f"WITH {SOURCES}, {TOKENS}, {placed(SHUFFLED)}, {chunks(CHUNK, SPLITS)} {PACKED}",
+    "packed_corpus": f"""WITH {SOURCES}, {TOKENS}, {placed(IN_SOURCE_ORDER)}, {chunks(CHUNK, SPLITS)}
+        SELECT split, pos, n_real, {ids_md5("ids")} AS ids_md5
+        FROM packed, (VALUES ('train'), ('test')) v(split) WHERE split = 'train' OR pos = 0""",
     "inverse_shuffle": f"""WITH {SOURCES}, {TOKENS}, {placed(IN_SOURCE_ORDER)}, {chunks(CHUNK, SPLITS)}
         SELECT split_id, chunk_id, n_real, {ids_md5("ids")} AS ids_md5,
                row_number() OVER (ORDER BY md5('101:' || split_id::VARCHAR || ':' || chunk_id::VARCHAR),
@@ -230,10 +242,9 @@ ORACLES: dict[str, str] = {
     "length_subchunks": f"""WITH {DOCS_IN_ORDER}, {RANKED}
         SELECT group_id, sub_id, count(*) AS n_rows, sum(len)::BIGINT AS total FROM subs GROUP BY ALL""",
     "dist_by_length": f"""WITH {DOCS_IN_ORDER}, {RANKED}
-        SELECT row_key, group_id, sub_id, {ids_md5("ids")} AS ids_md5,
-               row_number() OVER (ORDER BY md5('102:' || group_id::VARCHAR || ':' || sub_id::VARCHAR),
-                                  group_id, sub_id, md5('102:0:' || row_key), row_key) - 1 AS pos
-        FROM subs""",
+        SELECT row_key, group_id, sub_id, {ids_md5("ids")} AS ids_md5, {PLACES} FROM subs""",
+    "dist_by_tokens": f"""WITH {DOCS_IN_ORDER}, {BY_TOKENS}, {GROUPED}
+        SELECT row_key, len::INT AS n_tokens, group_id, sub_id, {PLACES} FROM subs""",
     "store_index": f"""WITH {DOCS_IN_ORDER}
         SELECT pos AS doc_ord, n::INT AS size, start * 2 AS pointer FROM placed""",
     "document_index": """

@@ -11,11 +11,12 @@ from corploom.functions.keys import with_content_keys
 from corploom.functions.packed_ids import id_count, line_bytes
 from corploom.operators import counting, lengths, mixing, ordering, rechunking, tokenizing
 from corploom.operators.running_totals import with_running_totals
-from corploom.plans.pack import Source, export, mix, tokenized_stage
+from corploom.plans.pack import Source, export, mix, pack, tokenized_stage
 from corploom.sinks import arrow_shards, shards, token_rows, token_store
 from corploom.sources import datasets, json_lines, vocabulary
 from corploom.sources.token_store import TokenStore
 from corploom.staging import new_stage_path, stage
+from corploom.streaming.tokenizing import append_to_stage, tokenize_stream
 
 # Settings that the oracles share.
 CHUNK = 2048
@@ -230,6 +231,18 @@ def byte_tokens(spark, sf_dir):
     )
 
 
+@query
+def streamed_tokens(spark, sf_dir):
+    """The same tokens from a stream over the table's file, written as a stage."""
+    schema = table(spark, sf_dir, "documents").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
+    tokens = tokenize_stream(source.parquet(sf_dir), byte_vocabulary(spark))
+    path = new_stage_path(spark, "streamed")
+    append_to_stage(tokens, path, new_stage_path(spark, "offsets")).awaitTermination()
+    found = spark.read.schema(tokens.schema).parquet(path)
+    return found.select("doc_id", F.size("input_ids").alias("n_tokens"), ids_md5())
+
+
 @query
 def token_totals(spark, sf_dir):
     return tokenizing.token_totals(byte_stage(spark, corpora(spark, sf_dir)))
@@ -354,6 +367,15 @@ def inverse_shuffle(spark, sf_dir):
     return chunk_rows(mix(byte_stage(spark, corpora(spark, sf_dir)), inverse_shuffle=True))
 
 
+@query
+def packed_corpus(spark, sf_dir):
+    """The whole chain in one call, with its train and test rows."""
+    vocab = byte_vocabulary(spark)
+    parts = pack(corpora(spark, sf_dir), vocab, partitions=cores(spark), mode="concat")
+    tagged = [df.withColumn("split", F.lit(name)) for name, df in parts.items()]
+    return tagged[0].unionByName(tagged[1]).select("split", "pos", "n_real", ids_md5())
+
+
 # Lengths
 
 
@@ -408,6 +430,19 @@ def dist_by_length(spark, sf_dir):
     return rechunking.with_ids(mixed).select("row_key", "group_id", "sub_id", "pos", ids_md5())
 
 
+@query
+def dist_by_tokens(spark, sf_dir):
+    """The same, going by token count instead of line size."""
+    mixed = mix(
+        document_stage(spark, sf_dir),
+        "dist_by_length",
+        min_rows=MIN_ROWS,
+        min_subchunk=MIN_SUBCHUNK,
+        length="n_tokens",
+    )
+    return mixed.select("row_key", "n_tokens", "group_id", "sub_id", "pos")
+
+
 # Sinks and stores
 
 
@@ -425,7 +460,7 @@ def store_index(spark, sf_dir):
 def document_index(spark, sf_dir):
     """Documents of several items: the turns of each conversation, by number."""
     turns = table(spark, sf_dir, "conversations").select(
-        F.shiftright("conv_id", 12).alias("convs"),
+        F.shiftright("conv_id", 20).alias("convs"),
         "conv_id",
         F.shiftright("turn", 16).alias("turns"),
         "turn",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.functions.keys import with_content_keys
-from corploom.functions.packed_ids import id_count, line_bytes
+from corploom.functions.packed_ids import id_count
 from corploom.operators import counting, lengths, mixing, ordering, rechunking, tokenizing
 from corploom.operators.running_totals import with_running_totals
 from corploom.plans.pack import Source, export, mix, pack, tokenized_stage
@@ -471,7 +471,8 @@ def document_index(spark, sf_dir):
 
 def written_store(spark: SparkSession, sf_dir: str) -> TokenStore:
     path = new_stage_path(spark, "store")
-    export(ordered_documents(spark, sf_dir), "store", path, shard_bytes=SHARD)
+    ordered = mixing.mix_concat(document_stage(spark, sf_dir))  # the export stages its rows itself
+    export(ordered, "store", path, shard_bytes=SHARD)
     return TokenStore(spark, path)
 
 
@@ -509,8 +510,9 @@ def store_manifest(spark, sf_dir):
 @query
 def shard_manifest(spark, sf_dir):
     """Shards of about 200 kB of JSON lines."""
-    docs = ordered_documents(spark, sf_dir).select("pos", line_bytes().alias("row_bytes"))
-    return shards.shard_manifest(shards.with_shards(stage(docs, "sizes"), SHARD))
+    docs = mixing.mix_concat(document_stage(spark, sf_dir, measure_lines=True))
+    sizes = stage(docs.select("pos", F.col("len").alias("row_bytes")), "sizes")
+    return shards.shard_manifest(shards.with_shards(sizes, SHARD))
 
 
 @query
@@ -524,8 +526,7 @@ def train_test(spark, sf_dir):
 def arrow_roundtrip(spark, sf_dir):
     """Packed rows written to Arrow shards and read back through the manifest."""
     path = new_stage_path(spark, "arrow")
-    chunks = stage(mix(document_stage(spark, sf_dir)), "chunks")
-    export(chunks, "arrow", path, shard_bytes=SHARD)
+    export(mix(document_stage(spark, sf_dir)), "arrow", path, shard_bytes=SHARD)
     train = arrow_shards.read_arrow_shards(spark, path).withColumn("split", F.lit("train"))
     test = arrow_shards.read_arrow_shards(spark, path, "test").withColumn("split", F.lit("test"))
     return train.unionByName(test).select(
@@ -541,7 +542,7 @@ def arrow_roundtrip(spark, sf_dir):
 def json_roundtrip(spark, sf_dir):
     """Token rows with masks written as JSON lines and read back with a schema."""
     path = new_stage_path(spark, "json")
-    export(ordered_documents(spark, sf_dir), "json", path)
+    export(mixing.mix_concat(document_stage(spark, sf_dir)), "json", path)
     back = json_lines.read_json_lines(spark, path)
     return back.select(
         F.size("input_ids").alias("n_tokens"), F.size("attention_mask").alias("n_mask"), ids_md5()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corploom.llm.quality import STOP_WORDS
+from corploom.llm.secrets import RULES as SECRETS
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -55,6 +56,97 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
+# crc32 goes over the bytes of each text with a table of 256 entries made by its rule.
+SHARDS = r"""
+with recursive steps(byte, k, v) as (
+  select range::bigint, 0, range::bigint from range(256)
+  union all
+  select byte, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end
+  from steps where k < 8
+),
+crc as (select list(v order by byte) as entries from steps where k = 8),
+sized as (
+  select doc_id, source, coalesce(text, '') as text, octet_length(encode(coalesce(text, ''))) + 1
+    as size, hex(coalesce(text, '')) as digits,
+    md5(concat_ws(':', '101', doc_id::varchar, md5(text))) as key,
+    coalesce('=' || source, '-') as src
+  from documents
+),
+summed as (
+  select sized.*, xor(list_reduce(
+    list_prepend(4294967295::bigint, list_transform(range(1, size),
+      lambda i: ('0x' || substr(digits, (2 * i - 1)::bigint, 2))::bigint)),
+    lambda c, b: xor(c >> 8, entries[xor(c & 255, b) + 1])), 4294967295) as text_crc32
+  from sized, crc
+),
+ranked as (
+  select *, (row_number() over (partition by src order by key) - 0.5::double)
+    / count(*) over (partition by src) as share
+  from summed
+),
+placed as (
+  select *, row_number() over (order by share, src, key) - 1 as pos, count(*) over () as n
+  from ranked
+)
+select doc_id, size::bigint as size, text_crc32::bigint as text_crc32, 'rows' as law,
+  ((pos * 16) // n)::int as shard,
+  (pos - ((pos * 16) // n * n + 15) // 16)::bigint as slot, null::int as grown_shard
+from placed
+"""
+
+
+def _duck_secrets() -> str:
+    """Gaps and matches alternate: a match starts after the gaps and matches before it."""
+
+    def pattern(rule) -> str:
+        # DuckDB folds cases beyond ASCII under (?i); spelled out it does not.
+        text = rule.pattern.replace("(?i:", "(?:")
+        if text != rule.pattern:
+            head, _, tail = text.partition("(?:")
+            names, _, rest = tail.partition(")")
+            names = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in names)
+            text = f"{head}(?:{names}){rest}"
+        return text.replace("'", "''")
+
+    parts = []
+    for k, rule in enumerate(SECRETS):
+        p = pattern(rule)
+        parts.append(
+            f"""
+  select rid, {k} as rank, '{rule.kind}' as kind, unnest(list_transform(range(1, len(m) + 1),
+    lambda i: {{'s': list_sum(list_transform(g[1:i], lambda x: length(x)))
+        + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
+      'n': length(m[i]), 'p': length(p[i])}})) as x
+  from (select rid, regexp_split_to_array(text, '{p}') as g,
+    regexp_extract_all(text, '{p}') as m, regexp_extract_all(text, '{p}', {rule.group}) as p
+    from docs where regexp_matches(text, '{p}'))"""
+        )
+    every = "\n  union all".join(parts)
+    least = " ".join(f"when {k} then {rule.least}" for k, rule in enumerate(SECRETS))
+    return f"""
+with docs as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+found as ({every}
+),
+spans as (
+  select rid, rank, kind, x.s::bigint as s, (x.s + x.n)::bigint as e from found
+  where x.p >= case rank {least} end
+),
+joined as (
+  select rid, count(*) filter (rank = 0) as n_assign, count(*) filter (rank = 1) as n_access,
+    count(*) filter (rank = 2) as n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) filter (rank < 3) as base,
+    string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) as spans
+  from spans group by rid
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+  coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
+  coalesce(spans, '') as spans
+from docs left join joined using (rid)
+"""
+
+
 ORACLES = {
+    "op2_stratified_shards": SHARDS,
+    "op10_trigram_secrets": _duck_secrets(),
     "op5_quality_rules": QUALITY,
 }

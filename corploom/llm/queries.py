@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corploom.llm.bpe import decode, encode
 from corploom.llm.quality import with_quality
+from corploom.llm.secrets import BASE_RULES as BASE_SECRETS
+from corploom.llm.secrets import RULES as SECRETS
+from corploom.llm.secrets import scan_secrets
+from corploom.llm.sharding import interleave
+from corploom.llm.text import join_spans, whole
+
+SHARDS = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,6 +26,12 @@ def query(build: Query) -> Query:
     return build
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,3 +48,55 @@ def op5_quality_rules(spark, sf_dir):
         F.col("quality.base_failed").alias("base_failed"),
         F.col("quality.kept").alias("kept"),
     )
+
+
+@query
+def op2_stratified_shards(spark, sf_dir):
+    """Digests stand in for the texts, which need not move to be placed."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        "text",
+        (F.octet_length(whole(F.col("text"))).cast("bigint") + 1).alias("size"),
+        F.crc32(whole(F.col("text"))).alias("text_crc32"),
+    )
+    placed = interleave(docs, SHARDS, keep=["doc_id", "size", "text_crc32"])
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op4_bpe_chunks(spark, sf_dir):
+    path = tokenizer_path()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = decode(encode(docs, path).drop("text"), path)
+    return coded.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op10_trigram_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan_secrets(docs).drop("text")
+    base = [rule.kind for rule in BASE_SECRETS]
+
+    def of(*kinds):
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base],
+        F.sha2(join_spans(of(*base), base), 256).alias("base_sha256"),
+        join_spans(F.col("secrets"), [rule.kind for rule in SECRETS]).alias("spans"),
+    )

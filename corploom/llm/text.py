@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]"
 
+SPANS = "array<struct<start:int,end:int,kind:string,part:string>>"
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -46,7 +48,7 @@ def spans_of(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
     """
 
     def collect(gaps: Column, found: Column, parts: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
 
         def step(acc: Column, i: Column) -> Column:
             begin = acc["at"] + F.length(F.get(gaps, i))
@@ -58,7 +60,7 @@ def spans_of(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
                 F.get(parts, i).alias("part"),
             )
             return F.struct(
-                end.alias("at"), F.concat(acc["spans"], F.array(span)).cast(_SPANS).alias("spans")
+                end.alias("at"), F.concat(acc["spans"], F.array(span)).cast(SPANS).alias("spans")
             )
 
         return F.aggregate(range_of(F.size(found)), start, step, lambda acc: acc["spans"])
@@ -70,10 +72,7 @@ def spans_of(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
         F.struct(F.split(text, pattern).alias("g"), found.alias("m"), parts.alias("p")),
         lambda x: collect(x["g"], x["m"], x["p"]),
     )
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPANS))
-
-
-_SPANS = "array<struct<start:int,end:int,kind:string,part:string>>"
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPANS))
 
 
 def join_spans(spans: Column, kinds: Sequence[str]) -> Column:

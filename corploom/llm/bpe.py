@@ -21,15 +21,15 @@ import json
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from corploom.llm.batches import slices
+
 _WINDOW = 16  # bytes the rolling hash sees
 _MASK = np.uint64((1 << 9) - 1)  # a cut every 512 bytes on average
 _LEAST = 128  # bytes between cuts
@@ -235,32 +235,16 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose values of `column` fill about `limit` bytes."""
-    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
-    filled = np.cumsum(sizes, dtype=np.int64)
-    begin = 0
-    while begin < batch.num_rows:
-        base = int(filled[begin - 1]) if begin else 0
-        end = max(begin + 1, int(np.searchsorted(filled, base + limit, side="right")))
-        yield batch.slice(begin, end - begin)
-        begin = end
-
-
-def _set(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
-    return batch.append_column(name, values)
-
-
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds `ids` (binary: little-endian unsigned 32-bit integers) for the tokenizer file."""
 
     def run(batches):
         encoder = _encoder(path)
         for batch in batches:
-            for part in _slices(batch, text, _BATCH_BYTES):
+            for part in slices(batch, text, _BATCH_BYTES):
                 texts = part.column(text).to_pylist()
                 packed = [encoder.encode(t or "").astype("<u4").tobytes() for t in texts]
-                yield _set(part, ids, pa.array(packed, pa.binary()))
+                yield part.append_column(ids, pa.array(packed, pa.binary()))
 
     source = df.drop(ids)
     schema = T.StructType([*source.schema.fields, T.StructField(ids, T.BinaryType())])
@@ -273,14 +257,14 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
 
     def run(batches):
         for batch in batches:
-            for part in _slices(batch, ids, 4 * _BATCH_BYTES):
+            for part in slices(batch, ids, 4 * _BATCH_BYTES):
                 texts = [
                     None
                     if x is None
                     else decode_ids(np.frombuffer(x, "<u4"), path).decode(errors="replace")
                     for x in part.column(ids).to_pylist()
                 ]
-                yield _set(part, decoded, pa.array(texts, pa.string()))
+                yield part.append_column(decoded, pa.array(texts, pa.string()))
 
     source = df.drop(decoded)
     schema = T.StructType([*source.schema.fields, T.StructField(decoded, T.StringType())])

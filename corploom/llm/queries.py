@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.llm.bpe import decode, encode
+from corploom.llm.decontamination import with_leaks
+from corploom.llm.licenses import with_licenses
+from corploom.llm.pii import KINDS as PII_KINDS
+from corploom.llm.pii import fit_model, with_pii
 from corploom.llm.quality import with_quality
 from corploom.llm.secrets import BASE_RULES as BASE_SECRETS
 from corploom.llm.secrets import RULES as SECRETS
 from corploom.llm.secrets import scan_secrets
 from corploom.llm.sharding import interleave
 from corploom.llm.text import join_spans, whole
+from corploom.llm.urls import judge_urls
 
 SHARDS = 16
 
@@ -100,3 +105,61 @@ def op10_trigram_secrets(spark, sf_dir):
         F.sha2(join_spans(of(*base), base), 256).alias("base_sha256"),
         join_spans(F.col("secrets"), [rule.kind for rule in SECRETS]).alias("spans"),
     )
+
+
+@query
+def op1_string_tiling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    leaks = with_leaks(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", F.explode("leaks").alias("leak")
+    )
+    return leaks.select(
+        "doc_id",
+        F.col("leak.item").alias("item_id"),
+        F.col("leak.n_words").alias("n_words"),
+        F.col("leak.n_matched").alias("n_matched"),
+        F.size("leak.tiles").alias("n_tiles"),
+        F.col("leak.coverage").alias("coverage"),
+    )
+
+
+@query
+def op8_url_rules(spark, sf_dir):
+    judged = judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
+    base = F.col("layer") > 0
+    return judged.select(
+        "page_id", "host", "path", F.when(base, F.col("rule")).alias("rule"), "verdict"
+    )
+
+
+@query
+def op9_license_diagonals(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = F.col("licenses")
+    places = found["places"]
+    return with_licenses(docs).select(
+        "doc_id",
+        found["n_words"].alias("n_words"),
+        F.size(places).cast("bigint").alias("n_base"),
+        F.array_min(places).cast("bigint").alias("first_word"),
+        F.array_max(places).cast("bigint").alias("last_word"),
+        F.array_join(found["base_labels"], ",").alias("base_labels"),
+        F.array_join(found["labels"], ",").alias("labels"),
+        found["score"].alias("score"),
+    )
+
+
+@query
+def op7_boosted_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_pii(docs, fit_model(docs)).drop("text")
+
+    def strict(*kinds):
+        return F.filter("pii", lambda s: s["strict"] & s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(strict(kind)).cast("bigint").alias(f"n_{kind}") for kind in PII_KINDS],
+        F.sha2(join_spans(strict(*PII_KINDS), PII_KINDS), 256).alias("base_sha256"),
+        join_spans(F.col("pii"), PII_KINDS).alias("spans"),
+    )

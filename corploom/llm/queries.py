@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corploom.llm.bpe import decode, encode
 from corploom.llm.decontamination import with_leaks
 from corploom.llm.licenses import with_licenses
+from corploom.llm.near_duplicates import near_duplicate_classes
 from corploom.llm.pii import KINDS as PII_KINDS
 from corploom.llm.pii import fit_model, with_pii
 from corploom.llm.quality import with_quality
@@ -163,3 +164,16 @@ def op7_boosted_pii(spark, sf_dir):
         F.sha2(join_spans(strict(*PII_KINDS), PII_KINDS), 256).alias("base_sha256"),
         join_spans(F.col("pii"), PII_KINDS).alias("spans"),
     )
+
+
+@query
+def op6_dart_minhash(spark, sf_dir):
+    """One row per document with its class: the smallest id in it, and the class's size."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    classed = near_duplicate_classes(docs).select("doc_id", "text_key", "class_key")
+    classes = classed.groupBy("class_key").agg(
+        F.min("doc_id").alias("class_id"),
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count_distinct("text_key").alias("n_texts"),
+    )
+    return classed.join(classes, "class_key").select("doc_id", "class_id", "n_docs", "n_texts")

@@ -14,6 +14,7 @@ from corploom.llm.near_duplicates import near_duplicate_classes
 from corploom.llm.pii import KINDS as PII_KINDS
 from corploom.llm.pii import fit_model, with_pii
 from corploom.llm.quality import with_quality
+from corploom.llm.repeats import without_repeats
 from corploom.llm.secrets import BASE_RULES as BASE_SECRETS
 from corploom.llm.secrets import RULES as SECRETS
 from corploom.llm.secrets import scan_secrets
@@ -177,3 +178,11 @@ def op6_dart_minhash(spark, sf_dir):
         F.count_distinct("text_key").alias("n_texts"),
     )
     return classed.join(classes, "class_key").select("doc_id", "class_id", "n_docs", "n_texts")
+
+
+@query
+def op3_fm_repeats(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )

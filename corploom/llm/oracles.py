@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from corploom.llm.licenses import COVERAGE, GRAM, NEAR, PHRASES, TEMPLATES
 from corploom.llm.quality import STOP_WORDS
 from corploom.llm.secrets import RULES as SECRETS
+from corploom.llm.urls import RULES as URL_RULES
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -95,6 +97,113 @@ from placed
 """
 
 
+REPEATS = rf"""
+with docs as (select row_number() over () as rid, doc_id, {_WORDS} as words from documents),
+windows as (
+  select rid, doc_id, i, array_to_string(words[i:i + 12], ' ') as content
+  from (select rid, doc_id, words, unnest(range(1, len(words) - 11)) as i from docs)
+),
+gone as (
+  select distinct rid, unnest(range(i, i + 13)) as place from (
+    select rid, i, doc_id, min(doc_id) over (partition by content) as owner from windows
+  ) where owner < doc_id
+),
+removed as (select rid, list(place) as places from gone group by rid)
+select doc_id, len(words)::bigint as n_words, coalesce(len(places), 0)::bigint as n_removed,
+  sha256(array_to_string(list_transform(
+    list_filter(range(1, len(words) + 1), lambda i: not list_contains(coalesce(places, []), i)),
+    lambda i: words[i]), ' ')) as kept_sha256
+from docs left join removed using (rid)
+"""
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_URL_RULES = ", ".join(
+    f"({_sql(r.name)}, {_sql(r.verdict)}, {_sql(r.pattern)}, {r.layer})" for r in URL_RULES
+)
+URLS = rf"""
+with rules(name, verdict, pattern, layer) as (values {_URL_RULES}),
+rests as (
+  select row_number() over () as rid, page_id, case when instr(url, '://') > 0
+    then substr(url, instr(url, '://') + 3) else '' end as rest
+  from pages
+),
+parts as (
+  select rid, page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_AZ}) as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from rests
+),
+winners as (
+  select rid, arg_max(struct_pack(name, verdict, layer), (layer, length(name), name)) as won
+  from parts join rules on regexp_matches('.' || host || path, pattern) group by rid
+)
+select page_id, host, path, case when won.layer > 0 then won.name end as rule,
+  coalesce(won.verdict, 'allow') as verdict
+from parts left join winners using (rid)
+"""
+
+
+def _template_rows() -> str:
+    rows = []
+    for number, template in enumerate([*PHRASES, *TEMPLATES]):
+        words, phrase = template.text.split(), number < len(PHRASES)
+        size = len(words) if phrase else GRAM
+        grams = [" ".join(words[k : k + size]) for k in range(len(words) - size + 1)]
+        rows += [
+            f"({number}, {_sql(template.label)}, {phrase}, {k}, {len(grams)}, {_sql(gram)}, {size})"
+            for k, gram in enumerate(grams)
+        ]
+    return ", ".join(rows)
+
+
+LICENSES = rf"""
+with templates(template, label, phrase, tpos, parts, part, size) as (values {_template_rows()}),
+docs as (
+  select row_number() over () as rid, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), {_AZ}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as words
+  from documents
+),
+grams as (
+  select rid, i - 1 as pos, words[i] || ' ' || words[i + 1] as two,
+    array_to_string(words[i:i + 2], ' ') as three
+  from (select rid, words, unnest(range(1, len(words))) as i from docs)
+),
+hits as (
+  select distinct rid, template, label, phrase, parts, tpos, pos, size, pos - tpos as diagonal
+  from grams join templates on (size = 2 and two = part) or (size = 3 and three = part)
+),
+fresh as (
+  select *, phrase or coalesce(diagonal - lag(diagonal) over w > {NEAR}, true) as apart
+  from hits window w as (partition by rid, template order by diagonal, pos)
+),
+runs as (
+  select *, sum(case when apart then 1 else 0 end)
+    over (partition by rid, template order by diagonal, pos rows unbounded preceding) as run
+  from fresh
+),
+merged as (
+  select rid, template, any_value(label) as label, any_value(phrase) as phrase, min(pos) as first,
+    count(distinct tpos) / any_value(parts) as coverage
+  from runs group by rid, template, run
+),
+found as (
+  select rid, count(*) filter (phrase) as n_base, min(first) filter (phrase) as first_word,
+    max(first) filter (phrase) as last_word,
+    array_to_string(list_sort(list(distinct label) filter (phrase)), ',') as base_labels,
+    array_to_string(list_sort(list(distinct label)), ',') as labels, max(coverage) as score
+  from merged where coverage >= {COVERAGE} group by rid
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word,
+  last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+  coalesce(score, 0)::double as score
+from docs left join found using (rid)
+"""
+
+
 def _duck_secrets() -> str:
     """Gaps and matches alternate: a match starts after the gaps and matches before it."""
 
@@ -147,6 +256,9 @@ from docs left join joined using (rid)
 
 ORACLES = {
     "op2_stratified_shards": SHARDS,
+    "op3_fm_repeats": REPEATS,
+    "op8_url_rules": URLS,
+    "op9_license_diagonals": LICENSES,
     "op10_trigram_secrets": _duck_secrets(),
     "op5_quality_rules": QUALITY,
 }

@@ -30,7 +30,7 @@ MOST_BROADCAST = 100_000  # rules sent to all tasks; more are joined by a shuffl
 @dataclass(frozen=True)
 class Rule:
     """`name` is reported. Among rules that match, the highest `layer` wins, then the longest
-    name, then the first by name."""
+    name, then the last by name."""
 
     name: str
     verdict: str

@@ -186,7 +186,7 @@ def scan_secrets(
     keyed = keyed.withColumn("_key", F.md5("_text"))
     indexed = [rule for rule in rules if not scans_fully(rule)]
     found = candidates(keyed.select("_text", "_key"), indexed, "_text", "_key")
-    joined = keyed.join(found, "_key", "left")
+    joined = keyed.join(found.withColumnRenamed("kinds", "_kinds"), "_key", "left")
 
     def spans(rule: Rule) -> Column:
         every = F.filter(
@@ -195,9 +195,9 @@ def scan_secrets(
         )
         if rule not in indexed:
             return every
-        asked = F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False))
+        asked = F.coalesce(F.array_contains("_kinds", rule.kind), F.lit(False))
         return F.when(asked, every).otherwise(F.array().cast(SPANS))
 
     return joined.withColumn(result, F.concat(*[spans(rule) for rule in rules])).drop(
-        "_text", "_key", "kinds"
+        "_text", "_key", "_kinds"
     )

@@ -22,17 +22,23 @@ def shuffle_key(seed: int, *parts: Column | str) -> Column:
 def with_content_keys(df: DataFrame, columns: Sequence[str], key: str = "row_key") -> DataFrame:
     """Unique string keys for rows that have none: md5 of the content, then a copy number.
 
-    Rows of equal content cannot be told apart, so they are counted (with map-side combine) and
-    laid out again in two steps, block by block: no task holds all copies of a frequent row.
+    Rows of equal content cannot be told apart, so they are counted by their digest (with map-side
+    combine), which moves each content once, and laid out again. Contents with more copies than a
+    block are laid out block by block, so that no task holds all copies of a frequent row.
     """
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     is_text = len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, T.StringType)
-    digest = F.md5(F.col(columns[0]) if is_text else F.to_json(F.struct(*columns)))
+    content = F.col(columns[0]) if is_text else F.to_json(F.struct(*columns))
+    counted = (
+        df.groupBy(F.md5(content).alias("_digest"), F.octet_length(content).alias("_size"))
+        .agg(F.first(F.struct(*columns)).alias("_row"), F.count(F.lit(1)).alias("_copies"))
+        .select("_row.*", "_digest", "_copies")
+    )
     last_block = div(F.col("_copies") - 1, _COPIES_PER_BLOCK)
     blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), last_block))
-    spread = counted.withColumns({"_digest": digest, "_block": blocks}).repartition(
-        F.col("_digest"), F.col("_block")
-    )
+    few = counted.where(F.col("_copies") <= _COPIES_PER_BLOCK)
+    many = counted.where(F.col("_copies") > _COPIES_PER_BLOCK).withColumn("_block", blocks)
+    many = many.repartition(F.col("_digest"), F.col("_block"))
+    spread = few.withColumn("_block", F.lit(0).cast("bigint")).unionByName(many)
     first = F.col("_block") * _COPIES_PER_BLOCK
     last = F.least(F.col("_copies"), first + _COPIES_PER_BLOCK) - 1
     numbered = spread.withColumn("_copy", F.explode(F.sequence(first, last)))

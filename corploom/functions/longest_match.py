@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 
-_BLOCK = 1 << 20
-_REACH = 1 << 16
-_FEW_SEGMENTS = 256
-_MAX_PREFIXES = 200_000
-
 
 def _bytes_and_offsets(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The joined bytes of a string or binary array, and the row boundaries within them."""
@@ -23,70 +17,58 @@ def _bytes_and_offsets(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class LongestMatch:
-    """Token ids of byte strings: at each position the longest vocabulary entry wins.
+    """Token ids of byte strings: at each place the longest vocabulary entry wins.
 
-    Two neighbouring bytes that stand side by side in no vocabulary entry cannot share a token,
-    nor can they if no entry opens within its length before them, so the text is cut there first.
-    The cut is exact for every vocabulary. The many short segments are then matched side by
-    side, one byte a step for all of them; a few long ones are matched one by one.
+    The vocabulary is an automaton that reads each text once, whatever its length and however
+    densely entries overlap. It works on characters; bytes stand in as the first 256 of them.
     """
 
     def __init__(self, ids: dict[bytes, int]):
         self.ids = ids
         self.longest = max(map(len, ids), default=0)
-        self.inside = np.zeros(1 << 16, bool)  # pairs of bytes within some entry
-        self.opening = np.zeros(1 << 16, bool)  # pairs that start some entry
-        sizes: dict[bytes, set[int]] = {}
-        for token in ids:
-            raw = np.frombuffer(token, np.uint8).astype(np.uint16)
-            pairs = (raw[:-1] << 8) | raw[1:]
-            self.inside[pairs] = True
-            self.opening[pairs[:1]] = True
-            sizes.setdefault(token[:2], set()).add(len(token))
-        self.sizes = {
-            start: tuple(sorted(found | ({1} if start[:1] in ids else set()), reverse=True))
-            for start, found in sizes.items()
-        }
         self.single = np.array([ids.get(bytes([value]), -1) for value in range(256)], np.int32)
-        self._index_prefixes()
+        self.automaton = None
+        if self.longest > 1:
+            # Entries are numbered anew, as two entries may share an id.
+            tokens = sorted(ids)
+            self.id_of = np.array([ids[token] for token in tokens], np.int32)
+            self.size_of = np.array([len(token) for token in tokens], np.int64)
+            self.automaton = ahocorasick.Automaton()
+            for number, token in enumerate(tokens):
+                if token:
+                    self.automaton.add_word(token.decode("latin-1"), number)
+            self.automaton.make_automaton()
 
     def __reduce__(self):
         return LongestMatch, (self.ids,)
 
-    def _index_prefixes(self):
-        """Number the proper prefixes of entries; (prefix, next byte) -> longer prefix, and its id."""
-        prefixes = {b"": 0}
-        for token in self.ids:
-            for size in range(1, len(token)):
-                prefixes.setdefault(token[:size], len(prefixes))
-        self.n_prefixes = len(prefixes)
-        if self.n_prefixes > _MAX_PREFIXES:
-            return
-        whole = dict(prefixes)
-        for token in self.ids:
-            whole.setdefault(token, len(whole))
-        self.longer = np.full((len(prefixes), 256), -1, np.int32)
-        self.id_of = np.full(len(whole), -1, np.int32)
-        for prefix, number in whole.items():
-            if prefix:
-                self.longer[prefixes[prefix[:-1]], prefix[-1]] = number
-            self.id_of[number] = self.ids.get(prefix, -1)
-        self.longer = self.longer.ravel()
-
-    def match(self, segment: bytes) -> list[tuple[int, int]]:
-        """Place and id of each token."""
-        ids, sizes, found, at = self.ids, self.sizes, [], 0
-        while at < len(segment):
-            for size in sizes.get(segment[at : at + 2]) or (1,):
-                piece = segment[at : at + size]
-                token_id = ids.get(piece)
-                if token_id is not None:
-                    break
-            else:
-                raise ValueError(f"no vocabulary entry matches the text at {segment[at : at + 16]!r}")
-            found.append((at, token_id))
-            at += len(piece)
-        return found
+    def match(self, text: bytes) -> np.ndarray:
+        """Ids of the tokens of one text."""
+        if self.automaton is None:
+            found = self.single[np.frombuffer(text, np.uint8)]
+            if len(found) and found.min() < 0:
+                self._refuse(text, int(np.argmin(found)))
+            return found
+        hits = self.automaton.iter_long(text.decode("latin-1"))
+        numbers = np.array([number for _, number in hits], np.int64)
+        ends = np.cumsum(self.size_of[numbers])
+        if (int(ends[-1]) if len(ends) else 0) != len(text):
+            self._refuse(text, self._gap(text))
+        return self.id_of[numbers]
+
+    def _gap(self, text: bytes) -> int:
+        """First place at which no entry begins."""
+        at = 0
+        for end, number in self.automaton.iter_long(text.decode("latin-1")):
+            size = int(self.size_of[number])
+            if end + 1 - size != at:
+                break
+            at += size
+        return at
+
+    @staticmethod
+    def _refuse(text: bytes, at: int):
+        raise ValueError(f"no vocabulary entry matches the text at {text[at : at + 16]!r}")
 
     def __call__(self, texts: pa.Array) -> pa.Array:
         """list<int32> of token ids for each text; null stays null."""
@@ -97,91 +79,12 @@ class LongestMatch:
     def ids_and_ends(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text starts and ends among them."""
         raw, starts = _bytes_and_offsets(texts)
-        found, row_ends, total = [np.empty(0, np.int32)], np.empty(len(starts), np.int64), 0
-        for a, b in self._blocks(raw, starts):
-            rows = slice(*np.searchsorted(starts, (a, b)))
-            ids, ends = self._block_ids(raw[a:b], starts[rows] - a)
-            row_ends[rows] = total + ends
-            total += len(ids)
-            found.append(ids)
-        row_ends[starts == len(raw)] = total
-        return np.concatenate(found), row_ends
-
-    def _blocks(self, raw: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Byte ranges of a few MB that end where no token can reach across, to bound memory."""
-        a = 0
-        while a < len(raw):
-            b = a + _BLOCK
-            while b < len(raw):
-                # The last safe place in reach: between two bytes no entry holds, or between texts.
-                pairs = (raw[b - _REACH - 1 : b - 1].astype(np.uint16) << 8) | raw[b - _REACH : b]
-                safe = np.flatnonzero(~self.inside[pairs])
-                row = starts[np.searchsorted(starts, b, "right") - 1]
-                end = max(b - _REACH + safe[-1] if len(safe) else 0, row if row > b - _REACH else 0)
-                if end:
-                    b = end
-                    break
-                b += _REACH
-            b = min(b, len(raw))
-            yield a, b
-            a = b
-
-    def _block_ids(self, raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bounds = np.flatnonzero(self._cuts(raw, starts)).astype(np.int32)
-        sizes = np.diff(bounds)
-        single = sizes == 1
-        at = bounds[:-1][single]
-        id_at = np.full(len(raw), -1, np.int32)  # id of the token that starts at a byte
-        id_at[at] = self.single[raw[at]]
-        if len(at) and id_at[at].min() < 0:
-            self.match(bytes(raw[at][id_at[at] < 0][:1]))  # names the byte without an entry
-        if len(at) == len(raw):
-            return id_at, starts
-        self._match_segments(raw, bounds[:-1][~single], bounds[1:][~single], id_at)
-        is_start = id_at >= 0
-        before = np.concatenate(([0], np.cumsum(is_start)))
-        return id_at[is_start], before[starts]
-
-    def _cuts(self, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """True where no token can reach across, for each place before, between and after bytes."""
-        cut = np.ones(len(raw) + 1, bool)
-        if len(raw) > 1:
-            pairs = (raw[:-1].astype(np.uint16) << 8) | raw[1:]
-            opened = np.concatenate(([0], np.cumsum(self.opening[pairs], dtype=np.int32)))
-            reach = max(self.longest - 1, 1)
-            recent = opened[1:].copy()
-            recent[reach:] -= opened[1:-reach]
-            cut[1:-1] = ~self.inside[pairs] | (recent == 0)
-            cut[starts] = True
-        return cut
-
-    def _match_segments(self, raw: np.ndarray, first: np.ndarray, last: np.ndarray, id_at: np.ndarray):
-        """Set `id_at` for the segments `first..last`: each step reads one byte of every segment."""
-        raw = np.append(raw, np.uint8(0))
-        start, at, end = first, first, last
-        prefix, best = np.zeros_like(first), np.full_like(first, -1)
-        best_end = first
-        while len(start) > _FEW_SEGMENTS and self.n_prefixes <= _MAX_PREFIXES:
-            reached = self.longer[(prefix << 8) | raw[at]]
-            known = reached >= 0
-            at = at + known
-            token = np.where(known, self.id_of[reached], -1)
-            better = token >= 0
-            best = np.where(better, token, best)
-            best_end = np.where(better, at, best_end)
-            ended = ~known | (reached >= self.n_prefixes) | (at == end)
-            if best[ended].min(initial=0) < 0:
-                break  # the loop below names the text that has no entry
-            id_at[start[ended]] = best[ended]
-            start, at = np.where(ended, best_end, start), np.where(ended, best_end, at)
-            prefix, best = np.where(ended, 0, reached), np.where(ended, -1, best)
-            left = start < end
-            if not left.all():
-                start, at, end, prefix = start[left], at[left], end[left], prefix[left]
-                best, best_end = best[left], best_end[left]
-        for a, b in zip(start.tolist(), end.tolist()):
-            for place, token_id in self.match(bytes(raw[a:b])):
-                id_at[a + place] = token_id
+        if self.automaton is None:  # an id per byte
+            return self.match(raw.tobytes()), starts
+        joined = raw.tobytes()
+        found = [self.match(joined[a:b]) for a, b in zip(starts.tolist(), starts[1:].tolist())]
+        ends = np.concatenate(([0], np.cumsum([len(f) for f in found], dtype=np.int64)))
+        return np.concatenate([np.empty(0, np.int32), *found]), ends
 
 
 class TokenBytes:

@@ -5,12 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_EARLY_STOP = 100_000
-
-
 def nonblank_lines(df: DataFrame, column: str = "value") -> DataFrame:
     """Rows whose text holds anything but white space."""
     return df.where(F.col(column).rlike(r"\S"))
@@ -23,10 +20,9 @@ def row_count(df: DataFrame) -> DataFrame:
 def bounded_count(df: DataFrame, target: int) -> int:
     """Number of rows, or -1 if there are more than `target`.
 
-    A small target stops early; a large one counts everywhere, since a limit gathers its rows
-    in one task.
+    Every task stops after `target` rows and one more; these are empty rows when they meet.
     """
-    n = (df.limit(target + 1) if target < _EARLY_STOP else df).count()
+    n = df.select().limit(target + 1).count()
     return -1 if n > target else n
 
 
@@ -44,6 +40,13 @@ def save_fingerprint(stage_path: str, source: DataFrame, columns: Sequence[str],
     fingerprint(source, columns, spec).write.mode("overwrite").parquet(f"{stage_path}.source")
 
 
+def drop_fingerprint(spark: SparkSession, stage_path: str):
+    """Before a stage is written again: a write that breaks off must leave nothing to trust."""
+    context = spark.sparkContext
+    note = context._jvm.org.apache.hadoop.fs.Path(f"{stage_path}.source")
+    note.getFileSystem(context._jsc.hadoopConfiguration()).delete(note, True)
+
+
 def stage_reusable(stage_path: str, source: DataFrame, columns: Sequence[str], spec: str = "") -> bool:
     """True if the stage has as many rows as `source` and was made from the same content."""
     spark = source.sparkSession

@@ -19,6 +19,7 @@ MIN_ROWS = 4096
 MIN_SUBCHUNK = 1024
 LENGTH_SEED = 102
 _BROADCAST_GROUPS = 100_000
+_ROW_BITS = 20
 
 
 def _partition_gcd(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,11 +109,33 @@ def group_number(budget: Column, min_rows: int) -> Column:
 def candidate_groups(ranked: DataFrame, budgets: list[int], min_rows: int, length: str = "len") -> DataFrame:
     """Rows and length of each group for each budget, a short last group joined to the one before.
 
-    Ranked rows of a partition fall into few groups, so partial aggregation leaves little to move.
+    Budgets are tried on runs of equal length, not on rows: within a run, ranks and lengths before
+    the rows grow by equal steps, so the rank at which a group begins is a quotient.
     """
-    tried = ranked.select("rn", "cum", length, F.explode(F.lit(budgets).cast("array<bigint>")).alias("budget"))
-    groups = tried.groupBy("budget", group_number(F.col("budget"), min_rows).alias("group_id")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(length).alias("total")
+    runs = ranked.groupBy(F.col(length).cast("bigint").alias("step")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("rn").alias("rn"), F.min("cum").alias("cum")
+    )
+    tried = runs.withColumn("budget", F.explode(F.lit(budgets).cast("array<bigint>")))
+    end = F.col("rn") + F.col("n")
+    last_cum = F.col("cum") + F.col("step") * (F.col("n") - 1)
+    last = F.least(div(last_cum, F.col("budget")), div(end - 1, min_rows))
+    spans = tried.withColumn(
+        "group_id", F.explode(F.sequence(group_number(F.col("budget"), min_rows), last))
+    )
+
+    def begin(group: Column) -> Column:
+        """First rank of the run in the group or beyond; the end of the run if there is none."""
+        missing = group * F.col("budget") - F.col("cum")
+        steps = F.when(F.col("step") > 0, div(missing + F.col("step") - 1, F.col("step")))
+        by_bytes = F.when(missing <= 0, F.lit(0)).otherwise(F.coalesce(steps, F.col("n")))
+        return F.least(end, F.greatest(F.col("rn"), F.col("rn") + by_bytes, group * min_rows))
+
+    in_run = begin(F.col("group_id") + 1) - begin(F.col("group_id"))
+    groups = (
+        spans.select("budget", "group_id", "step", in_run.alias("n_rows"))
+        .where(F.col("n_rows") > 0)
+        .groupBy("budget", "group_id")
+        .agg(F.sum("n_rows").alias("n_rows"), F.sum(F.col("n_rows") * F.col("step")).alias("total"))
     )
     last = groups.groupBy("budget").agg(
         F.max("group_id").alias("last_id"), F.max_by("n_rows", "group_id").alias("last_rows")
@@ -176,9 +199,16 @@ def assign_subchunks(grouped: DataFrame, plan: GroupPlan, min_subchunk: int = MI
     return grouped.join(first, "group_id").withColumn("sub_id", sub).drop("_first")
 
 
-def shuffle_subchunks(df: DataFrame, keys: list[str], seed: int = LENGTH_SEED) -> DataFrame:
-    """Subchunks in seeded order, and the rows inside each; `pos` is the new place of a row."""
+def shuffle_subchunks(
+    df: DataFrame, keys: list[str], seed: int = LENGTH_SEED, largest: int | None = None
+) -> DataFrame:
+    """Subchunks in seeded order, and the rows inside each; `pos` is the new place of a row.
+
+    Subchunks of more than a million rows (`largest`; None: of any size) are split by row key,
+    so that no task sorts more of one.
+    """
     bits = default_bits(df.sparkSession)
+    row_bits = bits if largest is None else min(bits, (largest >> _ROW_BITS).bit_length())
     keyed = df.withColumns(
         {
             "_sub_key": shuffle_key(seed, "group_id", "sub_id"),
@@ -187,10 +217,11 @@ def shuffle_subchunks(df: DataFrame, keys: list[str], seed: int = LENGTH_SEED) -
     ).withColumns(
         {
             "_sub_bucket": hash_bucket(F.col("_sub_key"), bits),
-            "_row_bucket": hash_bucket(F.col("_row_key"), bits),
+            "_row_bucket": hash_bucket(F.col("_row_key"), row_bits),
         }
     )
-    levels = [["_sub_bucket"], ["_sub_key", "group_id", "sub_id"], ["_row_bucket"]]
+    levels = [["_sub_bucket"], ["_sub_key", "group_id", "sub_id"]]
+    levels += [["_row_bucket"]] if row_bits else []
     placed = with_running_totals(keyed, levels, ["_row_key", *keys])
     return placed.drop("_sub_key", "_row_key", "_sub_bucket", "_row_bucket")
 
@@ -206,4 +237,5 @@ def length_places(
     ranked = stage_ranked(rank_by_length(measured).drop("pos"))
     plan = choose_groups(ranked, min_rows)
     parts = assign_subchunks(assign_groups(ranked, plan), plan, min_subchunk)
-    return shuffle_subchunks(parts, keys, seed).select(*keys, "len", "group_id", "sub_id", "pos")
+    largest = max(plan.smallest, min_subchunk)
+    return shuffle_subchunks(parts, keys, seed, largest).select(*keys, "len", "group_id", "sub_id", "pos")

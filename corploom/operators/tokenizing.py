@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corploom.functions.longest_match import LongestMatch, TokenBytes
 from corploom.functions.packed_ids import pack_ids, packed_array
-from corploom.sources.vocabulary import decoding_table, encoding_table
+from corploom.sources.vocabulary import MAX_VOCABULARY_BYTES, decoding_table, encoding_table
 
 Tokenizer = Callable[[Column], Column]
 
@@ -20,14 +21,16 @@ class VocabularyTokenizer:
     """Column functions for one vocabulary: text -> array<int>, and text -> packed ids.
 
     A list field gives array<array<int>> by `parts`, or the packed ids of all parts in order.
+    `max_bytes` bounds the vocabulary, which every worker holds.
     """
 
-    def __init__(self, vocab: DataFrame):
-        matcher = vocab.sparkSession.sparkContext.broadcast(LongestMatch(encoding_table(vocab)))
+    def __init__(self, vocab: DataFrame, max_bytes: int = MAX_VOCABULARY_BYTES):
+        self.table = encoding_table(vocab, max_bytes)
+        matcher = vocab.sparkSession.sparkContext.broadcast(LongestMatch(self.table))
 
         def inner(lists: pa.Array) -> tuple[pa.Array, pa.Array]:
             first, last = lists.offsets[0].as_py(), lists.offsets[-1].as_py()
-            return lists.values.slice(first, last - first), pa.compute.subtract(lists.offsets, first)
+            return lists.values.slice(first, last - first), pc.subtract(lists.offsets, first)
 
         def validity(values: pa.Array):
             return values.is_valid().buffers()[1] if values.null_count else None

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corploom.functions.keys import with_content_keys
 from corploom.functions.packed_ids import id_count, line_bytes
 from corploom.operators import mixing
+from corploom.operators.counting import drop_fingerprint, save_fingerprint, stage_reusable
 from corploom.operators.lengths import MIN_ROWS, MIN_SUBCHUNK
-from corploom.operators.ordering import write_order
 from corploom.operators.rechunking import CHUNK_SIZE, SPLITS, rechunk, with_ids
 from corploom.operators.tokenizing import Tokenizer, VocabularyTokenizer, packed_tokens
 from corploom.sinks.arrow_shards import write_arrow_shards
-from corploom.sinks.json_lines import write_json_lines
-from corploom.sinks.token_rows import export_rows, train_test
+from corploom.sinks.files import refuse_filled
+from corploom.sinks.json_lines import COLUMNS
+from corploom.sinks.token_rows import ordered_rows, train_test
 from corploom.sinks.token_store import write_token_store
 from corploom.sources.datasets import keyed_rows
 from corploom.staging import stage
@@ -36,35 +38,109 @@ class Source:
     row_key: str | Column | None = None
 
 
-def prepare_source(source: Source, tokenizer: Tokenizer, partitions: int | None = None) -> DataFrame:
+def source_rows(source: Source, metrics: Observation | None = None) -> DataFrame:
+    """`row_key` and the field to tokenize, of the rows with text. `metrics` gets the counts of
+    `keyed_rows`: rows, rows without text, rows without the field."""
+    rows = keyed_rows(source.rows, source.key, metrics=metrics)
+    if source.row_key is None:
+        return with_content_keys(rows, [source.key])
+    given = F.col(source.row_key) if isinstance(source.row_key, str) else source.row_key
+    return rows.select(given.cast("string").alias("row_key"), F.col(source.key))
+
+
+def prepare_source(
+    source: Source,
+    tokenizer: Tokenizer,
+    partitions: int | None = None,
+    metrics: Observation | None = None,
+) -> DataFrame:
     """`row_key, tokens` (packed ids) of the rows with text; the parts of a list field are joined in order.
 
     `partitions` spreads the texts by key before tokenizing, for files that do not split well
     (gzip, one large row group). Files that do split need no such shuffle.
     """
-    rows = keyed_rows(source.rows, source.key)
-    if source.row_key is None:
-        rows = with_content_keys(rows, [source.key])
-    else:
-        given = F.col(source.row_key) if isinstance(source.row_key, str) else source.row_key
-        rows = rows.select(given.cast("string").alias("row_key"), F.col(source.key))
+    rows = source_rows(source, metrics)
     if partitions:
         rows = rows.repartition(partitions, "row_key")
     return rows.select("row_key", packed_tokens(rows, tokenizer, source.key).alias("tokens"))
 
 
+def reused_source(
+    source: Source,
+    tokenizer: Tokenizer,
+    path: str,
+    spec: str,
+    partitions: int | None = None,
+    metrics: Observation | None = None,
+) -> DataFrame:
+    """The tokens kept under `path` if they were made from the same rows with the same settings;
+    else they are made and kept there for the next time."""
+    spec = f"{source.key}:{spec}"
+    rows, columns = source_rows(source, metrics), ["row_key", source.key]
+    if not stage_reusable(path, rows, columns, spec):
+        made = prepare_source(source, tokenizer, partitions)
+        drop_fingerprint(rows.sparkSession, path)
+        made.write.mode("overwrite").parquet(path)
+        save_fingerprint(path, rows, columns, spec)
+    return source.rows.sparkSession.read.schema("row_key string, tokens binary").parquet(path)
+
+
+def check_row_keys(tokens: DataFrame):
+    """Every mode orders rows by key and some find them by it, so keys must be there and unique."""
+    per_key = tokens.groupBy("source", "row_key").agg(F.count(F.lit(1)).alias("n"))
+    bad = per_key.where(F.col("row_key").isNull() | (F.col("n") > 1)).groupBy("source").agg(
+        F.sum(F.when(F.col("row_key").isNull(), F.col("n")).otherwise(0)).alias("missing"),
+        F.count_if(F.col("row_key").isNotNull()).alias("repeated"),
+    )
+    for name, missing, repeated in bad.collect():
+        raise ValueError(
+            f"source {name!r}: {missing} rows have no key and {repeated} keys repeat; "
+            "leave row_key out to get keys from the content"
+        )
+
+
 def tokenized_stage(
     sources: Sequence[Source],
     tokenizer: Tokenizer,
     partitions: int | None = None,
     measure_lines: bool = False,
+    stage_path: str | None = None,
+    spec: str | None = None,
+    metrics: dict[str, Observation] | None = None,
 ) -> DataFrame:
-    """All sources, tokenized once and staged, with token counts and, on demand, JSON line sizes."""
-    by_name = {source.name: prepare_source(source, tokenizer, partitions) for source in sources}
-    if len(by_name) != len(sources):
+    """All sources, tokenized once and staged, with token counts and, on demand, JSON line sizes.
+
+    With `stage_path`, the tokens of each source are kept in a folder of that path and used again
+    by a later call for the same rows, field and tokenizer. `spec` names the settings of a
+    tokenizer of one's own; a vocabulary names itself. `metrics` gets an observation per source
+    with the counts of its rows and of those dropped.
+    """
+    if len({source.name for source in sources}) != len(sources):
         raise ValueError("source names must be unique")
+    if stage_path is not None and spec is None:
+        spec = tokenizer_spec(tokenizer)
+    by_name = {}
+    for source in sources:
+        seen = None if metrics is None else metrics.setdefault(source.name, Observation())
+        if stage_path is None:
+            by_name[source.name] = prepare_source(source, tokenizer, partitions, seen)
+        else:
+            folder = f"{stage_path.rstrip('/')}/{source.name}"
+            by_name[source.name] = reused_source(source, tokenizer, folder, spec, partitions, seen)
     tokens = mixing.concat_sources(by_name).withColumn("n_tokens", id_count("tokens"))
-    return stage(tokens.withColumn(LINE_LENGTH, line_bytes()) if measure_lines else tokens, "tokenized")
+    staged = stage(tokens.withColumn(LINE_LENGTH, line_bytes()) if measure_lines else tokens, "tokenized")
+    check_row_keys(staged)
+    return staged
+
+
+def tokenizer_spec(tokenizer: Tokenizer) -> str:
+    """Digest of the vocabulary behind a tokenizer."""
+    if not isinstance(tokenizer, VocabularyTokenizer):
+        raise ValueError("give a spec that names the tokenizer, so that its stage can be told apart")
+    digest = hashlib.sha256()
+    for token, token_id in sorted(tokenizer.table.items()):
+        digest.update(b"%d:%d:%s" % (token_id, len(token), token))
+    return digest.hexdigest()
 
 
 def mix(
@@ -100,9 +176,13 @@ def pack(
     fn: Tokenizer | None = None,
     partitions: int | None = None,
     packed: bool = False,
+    stage_path: str | None = None,
+    spec: str | None = None,
+    metrics: dict[str, Observation] | None = None,
     **options,
 ) -> dict[str, DataFrame]:
-    """Training rows of all sources as `{"train": ..., "test": ...}`; see `mix` for the options.
+    """Training rows of all sources as `{"train": ..., "test": ...}`; see `mix` for the options and
+    `tokenized_stage` for `stage_path`, `spec` and `metrics`.
 
     Ids come as `input_ids` arrays, or stay in packed `tokens`, which `export` writes faster.
     """
@@ -111,16 +191,23 @@ def pack(
     tokenizer = fn if fn is not None else VocabularyTokenizer(vocab)
     by_length = options.get("mode") == "dist_by_length"
     measure_lines = by_length and options.get("length", LINE_LENGTH) == LINE_LENGTH
-    rows = mix(tokenized_stage(sources, tokenizer, partitions, measure_lines), **options)
+    tokens = tokenized_stage(
+        sources, tokenizer, partitions, measure_lines, stage_path, spec, metrics
+    )
+    rows = mix(tokens, **options)
     return train_test(rows if packed else with_ids(rows))
 
 
 def export(df: DataFrame, fmt: str, path: str, **options) -> DataFrame | None:
-    """Write ordered rows as `json`, `parquet`, `arrow` shards or a token `store`."""
+    """Write ordered rows as `json`, `parquet`, `arrow` shards or a token `store`. `path` must be
+    new or empty."""
     if fmt == "json":
-        return write_json_lines(export_rows(df), path)
+        refuse_filled(df.sparkSession, path)
+        rows = ordered_rows(df, **options).select(*COLUMNS)
+        return rows.write.mode("overwrite").json(path)
     if fmt == "parquet":
-        return write_order(export_rows(df), "pos").write.mode("overwrite").parquet(path)
+        refuse_filled(df.sparkSession, path)
+        return ordered_rows(df, **options).write.mode("overwrite").parquet(path)
     if fmt == "arrow":
         return write_arrow_shards(df, path, **options)
     if fmt == "store":

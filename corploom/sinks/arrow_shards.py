@@ -10,15 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.functions.packed_ids import as_lists, line_bytes
-from corploom.sinks.shards import (
-    SHARD_BYTES,
-    AtomicFile,
-    each_shard,
-    in_shards,
-    open_folder,
-    refuse_filled,
-    with_shards,
-)
+from corploom.sinks.files import AtomicFile, check_files, open_folder, refuse_filled, worker_uri
+from corploom.sinks.shards import SHARD_BYTES, each_shard, in_shards, with_shards
 from corploom.sinks.token_rows import packed_rows, train_test
 from corploom.staging import stage
 
@@ -58,7 +51,7 @@ class _ShardFile:
         self.writer.write_batch(batch)
         self.rows += run.num_rows
 
-    def finish(self) -> pa.RecordBatch:
+    def finish(self) -> Iterator[pa.RecordBatch]:
         self.writer.close()
         report = {
             "split": [self.split],
@@ -67,7 +60,7 @@ class _ShardFile:
             "n_rows": [self.rows],
             "n_bytes": [self.file.close()],
         }
-        return pa.record_batch(report)
+        yield pa.record_batch(report)
 
 
 def write_arrow_shards(
@@ -79,7 +72,9 @@ def write_arrow_shards(
     must be new or empty and visible to all executors. The manifest is also kept as Parquet under `path/manifest`.
     A shard that cannot be written fails the job.
     """
-    refuse_filled(path)
+    spark = df.sparkSession
+    target = worker_uri(spark, path)
+    refuse_filled(spark, path)
     rows = packed_rows(df)
     staged = stage(rows.withColumn("row_bytes", line_bytes("tokens", "n_real")), "export")
     reports = []
@@ -90,12 +85,15 @@ def write_arrow_shards(
             part = part.withColumn("shard", F.lit(0).cast("bigint"))
 
         def write(batches: Iterator[pa.RecordBatch], split: str = split) -> Iterator[pa.RecordBatch]:
-            return each_shard(batches, lambda shard: _ShardFile(path, split, shard, pad_token_types))
+            return each_shard(batches, lambda shard: _ShardFile(target, split, shard, pad_token_types))
 
         columns = in_shards(part).select("shard", "tokens", "n_real")
         reports.append(columns.mapInArrow(write, MANIFEST))
     reports[0].unionByName(reports[1]).write.mode("overwrite").parquet(f"{path}/manifest")
-    manifest = read_manifest(df.sparkSession, path)
+    manifest = read_manifest(spark, path)
+    for split in ("train", "test"):
+        files = manifest.where(F.col("split") == split).select("file", "n_bytes").collect()
+        check_files(spark, f"{path}/{split}", dict(map(tuple, files)))
     written = manifest.where(F.col("split") == "train").agg(F.sum("n_rows").alias("n")).first()["n"] or 0
     if written != staged.count():
         raise RuntimeError(f"{written} rows in the shards for {staged.count()} rows of input")
@@ -115,8 +113,10 @@ def manifest_features(manifest: DataFrame) -> DataFrame:
 def read_arrow_shards(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
     """Rows of the shard files named by the manifest, with `shard` and `row` for their order."""
 
+    target = worker_uri(spark, path)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, folder = open_folder(f"{path}/{split}")
+        files, folder = open_folder(f"{target}/{split}")
         for batch in batches:
             for shard, name in zip(batch["shard"].to_pylist(), batch["file"].to_pylist()):
                 row = 0

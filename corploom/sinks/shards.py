@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from corploom.operators.running_totals import running_totals_by_position
 
 SHARD_BYTES = 500_000_000
 _BLOCK_BITS = 16
-_BROADCAST_BLOCKS = 100_000
+_BROADCAST_CUTS = 1_000_000
 
 
 def with_shards(
@@ -36,7 +34,9 @@ def with_shards(
         .groupBy("_block")
         .agg(F.sort_array(F.collect_list(F.struct("since", "shard"))).alias("_cuts"))
     )
-    if staged.count() >> _BLOCK_BITS <= _BROADCAST_BLOCKS:
+    # Each block has a cut, and each shard that begins in it adds one at most.
+    rows, held = staged.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    if (rows >> _BLOCK_BITS) + held // shard_bytes + 1 <= _BROADCAST_CUTS:
         cuts = F.broadcast(cuts)
     reached = F.filter("_cuts", lambda cut: cut["since"] <= F.col(position))
     found = staged.withColumn("_block", block).join(cuts, "_block")
@@ -55,35 +55,6 @@ def in_shards(sharded: DataFrame, position: str = "pos") -> DataFrame:
     return sharded.repartition("shard").sortWithinPartitions("shard", position)
 
 
-def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri)
-
-
-def refuse_filled(uri: str):
-    """Shards of an older export must not mix with new ones."""
-    files, folder = open_folder(uri)
-    if files.get_file_info(folder).type != fs.FileType.NotFound:
-        if files.get_file_info(fs.FileSelector(folder)):
-            raise ValueError(f"{uri} is not empty")
-
-
-class AtomicFile:
-    """A file that gets its name when it is complete: a retried task just writes it again."""
-
-    def __init__(self, uri: str):
-        self.files, self.path = open_folder(uri)
-        folder, _, name = self.path.rpartition("/")
-        self.temporary = f"{folder}/.{name}.{uuid.uuid4().hex}"
-        self.files.create_dir(folder, recursive=True)
-        self.stream = self.files.open_output_stream(self.temporary)
-
-    def close(self) -> int:
-        size = self.stream.tell()
-        self.stream.close()
-        self.files.move(self.temporary, self.path)
-        return size
-
-
 def shard_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Pieces of sorted batches that belong to one shard."""
     for batch in batches:
@@ -98,13 +69,13 @@ def shard_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Reco
 def each_shard(
     batches: Iterator[pa.RecordBatch], start: Callable[[int], object]
 ) -> Iterator[pa.RecordBatch]:
-    """Feed each shard to a writer made by `start`; its `add` and `finish` may return report rows."""
+    """Feed each shard to a writer made by `start`; its `finish` gives report rows in batches."""
     shard, writer = None, None
     for number, run in shard_runs(batches):
         if number != shard:
             if writer is not None:
-                yield writer.finish()
+                yield from writer.finish()
             shard, writer = number, start(number)
         writer.add(run)
     if writer is not None:
-        yield writer.finish()
+        yield from writer.finish()

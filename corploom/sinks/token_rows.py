@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corploom.functions.arithmetic import div
 from corploom.functions.packed_ids import id_count, pack_ids
+from corploom.operators.ordering import write_order
 from corploom.operators.rechunking import with_chunk_masks, with_ids
 from corploom.operators.tokenizing import with_masks
+from corploom.staging import stage
+
+ROWS_PER_FILE = 100_000
 
 
 def packed_rows(df: DataFrame) -> DataFrame:
@@ -19,6 +24,18 @@ def packed_rows(df: DataFrame) -> DataFrame:
     )
 
 
+def ordered_rows(df: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Rows for export, laid out in order of their dense positions over partitions of
+    `rows_per_file`. Packed ids move; lists and masks are made behind the exchange."""
+    if "attention_mask" in df.columns:
+        return write_order(export_rows(df), "pos")
+    staged = stage(packed_rows(df), "export")
+    files = max(1, -(-staged.count() // rows_per_file))
+    file = div(F.col("pos"), rows_per_file).cast("int")
+    placed = staged.repartitionById(files, file).sortWithinPartitions("pos")
+    return export_rows(placed)
+
+
 def export_rows(df: DataFrame) -> DataFrame:
     """Rows with `input_ids, token_type_ids, attention_mask`; masks are derived if missing."""
     rows = with_ids(df) if "input_ids" not in df.columns else df
@@ -28,5 +45,5 @@ def export_rows(df: DataFrame) -> DataFrame:
 
 
 def train_test(df: DataFrame, position: str = "pos") -> dict[str, DataFrame]:
-    """Train has all rows; test is the first row, which train keeps."""
-    return {"train": df, "test": df.orderBy(position).limit(1)}
+    """Train has all rows; test is the first row, which train keeps. Positions start at 0."""
+    return {"train": df, "test": df.where(F.col(position) == 0)}

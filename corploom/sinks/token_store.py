@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from corploom.functions.packed_ids import id_count, packed_ids
 from corploom.operators.running_totals import running_totals_by_position
-from corploom.sinks.shards import SHARD_BYTES, AtomicFile, each_shard, in_shards, refuse_filled, with_shards
+from corploom.sinks.files import AtomicFile, check_files, refuse_filled, worker_uri
+from corploom.sinks.shards import SHARD_BYTES, each_shard, in_shards, with_shards
 from corploom.sinks.token_rows import packed_rows
 from corploom.staging import stage
 
@@ -22,6 +23,9 @@ VERSION = 1
 UINT16_CODE = 8
 ITEM_BYTES = 2
 MAX_ID = 65_535
+INDEX_HEADER = 34
+
+_INDEX_ROWS = 1 << 16
 
 STORE_INDEX = "doc_ord bigint, shard bigint, shard_doc bigint, size int, shard_pointer bigint"
 
@@ -53,7 +57,7 @@ class _StorePair:
         self.shard = shard
         self.base = f"{root}/shard-{shard:05d}"
         self.data = AtomicFile(f"{self.base}.bin")
-        self.docs, self.sizes = [], []
+        self.first, self.sizes = None, []
 
     def add(self, run: pa.RecordBatch):
         ids, ends = packed_ids(run.column("tokens"))
@@ -62,10 +66,12 @@ class _StorePair:
             raise ValueError(f"token id {bad} does not fit the 16-bit store")
         self.data.stream.write(ids.astype("<u2").tobytes())
         self.sizes.append(np.diff(ends).astype("<i4"))
-        self.docs.append(run.column("doc_ord").to_numpy())
+        if self.first is None:
+            self.first = run.column("doc_ord")[0].as_py()
 
-    def finish(self) -> pa.RecordBatch:
-        sizes, docs = np.concatenate(self.sizes), np.concatenate(self.docs)
+    def finish(self) -> Iterator[pa.RecordBatch]:
+        """Index rows in bounded batches. The documents of a shard are numbered without a gap."""
+        sizes = np.concatenate(self.sizes)
         ends = np.cumsum(sizes, dtype="<i8") * ITEM_BYTES
         pointers = ends - sizes.astype("<i8") * ITEM_BYTES
         count = len(sizes)
@@ -75,38 +81,47 @@ class _StorePair:
             index.stream.write(part.tobytes())
         self.data.close()
         index.close()
-        return pa.record_batch(
-            {
-                "doc_ord": docs,
-                "shard": np.full(count, self.shard, np.int64),
-                "shard_doc": np.arange(count),
-                "size": sizes.astype(np.int32),
-                "shard_pointer": pointers.astype(np.int64),
-            }
-        )
+        for at in range(0, count, _INDEX_ROWS):
+            places = np.arange(at, min(at + _INDEX_ROWS, count))
+            yield pa.record_batch(
+                {
+                    "doc_ord": self.first + places,
+                    "shard": np.full(len(places), self.shard, np.int64),
+                    "shard_doc": places,
+                    "size": sizes[places].astype(np.int32),
+                    "shard_pointer": pointers[places].astype(np.int64),
+                }
+            )
 
 
 def write_token_store(df: DataFrame, path: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write `shard-00000.bin` and `.idx`, ... in order of `pos`; returns the index table.
 
-    A shard takes whole documents up to `shard_bytes` of ids. Each pair is complete by itself;
+    A shard takes whole documents up to `shard_bytes` of ids; a document without ids counts as
+    one byte, so a shard has at most `shard_bytes` documents. Each pair is complete by itself;
     with one shard it is the whole store. An id outside 0..65535 fails the job. `path` must be
     new or empty and visible to all executors; the index is also kept there as Parquet.
     """
-    refuse_filled(path)
-    sizes = id_count("tokens").cast("bigint") * ITEM_BYTES
+    spark = df.sparkSession
+    target = worker_uri(spark, path)
+    refuse_filled(spark, path)
+    sizes = F.greatest(id_count("tokens").cast("bigint") * ITEM_BYTES, F.lit(1))
     staged = stage(packed_rows(df).withColumn("row_bytes", sizes), "export")
     columns = in_shards(with_shards(staged, shard_bytes)).select(
         "shard", F.col("pos").alias("doc_ord"), "tokens"
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return each_shard(batches, lambda shard: _StorePair(path, shard))
+        return each_shard(batches, lambda shard: _StorePair(target, shard))
 
     columns.mapInArrow(write, STORE_INDEX).write.mode("overwrite").parquet(f"{path}/index")
     index = df.sparkSession.read.schema(STORE_INDEX).parquet(f"{path}/index")
     if index.count() != staged.count():
         raise RuntimeError(f"{index.count()} documents in the store for {staged.count()} of input")
+    sizes = store_manifest(index).select("shard", "n_rows", "n_bytes").collect()
+    files = {f"shard-{s:05d}.bin": b for s, _, b in sizes}
+    files |= {f"shard-{s:05d}.idx": INDEX_HEADER + 20 * n + 8 for s, n, _ in sizes}
+    check_files(spark, path, files)
     return index
 
 

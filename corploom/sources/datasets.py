@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SHOWN_SPLITS = 100
-
-
 def scan(
     spark: SparkSession,
     source: str | None,
@@ -22,7 +19,8 @@ def scan(
     """Read a dataset. `source` is a path or table files below it (`data_dir`).
 
     `split` picks the sub-folder `<path>/<split>` or, with `split_column`, the rows (or the
-    partition folder) with that value. JSON needs a schema, so that no pass is spent on guessing.
+    partition folder) with that value. JSON needs a schema, so that no pass is spent on guessing,
+    and a line that is no such JSON fails the job unless `mode` says otherwise.
     """
     if not source:
         raise ValueError("a dataset needs a source")
@@ -31,6 +29,8 @@ def scan(
     path = "/".join(p for p in (source.rstrip("/"), data_dir) if p)
     if split is not None and split_column is None:
         path = _split_path(spark, path, split)
+    if format == "json":
+        options.setdefault("mode", "FAILFAST")
     reader = spark.read.format(format).options(**options)
     df = (reader.schema(schema) if schema is not None else reader).load(path)
     return df if split is None or split_column is None else select_split(df, split, split_column)
@@ -44,7 +44,7 @@ def _split_path(spark: SparkSession, path: str, split: str) -> str:
     if not files.exists(chosen):
         found = files.listStatus(folder) if files.exists(folder) else []
         names = sorted(s.getPath().getName() for s in found if s.isDirectory())
-        raise ValueError(f"no split {split!r}; valid splits: {names[:_SHOWN_SPLITS]}")
+        raise ValueError(f"no split {split!r}; valid splits: {names}")
     return chosen.toString()
 
 
@@ -52,7 +52,7 @@ def select_split(df: DataFrame, split: str, column: str = "split") -> DataFrame:
     """Rows of one split; a split that does not occur is an error that lists those that do."""
     chosen = df.where(F.col(column) == split)
     if chosen.isEmpty():
-        names = df.select(column).distinct().orderBy(column).limit(_SHOWN_SPLITS).collect()
+        names = df.select(column).distinct().orderBy(column).collect()
         raise ValueError(f"no split {split!r}; valid splits: {[r[0] for r in names]}")
     return chosen
 

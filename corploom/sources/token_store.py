@@ -7,7 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.sinks.shards import open_folder
+from corploom.functions.arithmetic import div
+from corploom.sinks.files import open_folder, worker_uri
 from corploom.sinks.token_store import ITEM_BYTES, STORE_INDEX
 
 _READ_BYTES = 64 << 20
@@ -20,7 +21,7 @@ class TokenStore:
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.path = path
+        self.spark, self.path = spark, path
         self.index = spark.read.schema(STORE_INDEX).parquet(f"{path}/index")
 
     def __len__(self) -> int:
@@ -30,7 +31,7 @@ class TokenStore:
         return self._read(self.index)
 
     def item(self, i: int) -> DataFrame:
-        """Document `i`; a negative number counts from the end."""
+        """Document `i`; a negative number counts from the end. There must be such a document."""
         return self._read(self.index.where(F.col("doc_ord") == self._ordinal(i)))
 
     def slice(self, start: int | None = None, stop: int | None = None, step: int = 1) -> DataFrame:
@@ -43,7 +44,10 @@ class TokenStore:
         return self._read(self.index.where(wanted))
 
     def get(self, i: int, offset: int = 0, length: int | None = None) -> DataFrame:
-        """`length` ids of document `i` from `offset` on, by default and at most all the rest."""
+        """`length` ids of document `i` from `offset` on, by default and at most all the rest.
+        Reads stay inside the document."""
+        if offset < 0 or (length is not None and length < 0):
+            raise ValueError("offset and length must not be negative")
         rest = F.greatest(F.col("size") - offset, F.lit(0))
         size = rest if length is None else F.least(rest, F.lit(length))
         part = self.index.where(F.col("doc_ord") == self._ordinal(i)).withColumns(
@@ -52,16 +56,22 @@ class TokenStore:
         return self._read(part)
 
     def _ordinal(self, i: int) -> int:
-        return i if i >= 0 else i + len(self)
+        count = len(self)
+        if not -count <= i < count:
+            raise IndexError(f"no document {i} in a store of {count}")
+        return i if i >= 0 else i + count
 
     def _read(self, index: DataFrame) -> DataFrame:
-        path = self.path
+        path = worker_uri(self.spark, self.path)
 
         def read(batches):
             for batch in batches:
                 yield from _read_ranges(path, batch)
 
-        ranges = index.select("doc_ord", "shard", "size", "shard_pointer")
+        # Tasks by data to read, not by size of the index.
+        ranges = index.select("doc_ord", "shard", "size", "shard_pointer").repartition(
+            F.col("shard"), div(F.col("shard_pointer"), _READ_BYTES)
+        )
         return ranges.mapInArrow(read, "doc_ord bigint, input_ids array<int>")
 
 

@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 # Fixed values of the vocabulary format.
 END_OF_TEXT_ID = 0
 END_OF_TEXT = b"<|endoftext|>"
-MAX_VOCABULARY = 65_536
 
-MAX_TOKEN_BYTES = 1024
+# What a vocabulary may hold, entries and 64 bytes for each of them, as it goes to every worker.
+MAX_VOCABULARY_BYTES = 256 << 20
+_ENTRY_BYTES = 64
 
 
 @F.arrow_udf(T.BinaryType())
@@ -76,24 +77,22 @@ def vocabulary_view(entries: DataFrame) -> DataFrame:
     return view.select("token_id", "token", F.octet_length("token").alias("size"), "place")
 
 
-def _bounded_rows(vocab: DataFrame) -> list:
-    """The table on the driver: at most 65,536 entries of at most 1,024 bytes, else an error."""
-    fits = F.octet_length("token") <= MAX_TOKEN_BYTES
-    too_long = F.raise_error(F.lit(f"a vocabulary entry holds at most {MAX_TOKEN_BYTES} bytes"))
-    token = F.when(fits, F.col("token")).otherwise(too_long).alias("token")
-    rows = vocab.select("token_id", token).limit(MAX_VOCABULARY + 1).collect()
-    if len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} entries")
-    return rows
+def _bounded_rows(vocab: DataFrame, max_bytes: int) -> list:
+    """The table on the driver, if it holds at most `max_bytes`; the size is checked first."""
+    size = F.sum(F.octet_length("token").cast("bigint") + _ENTRY_BYTES)
+    held = vocab.agg(size).first()[0] or 0
+    if held > max_bytes:
+        raise ValueError(f"the vocabulary takes {held} bytes; max_bytes is {max_bytes}")
+    return vocab.select("token_id", "token").collect()
 
 
-def encoding_table(vocab: DataFrame) -> dict[bytes, int]:
-    """Token -> id; of equal tokens the id placed last wins. The size is checked first."""
+def encoding_table(vocab: DataFrame, max_bytes: int = MAX_VOCABULARY_BYTES) -> dict[bytes, int]:
+    """Token -> id; of equal tokens the id placed last wins."""
     place = "place" if "place" in vocab.columns else "token_id"
     winners = vocab.groupBy("token").agg(F.max_by("token_id", place).alias("token_id"))
-    return {bytes(r.token): r.token_id for r in _bounded_rows(winners)}
+    return {bytes(r.token): r.token_id for r in _bounded_rows(winners, max_bytes)}
 
 
-def decoding_table(vocab: DataFrame) -> dict[int, bytes]:
-    """Id -> token. The size is checked first."""
-    return {r.token_id: bytes(r.token) for r in _bounded_rows(vocab)}
+def decoding_table(vocab: DataFrame, max_bytes: int = MAX_VOCABULARY_BYTES) -> dict[int, bytes]:
+    """Id -> token."""
+    return {r.token_id: bytes(r.token) for r in _bounded_rows(vocab, max_bytes)}

@@ -108,3 +108,53 @@ def test_subchunks_and_two_level_shuffle_keep_all_rows(spark):
 def test_gcd_over_many_partitions(spark):
     df = spark.range(1, 2000).select((F.col("id") * 6).alias("len")).repartition(9)
     assert lengths.length_gcd(df).first()["gcd"] == 6
+
+
+def row_wise_groups(ranked, budgets, min_rows):
+    """The groups by trying every budget on every row."""
+    out = {}
+    for budget in budgets:
+        groups = {}
+        for rn, cum, size in ranked:
+            g = min(cum // budget, rn // min_rows)
+            n, total = groups.get(g, (0, 0))
+            groups[g] = (n + 1, total + size)
+        last = max(groups)
+        if groups[last][0] < min_rows and last > 0:
+            n, total = groups.pop(last)
+            old = groups.get(last - 1, (0, 0))
+            groups[last - 1] = (old[0] + n, old[1] + total)
+        out[budget] = groups
+    return out
+
+
+def test_groups_from_runs_of_equal_length(spark):
+    import random
+
+    from corploom.operators.lengths import candidate_groups
+
+    rnd = random.Random(3)
+    for least in (0, 1):
+        sizes = sorted((rnd.choice([least, 3, 7, 7, 50]) for _ in range(120)), reverse=True)
+        ranked = [(i, sum(sizes[:i]), s) for i, s in enumerate(sizes)]
+        df = spark.createDataFrame(ranked, "rn bigint, cum bigint, len bigint")
+        budgets = list(range(4, 700, 3))
+        for min_rows in (1, 5):
+            found = {}
+            groups = candidate_groups(df, budgets, min_rows)
+            for r in groups.collect():
+                found.setdefault(r.budget, {})[r.group_id] = (r.n_rows, r.total)
+            assert found == row_wise_groups(ranked, budgets, min_rows)
+
+
+def test_thousands_of_budgets_touch_no_rows(spark):
+    from corploom.operators.lengths import candidate_groups
+
+    df = spark.range(1000).selectExpr("id as rn", "id * 10 as cum", "10L as len")
+    groups = candidate_groups(df, list(range(100, 10_100)), 10)
+    plan = groups._jdf.queryExecution().optimizedPlan().toString()
+    # Every explode stands above the aggregation of rows to runs.
+    lines = plan.splitlines()
+    runs = max(i for i, line in enumerate(lines) if "Aggregate" in line)
+    assert all(i < runs for i, line in enumerate(lines) if "explode" in line)
+    assert groups.groupBy("budget").count().count() == 10_000

@@ -89,3 +89,70 @@ def test_stream_gives_the_rows_of_the_batch(spark, byte_vocab, tmp_path):
     assert found.count() == 16
     expected = tokenize_corpus(texts.where("text <> ''"), byte_vocab).select("k", "input_ids")
     assert found.select("k", "input_ids").exceptAll(expected).isEmpty()
+
+
+MODES = [
+    {"mode": "shuffle", "force_rechunk": False},
+    {"mode": "concat", "force_rechunk": False},
+    {"mode": "dist_by_length", "min_rows": 2, "min_subchunk": 1},
+    {"mode": "shuffle"},
+    {"mode": "shuffle", "inverse_shuffle": True},
+]
+
+
+@pytest.mark.parametrize("options", MODES)
+def test_missing_and_repeated_keys_are_refused(spark, byte_vocab, options):
+    rows = [(None, "a"), (None, "b"), ("d", "c"), ("d", "e"), ("x", "f")]
+    source = Source("s", spark.createDataFrame(rows, "k string, text string"), row_key="k")
+    with pytest.raises(ValueError, match="'s': 2 rows have no key and 1 keys repeat"):
+        pack([source], byte_vocab, **options)
+    content = pack([Source("s", source.rows)], byte_vocab, **options)["train"].collect()
+    assert sorted(bytes(t - 1 for r in content for t in r.input_ids if t)) == list(b"abcef")
+
+
+def test_second_pack_reads_the_stage(spark, byte_vocab, tmp_path):
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(9)], "k int, text string")
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<int>")
+    def counted(text):
+        reads.add(1)
+        return [len(text)]
+
+    def run(df, spec="one", **options):
+        before = reads.value
+        source = Source("s", df, row_key="k", **options)
+        train = pack([source], fn=counted, mode="concat", chunk_size=4, splits=1,
+                     stage_path=str(tmp_path / "kept"), spec=spec)["train"]
+        return train.agg(F.sum("n_real")).first()[0], reads.value - before
+
+    assert run(rows) == (9, 9)
+    assert run(rows) == (9, 0)
+    assert run(rows.withColumn("text", F.concat("text", F.lit("!")))) == (9, 9)
+    assert run(rows, spec="two") == (9, 9)
+    assert run(rows.where("k > 0"), spec="two") == (8, 8)
+    with pytest.raises(ValueError, match="spec"):
+        pack([Source("s", rows, row_key="k")], fn=counted, stage_path=str(tmp_path / "x"))
+
+
+def test_another_vocabulary_makes_another_stage(spark, byte_vocab, tmp_path):
+    source = Source("s", spark.createDataFrame([(1, "abab")], "k int, text string"), row_key="k")
+    more = byte_vocab.select("token_id", "token").union(
+        spark.createDataFrame([(300, bytearray(b"ab"))], "token_id int, token binary")
+    )
+    sizes = [
+        pack([source], v, mode="concat", force_rechunk=False, stage_path=str(tmp_path / "kept"))["train"]
+        .first().n_tokens
+        for v in (byte_vocab, more, byte_vocab)
+    ]
+    assert sizes == [4, 2, 4]
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_dropped_rows_are_counted(spark, byte_vocab, tmp_path, kept):
+    rows = [(1, "a", "x"), (2, "", "x"), (3, None, "x"), (4, "b", None)]
+    df = spark.createDataFrame(rows, "k int, text string, field string")
+    metrics = {}
+    path = str(tmp_path / "kept") if kept else None
+    pack([Source("s", df, "field", "k")], byte_vocab, metrics=metrics, stage_path=path)
+    assert metrics["s"].get == {"n_rows": 4, "n_empty": 2, "n_no_key": 1}

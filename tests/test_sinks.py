@@ -52,6 +52,11 @@ def test_store_reads(spark, ordered_ids, tmp_path):
     assert ids(store.get(2, offset=3)) == [[33]] and ids(store.get(0, 2, 50)) == [[12]]
     with pytest.raises(ValueError, match="contiguous"):
         store.slice(0, 3, 2)
+    for i in (3, -4):
+        with pytest.raises(IndexError, match="no document"):
+            store.item(i)
+    with pytest.raises(ValueError, match="negative"):
+        store.get(2, offset=-2)
 
 
 def test_store_refuses_large_ids_and_chunks(ordered_ids, tmp_path):
@@ -62,7 +67,7 @@ def test_store_refuses_large_ids_and_chunks(ordered_ids, tmp_path):
 
 
 def test_old_shards_are_not_mixed_with_new_ones(ordered_ids, tmp_path):
-    for fmt in ("store", "arrow"):
+    for fmt in ("store", "arrow", "json", "parquet"):
         export(ordered_ids(DOCS), fmt, str(tmp_path / fmt))
         with pytest.raises(ValueError, match="not empty"):
             export(ordered_ids(DOCS[:1]), fmt, str(tmp_path / fmt))
@@ -76,12 +81,12 @@ def test_pointers_and_document_index(spark, ordered_ids):
     assert ends == {"a": 2, "b": 3, "c": 5}
 
 
-@pytest.mark.parametrize("block_bits, broadcast", [(16, 100_000), (2, 100_000), (2, -1)])
+@pytest.mark.parametrize("block_bits, broadcast", [(16, 1_000_000), (2, 1_000_000), (2, 0)])
 def test_shards_hold_whole_rows(spark, monkeypatch, block_bits, broadcast):
     from corploom.sinks import shards
 
     monkeypatch.setattr(shards, "_BLOCK_BITS", block_bits)
-    monkeypatch.setattr(shards, "_BROADCAST_BLOCKS", broadcast)
+    monkeypatch.setattr(shards, "_BROADCAST_CUTS", broadcast)
     sizes = [30, 50, 40, 500, 10, 10, 90, 1, 99, 20, 70, 5]
     df = stage(spark.createDataFrame(list(enumerate(sizes)), "pos bigint, row_bytes bigint"), "rows")
     found = with_shards(df, 100).orderBy("pos").collect()
@@ -126,3 +131,56 @@ def test_parquet_and_unknown_format(spark, ordered_ids, tmp_path):
     assert spark.read.parquet(path).count() == 3
     with pytest.raises(ValueError, match="unknown export"):
         export(ordered_ids(DOCS), "csv", path)
+
+
+def test_documents_without_ids_fill_shards_too(spark, ordered_ids, tmp_path, monkeypatch):
+    from corploom.sinks import token_store
+
+    monkeypatch.setattr(token_store, "_INDEX_ROWS", 3)
+    rows = [[]] * 40 + [[1] * 30] + [[]] * 5
+    index = export(ordered_ids(rows), "store", str(tmp_path / "store"), shard_bytes=8)
+    per_shard = index.groupBy("shard").count().collect()
+    assert max(r["count"] for r in per_shard) <= 8
+    store = TokenStore(spark, str(tmp_path / "store"))
+    assert [r.input_ids for r in store.documents().orderBy("doc_ord").collect()] == rows
+
+
+def test_paths_mean_what_they_mean_to_spark(spark, tmp_path, monkeypatch):
+    from corploom.sinks.files import worker_uri
+
+    assert worker_uri(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert worker_uri(spark, "some/folder") == f"file://{os.getcwd()}/some/folder"
+    assert worker_uri(spark, "s3a://bucket/a/b/") == "s3://bucket/a/b"
+    with pytest.raises(ValueError, match="tasks cannot write to dbfs"):
+        worker_uri(spark, "dbfs://x/y")
+
+
+def test_unknown_file_systems_are_refused_before_any_job(spark, ordered_ids):
+    with pytest.raises(ValueError, match="tasks cannot write"):
+        export(ordered_ids(DOCS), "arrow", "viewfs2://x/y")
+
+
+def test_relative_paths(spark, ordered_ids, tmp_path):
+    path = os.path.relpath(tmp_path / "store")
+    export(ordered_ids(DOCS), "store", path)
+    docs = TokenStore(spark, path).documents().orderBy("doc_ord").collect()
+    assert [r.input_ids for r in docs] == DOCS
+
+
+def test_missing_or_cut_files_are_found(spark, ordered_ids, tmp_path):
+    from corploom.sinks.files import check_files
+
+    (tmp_path / "a").write_bytes(b"123")
+    check_files(spark, str(tmp_path), {"a": 3})
+    for wrong in ({"a": 4}, {"b": 3}):
+        with pytest.raises(RuntimeError, match="as written"):
+            check_files(spark, str(tmp_path), wrong)
+
+
+def test_only_packed_tokens_are_moved_for_export(spark, ordered_ids, capsys):
+    from corploom.sinks.token_rows import ordered_rows
+
+    plan = ordered_rows(ordered_ids(DOCS))._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Repartition")] if "Repartition" in plan else plan
+    assert "input_ids" in above and "tokens" in plan
+    assert "RangePartitioning" not in plan and plan.count("ArrowEvalPython") == 1

@@ -73,9 +73,7 @@ def test_json_lines(spark, tmp_path):
         raw_lines(spark, str(tmp_path / "missing.jsonl"))
 
 
-@pytest.mark.parametrize("stop", [100_000, 0])
-def test_bounded_count(spark, monkeypatch, stop):
-    monkeypatch.setattr(counting, "_EARLY_STOP", stop)
+def test_bounded_count(spark):
     assert counting.bounded_count(spark.range(5), 5) == 5
     assert counting.bounded_count(spark.range(5), 4) == -1
     assert counting.bounded_count(spark.range(0), 0) == 0
@@ -91,3 +89,27 @@ def test_stage_reuse(spark, tmp_path):
     assert not counting.stage_reusable(path, texts, ["text"], "v2")
     assert not counting.stage_reusable(path, texts.replace("b", "c"), ["text"], "v1")
     assert not counting.stage_reusable(path, texts.union(texts), ["text"], "v1")
+
+
+def test_broken_json_stops_the_scan(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"text": "x"}\n{"text": \n{"text": "y"}\nno json\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan(spark, str(tmp_path), "json", "text string").collect()
+    kept = scan(spark, str(tmp_path), "json", "text string", mode="DROPMALFORMED")
+    assert sorted(r.text for r in kept.collect() if r.text) == ["x", "y"]
+
+
+def test_all_splits_are_named(spark):
+    df = spark.range(150).selectExpr("concat('s', id) as split")
+    with pytest.raises(ValueError) as error:
+        select_split(df, "none")
+    assert all(f"'s{i}'" in str(error.value) for i in range(150))
+
+
+def test_vocabulary_size_is_checked(spark):
+    from corploom.sources.vocabulary import encoding_table
+
+    vocab = spark.range(100_000).selectExpr("cast(id as int) as token_id", "encode(cast(id as string), 'UTF-8') as token")
+    assert len(encoding_table(vocab)) == 100_000
+    with pytest.raises(ValueError, match="max_bytes"):
+        encoding_table(vocab, max_bytes=1000)

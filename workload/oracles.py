@@ -275,4 +275,19 @@ ORACLES: dict[str, str] = {
         FROM written""",
     "json_roundtrip": f"""WITH {DOCS_IN_ORDER}
         SELECT n::INT AS n_tokens, n::INT AS n_mask, {ids_md5("ids")} AS ids_md5 FROM placed""",
+    "own_tokenizer": f"""WITH {DOCUMENTS}, tok AS (
+            SELECT *, list_transform(string_split(text, ' '), lambda w: length(w)) AS ids,
+                   len(string_split(text, ' ')) AS n FROM src), {placed(IN_SOURCE_ORDER)}
+        SELECT row_key, pos, start, n::INT AS n_tokens, {ids_md5("ids")} AS ids_md5 FROM placed""",
+    "reused_pack": f"""WITH {DOCS_IN_ORDER}
+        SELECT run, row_key, pos,
+               CASE run WHEN 'other' THEN {ids_md5(byte_ids("text || '!'"))} ELSE {ids_md5("ids")} END AS ids_md5
+        FROM placed, (SELECT unnest(['first', 'again', 'other']) AS run)""",
+    "store_index_files": f"""WITH {DOCS_IN_ORDER},
+        sharded AS (SELECT start * 2 // {SHARD} AS shard, start * 2 AS first, n, pos FROM placed),
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY pos) AS k,
+                            min(first) OVER (PARTITION BY shard) AS base FROM sharded)
+        SELECT shard, k - 1 AS shard_doc, n::INT AS size, first - base AS pointer, k AS doc_end
+        FROM numbered""",
+    "dense_vocab_tokens": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
 }

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.functions.keys import with_content_keys
-from corploom.functions.packed_ids import id_count
+from corploom.functions.packed_ids import id_count, unpack_ids
 from corploom.operators import counting, lengths, mixing, ordering, rechunking, tokenizing
 from corploom.operators.running_totals import with_running_totals
 from corploom.plans.pack import Source, export, mix, pack, tokenized_stage
@@ -130,10 +134,9 @@ def split_documents(spark, sf_dir):
 def split_folders(spark, sf_dir):
     """The same split read from the sub-folder of that name, as JSON lines with a schema."""
     path = new_stage_path(spark, "splits")
-    for name in ("de", "es"):
-        part = table(spark, sf_dir, "documents").where(F.col("lang") == name)
-        part.select("doc_id", "text").write.json(f"{path}/{name}")
-    docs = datasets.scan(spark, path, "json", "doc_id bigint, text string", split="es")
+    all_docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    all_docs.withColumnRenamed("lang", "split").write.partitionBy("split").json(path)
+    docs = datasets.scan(spark, path, "json", "doc_id bigint, text string", split="split=es")
     return docs.select("doc_id", F.md5("text").alias("text_md5"))
 
 
@@ -189,7 +192,7 @@ def stage_reuse(spark, sf_dir):
     path = new_stage_path(spark, "reuse")
     docs.select("doc_id", "text").write.parquet(path)
     counting.save_fingerprint(path, docs, ["text"], "bytes")
-    other = docs.withColumn("text", F.reverse("text"))
+    other = docs.withColumn("text", F.concat("text", F.lit("!")))
     cases = [
         ("same", docs, "bytes"),
         ("more rows", docs.unionAll(docs), "bytes"),
@@ -547,3 +550,87 @@ def json_roundtrip(spark, sf_dir):
     return back.select(
         F.size("input_ids").alias("n_tokens"), F.size("attention_mask").alias("n_mask"), ids_md5()
     )
+
+
+@query
+def own_tokenizer(spark, sf_dir):
+    """Packed with a tokenizer of one's own: the length of each word in characters."""
+
+    @F.pandas_udf("array<int>")
+    def word_lengths(texts: pd.Series) -> pd.Series:
+        return texts.str.split(" ").map(lambda words: [len(w) for w in words])
+
+    documents = corpora(spark, sf_dir)[:1]
+    packed = pack(documents, fn=word_lengths, mode="concat", force_rechunk=False, packed=True)
+    rows = packed["train"].withColumn("input_ids", unpack_ids("tokens"))
+    return rows.select("row_key", "pos", "start", "n_tokens", ids_md5())
+
+
+@query
+def reused_pack(spark, sf_dir):
+    """The second of two packs on the same sources reads the first one's tokens; the third has
+    other texts and makes its own."""
+    path = new_stage_path(spark, "kept")
+    documents = corpora(spark, sf_dir)[0]
+    other = Source("documents", documents.rows.withColumn("text", F.concat("text", F.lit("!"))), row_key="doc_id")
+    vocab = byte_vocabulary(spark)
+    found = []
+    for name, source in (("first", documents), ("again", documents), ("other", other)):
+        options = {"mode": "concat", "force_rechunk": False, "packed": True}
+        rows = pack([source], vocab, stage_path=path, partitions=cores(spark), **options)["train"]
+        rows = rows.withColumn("input_ids", unpack_ids("tokens"))
+        rows = rows.select(F.lit(name).alias("run"), "row_key", "pos", ids_md5())
+        found.append(stage(rows, "reused"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query
+def store_index_files(spark, sf_dir):
+    """Sizes, pointers and document numbers as the `.idx` file of each shard states them."""
+    path = new_stage_path(spark, "store")
+    ordered = mixing.mix_concat(document_stage(spark, sf_dir))
+    export(ordered, "store", path, shard_bytes=SHARD)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.idx").load(path)
+
+    @F.pandas_udf("array<struct<shard_doc:bigint,size:int,pointer:bigint,doc_end:bigint>>")
+    def entries(contents: pd.Series) -> pd.Series:
+        def read(raw: bytes) -> list[dict]:
+            count = struct.unpack_from("<Q", raw, 18)[0]
+            sizes = np.frombuffer(raw, "<i4", count, 34)
+            pointers = np.frombuffer(raw, "<i8", count, 34 + 4 * count)
+            ends = np.frombuffer(raw, "<i8", count + 1, 34 + 12 * count)[1:]
+            rows = zip(sizes.tolist(), pointers.tolist(), ends.tolist())
+            names = ("shard_doc", "size", "pointer", "doc_end")
+            return [dict(zip(names, (i, *row))) for i, row in enumerate(rows)]
+
+        return contents.map(read)
+
+    shard = F.regexp_extract("path", r"shard-(\d+)\.idx", 1).cast("bigint").alias("shard")
+    return files.select(shard, F.explode(entries("content")).alias("entry")).select("shard", "entry.*")
+
+
+def ngram_vocabulary(spark: SparkSession, sf_dir: str, entries: int = 65_000) -> DataFrame:
+    """Single bytes, then the most frequent runs of 2 to 6 characters: a dense vocabulary of the
+    usual size."""
+    docs = table(spark, sf_dir, "documents").repartition(cores(spark), "doc_id")
+    grams = [
+        docs.select(F.explode(F.regexp_extract_all("text", F.lit(f"(?s).{{{n}}}"), F.lit(0))).alias("t"))
+        for n in range(2, 7)
+    ]
+    frequent = reduce(DataFrame.union, grams).groupBy("t").count()
+    frequent = frequent.orderBy(F.desc("count"), "t").limit(entries)
+    numbered = frequent.selectExpr(
+        "cast(256 + row_number() over (order by t) as int) as token_id", "encode(t, 'UTF-8') as token"
+    )
+    singles = byte_vocabulary(spark).select("token_id", "token").where("token_id > 0")
+    return stage(singles.unionByName(numbered), "ngrams")
+
+
+@query
+def dense_vocab_tokens(spark, sf_dir):
+    """Tokens of a vocabulary of some 65,000 entries put together again: the texts themselves."""
+    docs = table(spark, sf_dir, "documents").repartition(cores(spark), "doc_id")
+    vocab = ngram_vocabulary(spark, sf_dir)
+    tokens = tokenizing.tokenize_corpus(docs, vocab).select("doc_id", "input_ids")
+    back = tokenizing.detokenize_corpus(tokens, vocab)
+    return back.select("doc_id", F.md5("text").alias("text_md5"))

@@ -87,6 +87,9 @@ def _unsure() -> re.Pattern:
     return re.compile("[" + "".join(ranges) + "]")
 
 
+# The fast way takes a time that grows with the square of a word's length.
+_LONG_WORD = re.compile(r"[^\x20]{1000}|\s{1000}")
+
 # Fixed value: the pattern by which byte-level vocabularies of this kind split words.
 _WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -135,7 +138,8 @@ class Encoder:
         if ids is None:
             text = data.decode()
             # All characters below U+0280 are sure; their first bytes are below 0xCA.
-            if self.fast and (text.isascii() or max(data) < 0xCA or not _unsure().search(text)):
+            sure = text.isascii() or max(data) < 0xCA or not _unsure().search(text)
+            if self.fast and sure and not _LONG_WORD.search(text):
                 ids = self.fast.encode_to_numpy(text, disallowed_special=())
             else:
                 ids = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)

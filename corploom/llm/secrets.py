@@ -56,7 +56,7 @@ RULES = BASE_RULES + (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("login_url", r"[a-z][a-z0-9+.-]*://[A-Za-z0-9._%-]+:[^\x20@/:]{3,}@[A-Za-z0-9.-]+"),
+    Rule("login_url", r"[a-z][a-z0-9+.-]{0,20}://[A-Za-z0-9._%-]+:[^\x20@/:]{3,}@[A-Za-z0-9.-]+"),
 )
 
 

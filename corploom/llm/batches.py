@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+_BLOCK = 1 << 20
+
 
 def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose values of `column` fill about `limit` bytes."""
@@ -33,8 +36,6 @@ class Words:
     """Words of texts that lie back to back: runs of bytes that `letters` marks, never across
     texts, each with a 64-bit hash of its bytes after mapping them by `folded`."""
 
-    _table = np.random.default_rng(7).integers(1, 2**63, 4096, np.uint64) * 2 + 1
-
     def __init__(self, data: np.ndarray, edges: np.ndarray, letters: np.ndarray, folded: np.ndarray):
         self.data = folded[data]
         inside = letters[data]
@@ -49,14 +50,26 @@ class Words:
         self.hashes = self._hash(inside)
 
     def _hash(self, inside: np.ndarray) -> np.ndarray:
-        if not len(self.starts):
-            return np.empty(0, np.uint64)
-        sizes = self.ends - self.starts
-        begins = np.cumsum(sizes) - sizes
-        place = np.arange(int(sizes.sum())) - np.repeat(begins, sizes)
-        letters = self.data[inside].astype(np.uint64) + np.uint64(1)
-        letters *= self._table[place & 4095]
-        return mix(np.add.reduceat(letters, begins))
+        """Polynomials of the words' bytes as differences of running sums, block by block."""
+        hashes = np.empty(len(self.starts), np.uint64)
+        begin, first = 0, 0
+        while begin < len(self.data):
+            end = min(begin + _BLOCK, len(self.data))
+            if end < len(self.data):  # a block ends with a word
+                end = int(self.ends[min(np.searchsorted(self.ends, end), len(self.ends) - 1)])
+                end = max(end, min(begin + _BLOCK, len(self.data)))
+            powers, inverse = _powers(end - begin)
+            with np.errstate(over="ignore"):
+                sums = self.data[begin:end].astype(np.uint64)
+                sums += np.uint64(1)
+                sums *= powers[: end - begin]
+                np.cumsum(sums, out=sums)
+                stop = int(np.searchsorted(self.starts, end))
+                a, b = self.starts[first:stop] - begin, self.ends[first:stop] - begin
+                before = np.where(a > 0, sums[a - 1], np.uint64(0))
+                hashes[first:stop] = (sums[b - 1] - before) * inverse[a]
+            begin, first = end, stop
+        return mix(hashes)
 
     def grams(self, k: int) -> np.ndarray:
         """Rolling hashes of k words, one per word that has k - 1 after it; across texts too."""
@@ -71,6 +84,21 @@ class Words:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
 
+@lru_cache(maxsize=1)
+def _table(size: int) -> tuple[np.ndarray, np.ndarray]:
+    odd = 0x9E3779B97F4A7C15
+    with np.errstate(over="ignore"):
+        powers = np.full(size, odd, np.uint64)
+        inverse = np.full(size, pow(odd, -1, 2**64), np.uint64)
+        powers[0] = inverse[0] = 1
+        return np.multiply.accumulate(powers), np.multiply.accumulate(inverse)
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2^64, `size` of them at least."""
+    return _table(max(2 * _BLOCK, 1 << (size - 1).bit_length()))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit numbers; one to one."""
     with np.errstate(over="ignore"):

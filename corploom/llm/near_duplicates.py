@@ -7,11 +7,13 @@ the signature. Two texts agree in a coordinate with the probability of their wei
 similarity. Only darts before a time limit are thrown, set so that some k ln k + 2k fall; if a
 coordinate stays empty, the limit is doubled, which does not change what came first.
 
-Signatures are cut in bands; texts that agree in a band are candidates. Each band's bucket has a
-leader, the smallest key, to which its other texts are compared exactly, by their shingles; texts that
-are not similar to the leader go on, in the same bucket, with a leader of their own, until all
-are linked or have led. So a bucket costs a row per text and round and no group is expanded to pairs.
-Classes are the connected components of the links.
+Signatures are cut in bands; texts that agree in a band share its bucket. Within a bucket,
+signatures are compared inside the task, and only a spanning forest of the closest texts leaves it:
+a row per text at most, however many texts are alike. Its links are then judged exactly, by the
+shingles of both texts. Classes are the connected components of the links that hold. So a text is
+judged against its closest mates in all its buckets, and no group is expanded to pairs. Buckets of
+more than `MOST_MATES` texts are compared in blocks which all hold the bucket's central text, the one
+with most mates in all buckets: an original rather than one of its altered copies.
 
 Copies: texts are told apart by a digest of the whole text, and only distinct ones take part, so
 a text that makes up a third of the rows is one row. Texts with fewer than five words are one
@@ -34,7 +36,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 26, 5  # a pair at 0.8 shares no band once in 30,000 times
 COORDINATES = BANDS * ROWS
-_BATCH_BYTES = 4 << 20
+_AGREE = 85  # coordinates; a pair at 0.8 agrees in fewer once in 30,000 times
+MOST_MATES = 2048  # texts of a bucket that are compared in one block
+_BATCH_BYTES = 2 << 20
 
 
 def shingles(words: Words, text: int) -> np.ndarray:
@@ -50,55 +54,65 @@ def shingles(words: Words, text: int) -> np.ndarray:
     return np.empty(0, np.uint64)
 
 
-def signature(sorted_shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray | None:
-    """The earliest dart of each coordinate; None without shingles."""
-    n = len(sorted_shingles)
-    if not n:
-        return None
-    new = np.flatnonzero(np.concatenate([[True], np.diff(sorted_shingles) != 0]))
-    copy = np.arange(n) - np.repeat(new, np.diff(np.append(new, n)))
+def signatures(texts: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray:
+    """A row per text, given its sorted shingles (one at least): the earliest dart of each
+    coordinate. All texts are thrown at together."""
+    entries = np.zeros((len(texts), coordinates), np.uint64)
+    left = np.arange(len(texts))
+    darts_wanted = coordinates * np.log(coordinates) + 2 * coordinates
+    while len(left):
+        sizes = np.array([len(texts[i]) for i in left])
+        owner = np.repeat(np.arange(len(left)), sizes)
+        cells = _cells(np.concatenate([texts[i] for i in left]), owner)
+        darts, times, at = _darts(cells, (darts_wanted / sizes)[owner], owner)
+        slot = at * coordinates + (darts % np.uint64(coordinates)).astype(np.int64)
+        # Latest first: of equal slots the last write stands, so the earliest dart.
+        order = np.lexsort((darts, times))[::-1]
+        found = np.zeros(len(left) * coordinates, np.uint64)
+        filled = np.zeros(len(found), bool)
+        found[slot[order]] = darts[order]
+        filled[slot] = True
+        full = filled.reshape(-1, coordinates).all(1)
+        entries[left[full]] = found.reshape(-1, coordinates)[full]
+        left, darts_wanted = left[~full], 2 * darts_wanted
+    return entries
+
+
+def _cells(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """A hash for each copy of each shingle: the first copy, the second, and so on."""
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    begins = np.flatnonzero(new)
+    copy = np.arange(len(values)) - np.repeat(begins, np.diff(np.append(begins, len(values))))
     with np.errstate(over="ignore"):
-        cells = mix(sorted_shingles + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    limit = (coordinates * np.log(coordinates) + 2 * coordinates) / n
-    while True:
-        darts, times = _darts(cells, limit)
-        hit = (darts % np.uint64(coordinates)).astype(np.int64)
-        order = np.lexsort((darts, times))
-        entries = np.zeros(coordinates, np.uint64)
-        filled = np.zeros(coordinates, bool)
-        last_first = order[::-1]  # of equal places the last write stands, so the earliest dart
-        entries[hit[last_first]] = darts[last_first]
-        filled[hit] = True
-        if filled.all():
-            return entries
-        limit *= 2
-
-
-def _darts(cells: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
-    """(dart, time) of all darts on the cells before `limit`. Gaps between the darts of a cell
-    are exponential."""
-    darts, times = [], []
-    now = np.zeros(len(cells))
-    dart = cells
+        return mix(values + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _darts(cells: np.ndarray, limit: np.ndarray, owner: np.ndarray):
+    """(dart, time, owner) of all darts on the cells before their limits. Gaps between the darts
+    of a cell are exponential."""
+    darts, times, owners = [], [], []
+    now, dart = np.zeros(len(cells)), cells
     while len(dart):
         with np.errstate(over="ignore"):
             dart = mix(dart * np.uint64(0xD1342543DE82EF95) + np.uint64(0x632BE59BD9B4E019))
         share = ((mix(dart) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
         now = now - np.log(share)
         early = now < limit
-        dart, now = dart[early], now[early]
+        dart, now, limit, owner = dart[early], now[early], limit[early], owner[early]
         darts.append(dart)
         times.append(now)
-    return np.concatenate(darts), np.concatenate(times)
+        owners.append(owner)
+    return np.concatenate(darts), np.concatenate(times), np.concatenate(owners)
 
 
 def bands_of(entries: np.ndarray) -> np.ndarray:
-    """One 64-bit number per band, different for different bands."""
-    rows = entries.reshape(BANDS, ROWS)
+    """One 64-bit number per text and band, different for different bands."""
+    rows = entries.reshape(-1, BANDS, ROWS)
     total = np.arange(1, BANDS + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for k in range(ROWS):
-            total = mix(total * np.uint64(0xD1342543DE82EF95) + rows[:, k])
+            total = mix(total * np.uint64(0xD1342543DE82EF95) + rows[:, :, k])
     return total
 
 
@@ -118,25 +132,79 @@ def _texts(batch: pa.RecordBatch):
         yield part.column("_key"), words
 
 
-def _band_rows(batches):
+def _signed(batches):
+    """Keys and signatures of the texts that have shingles."""
     for batch in batches:
         for keys, words in _texts(batch):
-            found = [signature(shingles(words, i)) for i in range(len(keys))]
-            has = [i for i, s in enumerate(found) if s is not None]
-            bands = [bands_of(found[i]).view(np.int64) for i in has]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(bands) if bands else [], pa.int64()),
-                    keys.take(pa.array(np.repeat(np.array(has, np.int64), BANDS))),
-                ],
-                ["band", "_key"],
-            )
+            own = [shingles(words, i) for i in range(len(keys))]
+            has = [i for i, x in enumerate(own) if len(x)]
+            if has:
+                yield keys.take(pa.array(has)), signatures([own[i] for i in has])
+
+
+def _band_rows(batches):
+    for keys, entries in _signed(batches):
+        repeated = np.repeat(np.arange(len(keys)), BANDS)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bands_of(entries).ravel().view(np.int64)), keys.take(pa.array(repeated))],
+            ["band", "_key"],
+        )
+
+
+def _signature_rows(batches):
+    for keys, entries in _signed(batches):
+        packed = [row.tobytes() for row in (entries >> np.uint64(32)).astype(np.uint32)]
+        yield pa.RecordBatch.from_arrays([keys, pa.array(packed, pa.binary())], ["_key", "signature"])
+
+
+def closest_forest(signs: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest in which every text hangs on the one it agrees with most, in
+    `least` coordinates at least. Grown text by text, with one row of agreements at a time."""
+    n = len(signs)
+    best, mate = np.full(n, -1), np.zeros(n, np.int64)
+    out, now, found = np.ones(n, bool), 0, []
+    for _ in range(n - 1):
+        out[now] = False
+        agree = (signs == signs[now]).sum(1)
+        closer = out & (agree > best)
+        best[closer], mate[closer] = agree[closer], now
+        now = int(np.argmax(np.where(out, best, -2)))
+        if best[now] >= least:
+            found.append((now, int(mate[now])))
+    return found
+
+
+def _forest_rows(batches):
+    """Links within each run of rows of one (band, block)."""
+    held: list[tuple] = []
+
+    def links():
+        signs = np.frombuffer(b"".join(r[3] for r in held), np.uint32).reshape(len(held), -1)
+        pairs = closest_forest(signs, _AGREE) if len(held) > 1 else []
+        keys = [sorted((held[i][2], held[j][2])) for i, j in pairs]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[1] for k in keys], pa.binary()), pa.array([k[0] for k in keys], pa.binary())],
+            ["_key", "leader"],
+        )
+
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("band", "block", "_key", "signature"))):
+            if held and held[0][:2] != row[:2]:
+                yield links()
+                held = []
+            held.append(row)
+    if held:
+        yield links()
 
 
 def _shingle_rows(batches):
     for batch in batches:
         for keys, words in _texts(batch):
-            packed = [shingles(words, i).tobytes() for i in range(len(keys))]
+            # Half of each hash is enough to tell the shingles of two texts apart.
+            packed = [
+                np.sort((shingles(words, i) >> np.uint64(32)).astype(np.uint32)).tobytes()
+                for i in range(len(keys))
+            ]
             yield pa.RecordBatch.from_arrays([keys, pa.array(packed, pa.binary())], ["_key", "own"])
 
 
@@ -146,7 +214,7 @@ def _judge(least: float):
             for part in slices(batch, "own", _BATCH_BYTES):
                 pairs = zip(part.column("own").to_pylist(), part.column("other").to_pylist())
                 alike = [
-                    similarity(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) >= least
+                    similarity(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)) >= least
                     for a, b in pairs
                 ]
                 yield pa.RecordBatch.from_arrays(
@@ -159,8 +227,7 @@ def _judge(least: float):
 
 def _judged(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     """(_key, leader, alike) for the distinct pairs, by their shingles."""
-    edges = pairs.select("_key", "leader").distinct()
-    keys = edges.select("_key").union(edges.select("leader")).distinct()
+    keys = pairs.select("_key").union(pairs.select("leader")).distinct()
     # All rows of a key hold the same text; any one gives its shingles.
     held = (
         texts.join(keys, "_key", "left_semi")
@@ -169,34 +236,44 @@ def _judged(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
         .agg(F.first("own").alias("own"))
     )
     other = held.select(F.col("_key").alias("leader"), F.col("own").alias("other"))
-    sides = edges.join(held, "_key").join(other, "leader")
+    sides = pairs.join(held, "_key").join(other, "leader")
     return sides.select("_key", "leader", "own", "other").mapInArrow(
         _judge(least), "_key binary, leader binary, alike boolean"
     )
 
 
-def links(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """(_key, leader) of similar distinct texts. `texts` has `_key` and `_text`."""
+def similar_pairs(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(_key, leader) of similar distinct texts, enough to connect each class. `texts` has `_key`
+    and `_text`."""
     rows = texts.mapInArrow(_band_rows, "band bigint, _key binary")
-    active = stage(rows.distinct(), "bands")
-    found = None
-    while True:
-        leaders = (
-            active.groupBy("band")
-            .agg(F.min("_key").alias("leader"), F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > 1)
-            .drop("n")
-        )
-        pairs = active.join(leaders, "band").where(F.col("_key") != F.col("leader"))
-        pairs = stage(pairs, "band-pairs")
-        judged = stage(_judged(texts, pairs, least), "judged")
-        alike = judged.where("alike").select("_key", "leader")
-        found = alike if found is None else found.union(alike)
-        apart = judged.where(~F.col("alike")).select("_key", "leader")
-        active = pairs.join(apart, ["_key", "leader"], "left_semi").select("band", "_key")
-        active = stage(active, "bands")
-        if active.isEmpty():
-            return found.distinct()
+    bands = stage(rows.distinct(), "bands")
+    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    shared = stage(bands.join(sizes, "band"), "buckets")
+    mates = shared.groupBy("_key").agg(F.sum("n").alias("mates"))
+    signs = (
+        texts.join(mates.select("_key"), "_key", "left_semi")
+        .mapInArrow(_signature_rows, "_key binary, signature binary")
+        .groupBy("_key")
+        .agg(F.first("signature").alias("signature"))
+    )
+    known = shared.join(mates, "_key").join(signs, "_key")
+    last = F.floor((F.col("n") - 1) / MOST_MATES).cast("int")
+    own = F.pmod(F.xxhash64("_key"), last + 1).cast("int")
+    large = known.where(F.col("n") > MOST_MATES)
+    central = large.groupBy("band").agg(F.max(F.struct("mates", "_key", "signature", "n")).alias("c"))
+    blocks = F.explode(F.sequence(F.lit(0), F.floor((F.col("c.n") - 1) / MOST_MATES).cast("int")))
+    members = known.select("band", own.alias("block"), "_key", "signature").unionByName(
+        central.select("band", blocks.alias("block"), "c._key", "c.signature")
+    )
+    links = (
+        members.repartition("band", "block")
+        .sortWithinPartitions("band", "block", "_key")
+        .mapInArrow(_forest_rows, "_key binary, leader binary")
+        .where(F.col("_key") != F.col("leader"))
+        .distinct()
+    )
+    judged = _judged(texts, stage(links, "links"), least)
+    return judged.where("alike").select("_key", "leader")
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -238,9 +315,9 @@ def near_duplicate_classes(
     class. Columns of these names are replaced, all others pass through."""
     keyed = df.drop("text_key", result).withColumn("text_key", F.unhex(F.md5(whole(F.col(text)))))
     texts = keyed.select(F.col("text_key").alias("_key"), whole(F.col(text)).alias("_text"))
-    roots = components(links(texts, least), "_key", "leader")
+    roots = components(similar_pairs(texts, least), "_key", "leader")
     roots = roots.select(F.col("node").alias("text_key"), F.col("root").alias("_root"))
-    joined = keyed.join(stage(roots, "roots"), "text_key", "left")
+    joined = keyed.join(roots, "text_key", "left")
     return joined.withColumn(result, F.coalesce("_root", "text_key")).drop("_root")
 
 

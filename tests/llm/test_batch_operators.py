@@ -101,6 +101,13 @@ def test_shared_chunks_are_encoded_once():
     assert sum(map(len, calls)) < 2 * len(passage)
 
 
+@pytest.mark.parametrize("text", ["a" * 60_000, "12" * 30_000, " " * 60_000, "日本" * 20_000])
+def test_very_long_words(text):
+    expected = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert bpe.Encoder(PATH).encode(text).tolist() == expected
+    assert pii.strict_spans(text) == []
+
+
 def test_encode_and_decode_frames(edge_docs, no_docs):
     coded = bpe.decode(bpe.encode(edge_docs, PATH), PATH)
     assert sorted(coded.columns) == sorted(edge_docs.columns)
@@ -219,7 +226,7 @@ def brute_repeats(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("frequent,shard", [(256, 500_000), (2, 50)])
+@pytest.mark.parametrize("frequent,shard", [(4096, 500_000), (2, 50)])
 def test_repeats(make_docs, monkeypatch, frequent, shard):
     """Also with every shared anchor frequent and with many small shards."""
     monkeypatch.setattr(repeats, "_FREQUENT", frequent)
@@ -289,7 +296,10 @@ def near_rows():
     return rows
 
 
-def test_near_duplicate_classes(make_docs, no_docs):
+@pytest.mark.parametrize("mates", [2048, 3])
+def test_near_duplicate_classes(make_docs, no_docs, monkeypatch, mates):
+    """Also with buckets compared in small blocks."""
+    monkeypatch.setattr(near_duplicates, "MOST_MATES", mates)
     rows = near_rows()
     found = near_duplicates.near_duplicate_classes(make_docs(rows)).collect()
     assert len(found) == len(rows)
@@ -325,10 +335,10 @@ def test_signatures_estimate_weighted_similarity():
     rnd = np.random.default_rng(0)
     a = np.sort(rnd.integers(0, 300, 600).astype(np.uint64))
     b = np.sort(np.concatenate([a[100:], rnd.integers(1000, 1300, 100).astype(np.uint64)]))
-    agree = near_duplicates.signature(a, 2000) == near_duplicates.signature(b, 2000)
+    both = near_duplicates.signatures([a, b, a[:1]], 2000)
     true = near_duplicates.similarity(a, b)
-    assert abs(agree.mean() - true) < 4 * (true * (1 - true) / 2000) ** 0.5
-    assert near_duplicates.signature(a[:1]) is not None and near_duplicates.signature(a[:0]) is None
+    assert abs((both[0] == both[1]).mean() - true) < 4 * (true * (1 - true) / 2000) ** 0.5
+    assert (near_duplicates.signatures([b], 2000) == both[1]).all()
 
 
 def test_chains_are_one_component(spark):
@@ -349,6 +359,14 @@ def test_strict_spans():
         ("x@y.z", "email"), ("1.2.3.4", "ip"), ("4111-1111 1111 1111", "card"),
         ("+1 (743) 555-3824", "phone"),
     }
+    rnd = random.Random(2)
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    for _ in range(3000):
+        text = "".join(rnd.choices("a1.@_-% ", k=rnd.randint(0, 30)))
+        spans = pii.strict_spans(text)
+        assert [s[:2] for s in spans if s[2] == "email"] == [m.span() for m in email.finditer(text)]
+        assert [s[:2] for s in spans if s[2] == "ip"] == [m.span() for m in ip.finditer(text)]
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
 
 

@@ -37,7 +37,7 @@ from corploom.llm.batches import AS_IS, NOT_WHITE, Words, mix, slices, text_byte
 WINDOW = 13
 _ANCHOR = 4
 _SORTED = 16  # words that suffixes are sorted by; one more than a pattern at least
-_FREQUENT = 256  # documents, from which on an anchor's windows are routed one by one
+_FREQUENT = 4096  # documents, from which on an anchor's windows are routed one by one
 _BATCH_BYTES = 4 << 20
 _SHARD_WORDS = 500_000  # words indexed at a time; groups of one route are not split
 
@@ -147,18 +147,21 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _parts(batches) -> Iterator[tuple[pa.RecordBatch, Words]]:
+def _parts(batches, text: str) -> Iterator[tuple[pa.RecordBatch, Words]]:
     for batch in batches:
-        for part in slices(batch, "_text", _BATCH_BYTES):
-            yield part, Words(*text_bytes(part.column("_text")), NOT_WHITE, AS_IS)
+        for part in slices(batch, text, _BATCH_BYTES):
+            yield part, Words(*text_bytes(part.column(text)), NOT_WHITE, AS_IS)
 
 
-def _anchor_rows(batches):
-    for part, words in _parts(batches):
-        first, at, anchor = _anchors(words)
-        runs = _runs(words.text[first], at)
-        ids = part.column("_id").take(pa.array(words.text[first[runs]]))
-        yield pa.RecordBatch.from_arrays([pa.array(anchor[runs]), ids], ["anchor", "_id"])
+def _anchor_rows(row_id: str, text: str):
+    def run(batches):
+        for part, words in _parts(batches, text):
+            first, at, anchor = _anchors(words)
+            runs = _runs(words.text[first], at)
+            ids = part.column(row_id).cast(pa.int64()).take(pa.array(words.text[first[runs]]))
+            yield pa.RecordBatch.from_arrays([pa.array(anchor[runs]), ids], ["anchor", "_id"])
+
+    return run
 
 
 def _shared_windows(part: pa.RecordBatch, words: Words):
@@ -167,7 +170,7 @@ def _shared_windows(part: pa.RecordBatch, words: Words):
     first, at, anchor = _anchors(words)
     shared, frequent = np.zeros(len(first), bool), np.zeros(len(first), bool)
     begins = np.searchsorted(first, words.first)
-    for name, out in (("shared", shared), ("frequent", frequent)):
+    for name, out in (("_shared", shared), ("_frequent", frequent)):
         column = part.column(name)
         offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
         valid = column.is_valid().to_numpy(zero_copy_only=False)
@@ -177,32 +180,37 @@ def _shared_windows(part: pa.RecordBatch, words: Words):
     return first, at, anchor, shared | frequent, frequent
 
 
-def _piece_rows(batches):
-    for part, words in _parts(batches):
-        first, at, anchor, shared, frequent = _shared_windows(part, words)
-        first, at, anchor, frequent = (x[shared] for x in (first, at, anchor, frequent))
-        # A stretch has windows side by side with one anchor; of frequent ones, one window.
-        text = words.text[first]
-        begin = _runs(text, at, first - np.arange(len(first)), np.where(frequent, first, -1))
-        end = np.append(begin[1:], len(first)) - 1
-        route = np.where(frequent, words.grams(WINDOW)[first].view(np.int64), anchor)[begin]
-        ids = part.column("_id").to_numpy(zero_copy_only=False)[text[begin]]
-        raw, starts, ends = words.data, words.starts, words.ends
-        smallest: dict[tuple[int, bytes], int] = {}
-        for r, a, b, i in zip(
-            route.tolist(), starts[first[begin]], ends[first[end] + WINDOW - 1], ids.tolist()
-        ):
-            key = (r, raw[a:b].tobytes())
-            known = smallest.get(key)
-            smallest[key] = i if known is None or i < known else known
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] for k in smallest], pa.int64()),
-                pa.array([k[1] for k in smallest], pa.binary()),
-                pa.array(smallest.values(), pa.int64()),
-            ],
-            ["route", "piece", "_id"],
-        )
+def _piece_rows(row_id: str, text: str):
+    def run(batches):
+        for part, words in _parts(batches, text):
+            first, at, anchor, shared, frequent = _shared_windows(part, words)
+            first, at, anchor, frequent = (x[shared] for x in (first, at, anchor, frequent))
+            if not len(first):
+                continue
+            # A stretch has windows side by side with one anchor; of frequent ones, one window.
+            own = words.text[first]
+            begin = _runs(own, at, first - np.arange(len(first)), np.where(frequent, first, -1))
+            end = np.append(begin[1:], len(first)) - 1
+            route = np.where(frequent, words.grams(WINDOW)[first].view(np.int64), anchor)[begin]
+            ids = part.column(row_id).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)[own[begin]]
+            raw, starts, ends = words.data, words.starts, words.ends
+            smallest: dict[tuple[int, bytes], int] = {}
+            for r, a, b, i in zip(
+                route.tolist(), starts[first[begin]], ends[first[end] + WINDOW - 1], ids.tolist()
+            ):
+                key = (r, raw[a:b].tobytes())
+                known = smallest.get(key)
+                smallest[key] = i if known is None or i < known else known
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k[0] for k in smallest], pa.int64()),
+                    pa.array([k[1] for k in smallest], pa.binary()),
+                    pa.array(smallest.values(), pa.int64()),
+                ],
+                ["route", "piece", "_id"],
+            )
+
+    return run
 
 
 def _owner_rows(batches):
@@ -231,12 +239,26 @@ def _owner_rows(batches):
         yield index(len(pieces))
 
 
-def _result_rows(fields: list[str], names: tuple[str, str, str]):
+def _joined(words: Words, kept: np.ndarray) -> list[str]:
+    """The kept words of each text, joined by one space."""
+    which = np.flatnonzero(kept)
+    starts, sizes = words.starts[which], words.ends[which] - words.starts[which] + 1
+    ends = np.cumsum(sizes)
+    # Each word and a byte after it, which becomes the space.
+    place = np.arange(int(sizes.sum())) + np.repeat(starts - ends + sizes, sizes)
+    joined = np.append(words.data, np.uint8(0x20))[place]
+    joined[ends - 1] = 0x20
+    edges = np.concatenate([[0], ends])[np.searchsorted(which, words.first)]
+    raw = joined.tobytes()
+    return [raw[a : max(a, b - 1)].decode() for a, b in zip(edges, edges[1:])]
+
+
+def _result_rows(fields: list[str], names: tuple[str, str, str], text: str):
     def run(batches):
-        for part, words in _parts(batches):
+        for part, words in _parts(batches, text):
             first, _, _, gone, _ = _shared_windows(part, words)
             hashes = words.grams(WINDOW)[first].view(np.int64)
-            kept = part.column("kept")
+            kept = part.column("_kept")
             offsets, values = kept.offsets.to_numpy(), kept.values.to_numpy(zero_copy_only=False)
             begins = np.searchsorted(first, words.first)
             for i in np.flatnonzero((np.diff(begins) > 0) & kept.is_valid().to_numpy(False)):
@@ -248,10 +270,7 @@ def _result_rows(fields: list[str], names: tuple[str, str, str]):
             removed = np.cumsum(edges[:-1]) > 0
             sizes = np.diff(words.first)
             n_removed = np.diff(np.concatenate([[0], np.cumsum(removed)])[words.first])
-            texts = []
-            for i in range(part.num_rows):
-                own = range(words.first[i], words.first[i + 1])
-                texts.append(b" ".join(words.word(k) for k in own if not removed[k]).decode())
+            texts = _joined(words, ~removed)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[part.column(name) for name in fields],
@@ -272,9 +291,12 @@ def without_repeats(
     `row_id` is an integer column."""
     names = ("n_words", "n_removed", result)
     source = df.drop(*names)
-    keyed = source.withColumns({"_id": F.col(row_id).cast("bigint"), "_text": F.col(text)})
-    seen = keyed.where(F.col("_id").isNotNull()).select("_id", "_text")
-    anchors = seen.mapInArrow(_anchor_rows, "anchor bigint, _id bigint")
+    key = source[row_id].cast("bigint")
+    anchors = (
+        source.where(key.isNotNull())
+        .select(row_id, text)
+        .mapInArrow(_anchor_rows(row_id, text), "anchor bigint, _id bigint")
+    )
     shared = (
         anchors.groupBy("anchor")
         .agg(F.min("_id").alias("a"), F.max("_id").alias("b"), F.count(F.lit(1)).alias("n"))
@@ -285,23 +307,25 @@ def without_repeats(
         anchors.join(shared, "anchor")
         .groupBy("_id")
         .agg(
-            F.collect_set(F.when(~F.col("often"), F.col("anchor"))).alias("shared"),
-            F.collect_set(F.when(F.col("often"), F.col("anchor"))).alias("frequent"),
+            F.collect_set(F.when(~F.col("often"), F.col("anchor"))).alias("_shared"),
+            F.collect_set(F.when(F.col("often"), F.col("anchor"))).alias("_frequent"),
         )
     )
-    listed = keyed.join(lists, "_id", "left")
-    pieces = (
-        listed.where(F.col("shared").isNotNull())
-        .select("_id", "_text", "shared", "frequent")
-        .mapInArrow(_piece_rows, "route bigint, piece binary, _id bigint")
+    # Both readers of this join take all of its columns, so that texts move once for both.
+    listed = source.join(lists, key == lists["_id"], "left").drop("_id")
+    pieces = listed.mapInArrow(
+        _piece_rows(row_id, text), "route bigint, piece binary, _id bigint"
     )
     kept = (
         pieces.repartition("route")
+        .groupBy("route", "piece")
+        .agg(F.min("_id").alias("_id"))
         .sortWithinPartitions("route")
         .mapInArrow(_owner_rows, "window bigint, _id bigint")
         .groupBy("_id")
-        .agg(F.collect_list("window").alias("kept"))
+        .agg(F.collect_list("window").alias("_kept"))
     )
+    found = listed.join(kept, listed[row_id].cast("bigint") == kept["_id"], "left").drop("_id")
     fields = source.columns
     schema = T.StructType(
         [
@@ -311,4 +335,4 @@ def without_repeats(
             T.StructField(result, T.StringType()),
         ]
     )
-    return listed.join(kept, "_id", "left").mapInArrow(_result_rows(fields, names), schema)
+    return found.mapInArrow(_result_rows(fields, names, text), schema)

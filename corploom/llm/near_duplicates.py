@@ -133,17 +133,18 @@ def _texts(batch: pa.RecordBatch):
 
 
 def _signed(batches):
-    """Keys and signatures of the texts that have shingles."""
+    """Keys, shingles and signatures of the texts that have shingles."""
     for batch in batches:
         for keys, words in _texts(batch):
             own = [shingles(words, i) for i in range(len(keys))]
             has = [i for i, x in enumerate(own) if len(x)]
             if has:
-                yield keys.take(pa.array(has)), signatures([own[i] for i in has])
+                own = [own[i] for i in has]
+                yield keys.take(pa.array(has)), own, signatures(own)
 
 
 def _band_rows(batches):
-    for keys, entries in _signed(batches):
+    for keys, _, entries in _signed(batches):
         repeated = np.repeat(np.arange(len(keys)), BANDS)
         yield pa.RecordBatch.from_arrays(
             [pa.array(bands_of(entries).ravel().view(np.int64)), keys.take(pa.array(repeated))],
@@ -151,10 +152,19 @@ def _band_rows(batches):
         )
 
 
-def _signature_rows(batches):
-    for keys, entries in _signed(batches):
-        packed = [row.tobytes() for row in (entries >> np.uint64(32)).astype(np.uint32)]
-        yield pa.RecordBatch.from_arrays([keys, pa.array(packed, pa.binary())], ["_key", "signature"])
+def _half(hashes: np.ndarray) -> np.ndarray:
+    """Upper halves of hashes: enough to tell the darts or shingles of two texts apart."""
+    return (hashes >> np.uint64(32)).astype(np.uint32)
+
+
+def _held_rows(batches):
+    for keys, own, entries in _signed(batches):
+        packed = [row.tobytes() for row in _half(entries)]
+        sets = [np.sort(_half(x)).tobytes() for x in own]
+        yield pa.RecordBatch.from_arrays(
+            [keys, pa.array(packed, pa.binary()), pa.array(sets, pa.binary())],
+            ["_key", "signature", "own"],
+        )
 
 
 def closest_forest(signs: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -197,17 +207,6 @@ def _forest_rows(batches):
         yield links()
 
 
-def _shingle_rows(batches):
-    for batch in batches:
-        for keys, words in _texts(batch):
-            # Half of each hash is enough to tell the shingles of two texts apart.
-            packed = [
-                np.sort((shingles(words, i) >> np.uint64(32)).astype(np.uint32)).tobytes()
-                for i in range(len(keys))
-            ]
-            yield pa.RecordBatch.from_arrays([keys, pa.array(packed, pa.binary())], ["_key", "own"])
-
-
 def _judge(least: float):
     def run(batches):
         for batch in batches:
@@ -225,18 +224,11 @@ def _judge(least: float):
     return run
 
 
-def _judged(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    """(_key, leader, alike) for the distinct pairs, by their shingles."""
-    keys = pairs.select("_key").union(pairs.select("leader")).distinct()
-    # All rows of a key hold the same text; any one gives its shingles.
-    held = (
-        texts.join(keys, "_key", "left_semi")
-        .mapInArrow(_shingle_rows, "_key binary, own binary")
-        .groupBy("_key")
-        .agg(F.first("own").alias("own"))
-    )
+def _judged(held: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """(_key, leader, alike) for the distinct pairs, by the shingles in `held`."""
+    own = held.select("_key", "own")
     other = held.select(F.col("_key").alias("leader"), F.col("own").alias("other"))
-    sides = pairs.join(held, "_key").join(other, "leader")
+    sides = pairs.join(own, "_key").join(other, "leader")
     return sides.select("_key", "leader", "own", "other").mapInArrow(
         _judge(least), "_key binary, leader binary, alike boolean"
     )
@@ -250,13 +242,16 @@ def similar_pairs(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     shared = stage(bands.join(sizes, "band"), "buckets")
     mates = shared.groupBy("_key").agg(F.sum("n").alias("mates"))
-    signs = (
+    # Texts move once, and only what is needed of those with mates is kept. All rows of a key hold
+    # the same text; any one will do.
+    held = (
         texts.join(mates.select("_key"), "_key", "left_semi")
-        .mapInArrow(_signature_rows, "_key binary, signature binary")
+        .mapInArrow(_held_rows, "_key binary, signature binary, own binary")
         .groupBy("_key")
-        .agg(F.first("signature").alias("signature"))
+        .agg(F.first("signature").alias("signature"), F.first("own").alias("own"))
     )
-    known = shared.join(mates, "_key").join(signs, "_key")
+    held = stage(held, "held")
+    known = shared.join(mates, "_key").join(held.select("_key", "signature"), "_key")
     last = F.floor((F.col("n") - 1) / MOST_MATES).cast("int")
     own = F.pmod(F.xxhash64("_key"), last + 1).cast("int")
     large = known.where(F.col("n") > MOST_MATES)
@@ -272,7 +267,7 @@ def similar_pairs(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
         .where(F.col("_key") != F.col("leader"))
         .distinct()
     )
-    judged = _judged(texts, stage(links, "links"), least)
+    judged = _judged(held, stage(links, "links"), least)
     return judged.where("alike").select("_key", "leader")
 
 

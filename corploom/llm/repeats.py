@@ -39,6 +39,7 @@ _ANCHOR = 4
 _SORTED = 16  # words that suffixes are sorted by; one more than a pattern at least
 _FREQUENT = 4096  # documents, from which on an anchor's windows are routed one by one
 _BATCH_BYTES = 4 << 20
+_MERGED = 200_000  # stretches held by a task to merge equal ones
 _SHARD_WORDS = 500_000  # words indexed at a time; groups of one route are not split
 
 
@@ -180,8 +181,23 @@ def _shared_windows(part: pa.RecordBatch, words: Words):
     return first, at, anchor, shared | frequent, frequent
 
 
+def _piece_batch(smallest: dict[tuple[int, bytes], int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([k[0] for k in smallest], pa.int64()),
+            pa.array([k[1] for k in smallest], pa.binary()),
+            pa.array(smallest.values(), pa.int64()),
+        ],
+        ["route", "piece", "_id"],
+    )
+
+
 def _piece_rows(row_id: str, text: str):
+    """Stretches with the smallest id they occur under; equal ones of a task are merged while no
+    more than `_MERGED` are held."""
+
     def run(batches):
+        smallest: dict[tuple[int, bytes], int] = {}
         for part, words in _parts(batches, text):
             first, at, anchor, shared, frequent = _shared_windows(part, words)
             first, at, anchor, frequent = (x[shared] for x in (first, at, anchor, frequent))
@@ -194,21 +210,16 @@ def _piece_rows(row_id: str, text: str):
             route = np.where(frequent, words.grams(WINDOW)[first].view(np.int64), anchor)[begin]
             ids = part.column(row_id).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)[own[begin]]
             raw, starts, ends = words.data, words.starts, words.ends
-            smallest: dict[tuple[int, bytes], int] = {}
             for r, a, b, i in zip(
                 route.tolist(), starts[first[begin]], ends[first[end] + WINDOW - 1], ids.tolist()
             ):
                 key = (r, raw[a:b].tobytes())
                 known = smallest.get(key)
                 smallest[key] = i if known is None or i < known else known
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in smallest], pa.int64()),
-                    pa.array([k[1] for k in smallest], pa.binary()),
-                    pa.array(smallest.values(), pa.int64()),
-                ],
-                ["route", "piece", "_id"],
-            )
+            if len(smallest) > _MERGED:
+                yield _piece_batch(smallest)
+                smallest = {}
+        yield _piece_batch(smallest)
 
     return run
 

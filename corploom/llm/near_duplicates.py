@@ -10,8 +10,10 @@ coordinate stays empty, the limit is doubled, which does not change what came fi
 Signatures are cut in bands; texts that agree in a band share its bucket. Within a bucket,
 signatures are compared inside the task, and only a spanning forest of the closest texts leaves it:
 a row per text at most, however many texts are alike. Its links are then judged exactly, by the
-shingles of both texts. Classes are the connected components of the links that hold. So a text is
-judged against its closest mates in all its buckets, and no group is expanded to pairs. Buckets of
+shingles of both texts. Where all links of a tree hold, all its texts are connected. Where one does
+not and its texts stay apart, the bucket gets the shingles of its texts, and every pair of them
+that agrees enough and is not connected yet is judged in the task, in the first band the two share.
+Classes are the connected components of the links that hold. No group is expanded to pairs. Buckets of
 more than `MOST_MATES` texts are compared in blocks which all hold the bucket's central text, the one
 with most mates in all buckets: an original rather than one of its altered copies.
 
@@ -23,6 +25,8 @@ Rows may repeat and ids be null: all rows of equal text share a class.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -147,7 +151,7 @@ def _band_rows(batches):
     for keys, _, entries in _signed(batches):
         repeated = np.repeat(np.arange(len(keys)), BANDS)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(bands_of(entries).ravel().view(np.int64)), keys.take(pa.array(repeated))],
+            [pa.array(bands_of(_half(entries)).ravel().view(np.int64)), keys.take(pa.array(repeated))],
             ["band", "_key"],
         )
 
@@ -167,12 +171,13 @@ def _held_rows(batches):
         )
 
 
-def closest_forest(signs: np.ndarray, least: int) -> list[tuple[int, int]]:
+def closest_forest(signs: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """Links of a spanning forest in which every text hangs on the one it agrees with most, in
-    `least` coordinates at least. Grown text by text, with one row of agreements at a time."""
+    `least` coordinates at least, with the number of their tree. Grown text by text, with one row of
+    agreements at a time."""
     n = len(signs)
     best, mate = np.full(n, -1), np.zeros(n, np.int64)
-    out, now, found = np.ones(n, bool), 0, []
+    out, now, tree, found = np.ones(n, bool), 0, 0, []
     for _ in range(n - 1):
         out[now] = False
         agree = (signs == signs[now]).sum(1)
@@ -180,31 +185,93 @@ def closest_forest(signs: np.ndarray, least: int) -> list[tuple[int, int]]:
         best[closer], mate[closer] = agree[closer], now
         now = int(np.argmax(np.where(out, best, -2)))
         if best[now] >= least:
-            found.append((now, int(mate[now])))
+            found.append((now, int(mate[now]), tree))
+        else:
+            tree += 1
     return found
 
 
-def _forest_rows(batches):
-    """Links within each run of rows of one (band, block)."""
+def _runs(batches, columns: tuple[str, ...], by: int):
+    """Lists of rows that are equal in the first `by` columns; they come one after the other."""
     held: list[tuple] = []
-
-    def links():
-        signs = np.frombuffer(b"".join(r[3] for r in held), np.uint32).reshape(len(held), -1)
-        pairs = closest_forest(signs, _AGREE) if len(held) > 1 else []
-        keys = [sorted((held[i][2], held[j][2])) for i, j in pairs]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[1] for k in keys], pa.binary()), pa.array([k[0] for k in keys], pa.binary())],
-            ["_key", "leader"],
-        )
-
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("band", "block", "_key", "signature"))):
-            if held and held[0][:2] != row[:2]:
-                yield links()
+        for row in zip(*(batch.column(c).to_pylist() for c in columns)):
+            if held and held[0][:by] != row[:by]:
+                yield held
                 held = []
             held.append(row)
     if held:
-        yield links()
+        yield held
+
+
+def _signs(packed: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), np.uint32).reshape(len(packed), -1)
+
+
+def _forest_rows(batches):
+    """Links within each run of rows of one (band, block). `more`: their tree has other pairs."""
+    for held in _runs(batches, ("band", "block", "_key", "signature"), 2):
+        pairs = closest_forest(_signs([r[3] for r in held]), _AGREE) if len(held) > 1 else []
+        links = Counter(tree for _, _, tree in pairs)
+        keys = [sorted((held[i][2], held[j][2])) for i, j, _ in pairs]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([k[1] for k in keys], pa.binary()),
+                pa.array([k[0] for k in keys], pa.binary()),
+                pa.array([links[tree] > 1 for _, _, tree in pairs], pa.bool_()),
+            ],
+            ["_key", "leader", "more"],
+        )
+
+
+def links_left(
+    signs: np.ndarray, own: list[np.ndarray], roots: list, at: int, least: float
+) -> list[tuple[int, int]]:
+    """Links that connect texts of different roots as far as their similarity does. Pairs are judged
+    exactly unless they are connected by then, agree in too few coordinates or share a band before
+    number `at`. `own` are the sorted shingles."""
+    first = np.cumsum([0] + [len(x) for x in own])
+    values = np.concatenate(own).astype(np.uint64)
+    # Copies of a shingle count one by one: a cell is a shingle and the number of the copy.
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    new[first[:-1]] = True
+    begins = np.flatnonzero(new)
+    copy = np.arange(len(values)) - np.repeat(begins, np.diff(np.append(begins, len(values))))
+    cells, ids = np.unique((values << np.uint64(32)) | copy.astype(np.uint64), return_inverse=True)
+    texts = np.split(ids.ravel(), first[1:-1])
+    root = np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1].ravel()
+    sizes, mark, found = np.diff(first), np.zeros(len(cells), bool), []
+    for i in range(len(own) - 1):
+        later = i + 1 + np.flatnonzero(root[i + 1 :] != root[i])
+        same = signs[later] == signs[i]
+        bands = same[:, : at * ROWS].reshape(len(later), at, ROWS)
+        later = later[(same.sum(1) >= _AGREE) & ~bands.all(2).any(1)]
+        if not len(later):
+            continue
+        mark[texts[i]] = True
+        both = np.array([np.count_nonzero(mark[texts[j]]) for j in later])
+        mark[texts[i]] = False
+        for j in later[both / (sizes[i] + sizes[later] - both) >= least].tolist():
+            if root[j] != root[i]:
+                root[root == root[j]] = root[i]
+                found.append((i, j))
+    return found
+
+
+def _left_rows(least: float):
+    def run(batches):
+        for held in _runs(batches, ("band", "_key", "root", "signature", "own"), 1):
+            signs = _signs([r[3] for r in held])
+            at = np.flatnonzero(bands_of(signs[:1])[0].view(np.int64) == held[0][0])[0]
+            own = [np.frombuffer(r[4], np.uint32) for r in held]
+            links = links_left(signs, own, [r[2] for r in held], int(at), least)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([held[k[side]][1] for k in links], pa.binary()) for side in (0, 1)],
+                ["_key", "leader"],
+            )
+
+    return run
 
 
 def _judge(least: float):
@@ -217,20 +284,20 @@ def _judge(least: float):
                     for a, b in pairs
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_key"), part.column("leader"), pa.array(alike, pa.bool_())],
-                    ["_key", "leader", "alike"],
+                    [*(part.column(c) for c in ("_key", "leader", "more")), pa.array(alike, pa.bool_())],
+                    ["_key", "leader", "more", "alike"],
                 )
 
     return run
 
 
 def _judged(held: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    """(_key, leader, alike) for the distinct pairs, by the shingles in `held`."""
+    """(_key, leader, more, alike) for the distinct pairs, by the shingles in `held`."""
     own = held.select("_key", "own")
     other = held.select(F.col("_key").alias("leader"), F.col("own").alias("other"))
     sides = pairs.join(own, "_key").join(other, "leader")
-    return sides.select("_key", "leader", "own", "other").mapInArrow(
-        _judge(least), "_key binary, leader binary, alike boolean"
+    return sides.select("_key", "leader", "more", "own", "other").mapInArrow(
+        _judge(least), "_key binary, leader binary, more boolean, alike boolean"
     )
 
 
@@ -263,12 +330,35 @@ def similar_pairs(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     links = (
         members.repartition("band", "block")
         .sortWithinPartitions("band", "block", "_key")
-        .mapInArrow(_forest_rows, "_key binary, leader binary")
+        .mapInArrow(_forest_rows, "_key binary, leader binary, more boolean")
         .where(F.col("_key") != F.col("leader"))
-        .distinct()
+        .groupBy("_key", "leader")
+        .agg(F.max("more").alias("more"))
+    )
+    judged = stage(_judged(held, stage(links, "links"), least), "judged")
+    roots = components(judged.where("alike"), "_key", "leader")
+    left = _left(shared, held, judged, roots, least)
+    return roots.select(F.col("node").alias("_key"), F.col("root").alias("leader")).unionByName(left)
+
+
+def _left(shared: DataFrame, held: DataFrame, judged: DataFrame, roots: DataFrame, least: float):
+    """(_key, leader) of the similar pairs of a bucket that `roots` do not connect yet, enough to
+    connect them. A tree whose links all hold, or are connected otherwise, has no such pair."""
+    root = roots.select(F.col("node").alias("_key"), "root")
+    rooted = shared.select("band", "_key", "n").join(root, "_key", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "_key"))
+    at = rooted.select("band", "_key", "root")
+    other = rooted.select("band", F.col("_key").alias("leader"), F.col("root").alias("other"))
+    apart = judged.where("more and not alike").select("_key", "leader").join(at, "_key")
+    apart = apart.join(other, ["band", "leader"]).where(F.col("root") != F.col("other"))
+    members = rooted.join(apart.select("band").distinct(), "band").where(F.col("n") <= MOST_MATES)
+    return (
+        members.select("band", "_key", "root")
+        .join(held, "_key")
+        .repartition("band")
+        .sortWithinPartitions("band", "_key")
+        .mapInArrow(_left_rows(least), "_key binary, leader binary")
     )
-    judged = _judged(held, stage(links, "links"), least)
-    return judged.where("alike").select("_key", "leader")
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:

@@ -331,6 +331,42 @@ def test_near_duplicate_classes(make_docs, no_docs, monkeypatch, mates):
     assert near_duplicates.one_per_class(no_docs).count() == 0
 
 
+def crowd_rows(texts=300, pairs=15):
+    """A page template: texts at 0.78 to each other, and pairs of them at 0.81. Also a text of
+    shingles that repeat, so that copies count."""
+    rnd = random.Random(6)
+    make = lambda n: [f"w{rnd.randint(0, 10**6)}" for _ in range(n)]
+    page = make(424)
+    tails = [make(60) for _ in range(texts)]
+    for k in range(pairs):
+        tails[2 * k + 1] = tails[2 * k][:10] + tails[2 * k + 1][10:]
+    rows = [(k, " ".join(page + tail)) for k, tail in enumerate(tails)]
+    return [*rows, (texts, " ".join(make(5) * 40))]
+
+
+def check_crowd(make_docs):
+    rows = crowd_rows()
+    sets = [shingle_counts(t) for _, t in rows]
+    links = [
+        (a, b)
+        for a in range(len(rows))
+        for b in range(a)
+        if sum((sets[a] & sets[b]).values()) >= 0.8 * sum((sets[a] | sets[b]).values())
+    ]
+    assert len(links) == 15
+    found = near_duplicates.near_duplicate_classes(make_docs(rows)).collect()
+    classes = collections.defaultdict(list)
+    for r in found:
+        classes[bytes(r.class_key)].append(r.doc_id)
+    assert sorted(sorted(c) for c in classes.values() if len(c) > 1) == sorted(sorted(p) for p in links)
+    assert len(found) == len(rows)
+
+
+def test_similar_pairs_in_a_crowd_just_below(make_docs):
+    """The closest by estimate is often a text that is not similar; the similar one counts."""
+    check_crowd(make_docs)
+
+
 def test_signatures_estimate_weighted_similarity():
     rnd = np.random.default_rng(0)
     a = np.sort(rnd.integers(0, 300, 600).astype(np.uint64))

@@ -15,7 +15,8 @@ not and its texts stay apart, the bucket gets the shingles of its texts, and eve
 that agrees enough and is not connected yet is judged in the task, in the first band the two share.
 Classes are the connected components of the links that hold. No group is expanded to pairs. Buckets of
 more than `MOST_MATES` texts are compared in blocks which all hold the bucket's central text, the one
-with most mates in all buckets: an original rather than one of its altered copies.
+with most mates in all buckets: an original rather than one of its altered copies. What these leave
+apart is compared with every other block, two blocks a task.
 
 Copies: texts are told apart by a digest of the whole text, and only distinct ones take part, so
 a text that makes up a third of the rows is one row. Texts with fewer than five words are one
@@ -42,6 +43,7 @@ BANDS, ROWS = 26, 5  # a pair at 0.8 shares no band once in 30,000 times
 COORDINATES = BANDS * ROWS
 _AGREE = 85  # coordinates; a pair at 0.8 agrees in fewer once in 30,000 times
 MOST_MATES = 2048  # texts of a bucket that are compared in one block
+BLOCK_BYTES = 32 << 20  # shingles of a block that are judged exactly
 _BATCH_BYTES = 2 << 20
 
 
@@ -225,11 +227,16 @@ def _forest_rows(batches):
 
 
 def links_left(
-    signs: np.ndarray, own: list[np.ndarray], roots: list, at: int, least: float
+    signs: np.ndarray,
+    own: list[np.ndarray],
+    roots: list[bytes],
+    blocks: list[int],
+    at: int,
+    least: float,
 ) -> list[tuple[int, int]]:
     """Links that connect texts of different roots as far as their similarity does. Pairs are judged
     exactly unless they are connected by then, agree in too few coordinates or share a band before
-    number `at`. `own` are the sorted shingles."""
+    number `at`. `own` are the sorted shingles. Of two blocks, only pairs across them are judged."""
     first = np.cumsum([0] + [len(x) for x in own])
     values = np.concatenate(own).astype(np.uint64)
     # Copies of a shingle count one by one: a cell is a shingle and the number of the copy.
@@ -242,8 +249,13 @@ def links_left(
     texts = np.split(ids.ravel(), first[1:-1])
     root = np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1].ravel()
     sizes, mark, found = np.diff(first), np.zeros(len(cells), bool), []
+    block = np.array(blocks)
+    across = len(np.unique(block)) > 1
     for i in range(len(own) - 1):
-        later = i + 1 + np.flatnonzero(root[i + 1 :] != root[i])
+        apart = root[i + 1 :] != root[i]
+        if across:
+            apart &= block[i + 1 :] != block[i]
+        later = i + 1 + np.flatnonzero(apart)
         same = signs[later] == signs[i]
         bands = same[:, : at * ROWS].reshape(len(later), at, ROWS)
         later = later[(same.sum(1) >= _AGREE) & ~bands.all(2).any(1)]
@@ -261,13 +273,17 @@ def links_left(
 
 def _left_rows(least: float):
     def run(batches):
-        for held in _runs(batches, ("band", "_key", "root", "signature", "own"), 1):
-            signs = _signs([r[3] for r in held])
+        columns = ("band", "task", "block", "_key", "root", "signature", "own")
+        for held in _runs(batches, columns, 2):
+            _, _, blocks, keys, roots, packed, own = zip(*held)
+            if len(set(blocks)) == 1 and held[0][1]["x"] != held[0][1]["y"]:
+                continue  # the other block is empty
+            signs = _signs(packed)
             at = np.flatnonzero(bands_of(signs[:1])[0].view(np.int64) == held[0][0])[0]
-            own = [np.frombuffer(r[4], np.uint32) for r in held]
-            links = links_left(signs, own, [r[2] for r in held], int(at), least)
+            own = [np.frombuffer(x, np.uint32) for x in own]
+            links = links_left(signs, own, roots, blocks, int(at), least)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([held[k[side]][1] for k in links], pa.binary()) for side in (0, 1)],
+                [pa.array([keys[k[side]] for k in links], pa.binary()) for side in (0, 1)],
                 ["_key", "leader"],
             )
 
@@ -351,16 +367,59 @@ def _left(shared: DataFrame, held: DataFrame, judged: DataFrame, roots: DataFram
     other = rooted.select("band", F.col("_key").alias("leader"), F.col("root").alias("other"))
     apart = judged.where("more and not alike").select("_key", "leader").join(at, "_key")
     apart = apart.join(other, ["band", "leader"]).where(F.col("root") != F.col("other"))
-    members = rooted.join(apart.select("band").distinct(), "band").where(F.col("n") <= MOST_MATES)
+    # Blocks of large buckets have not met, whatever their links.
+    large = shared.where(F.col("n") > MOST_MATES).select("band")
+    rooted = rooted.join(apart.select("band").union(large).distinct(), "band").drop("n")
+    members = _tasks(rooted.join(held.select("_key", F.length("own").alias("size")), "_key"))
     return (
-        members.select("band", "_key", "root")
-        .join(held, "_key")
-        .repartition("band")
-        .sortWithinPartitions("band", "_key")
+        members.join(held, "_key")
+        .repartition("band", "task")
+        .sortWithinPartitions("band", "task", "_key")
         .mapInArrow(_left_rows(least), "_key binary, leader binary")
     )
 
 
+def _tasks(rooted: DataFrame) -> DataFrame:
+    """A row (band, task, block, _key, root) for each task that a text takes part in. `task` is two
+    blocks of the bucket, each pair of blocks one task; `rooted` has the bytes of a text as `size`.
+
+    The texts of the bucket's most frequent root need not meet each other: they have blocks of their
+    own (the first ones), which meet only the blocks of the others. Buckets of one root drop out."""
+    by_root = rooted.groupBy("band", "root").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")
+    )
+    blocks = lambda n, size: F.ceil(F.greatest(n / MOST_MATES, size / BLOCK_BYTES)).cast("int")
+    per = by_root.groupBy("band").agg(
+        F.max(F.struct("n", "root", "bytes")).alias("top"),
+        F.sum("n").alias("n"),
+        F.sum("bytes").alias("bytes"),
+    )
+    per = per.where(F.col("n") > F.col("top.n")).select(
+        "band",
+        F.col("top.root").alias("most"),
+        (blocks(F.col("n"), F.col("bytes")) == 1).alias("whole"),
+        blocks(F.col("top.n"), F.col("top.bytes")).alias("a"),
+        blocks(F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")).alias("b"),
+    )
+    hashed = F.xxhash64("_key")
+    first = F.col("root") == F.col("most")
+    block = (
+        F.when(F.col("whole"), F.lit(0))
+        .when(first, F.pmod(hashed, "a"))
+        .otherwise(F.col("a") + F.pmod(hashed, "b"))
+        .cast("int")
+    )
+    last = F.col("a") + F.col("b") - 1
+    mates = (
+        F.when(F.col("whole"), F.array(F.lit(0)))
+        .when(first, F.sequence("a", last))
+        .otherwise(F.sequence(F.lit(0), last))
+    )
+    met = rooted.join(per, "band").withColumn("block", block).withColumn("mate", F.explode(mates))
+    task = F.struct(F.least("block", "mate").alias("x"), F.greatest("block", "mate").alias("y"))
+    return met.select("band", task.alias("task"), "block", "_key", "root")
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root): the smallest node of each node's component, for all nodes with an edge.
 

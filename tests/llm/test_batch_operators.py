@@ -367,6 +367,11 @@ def test_similar_pairs_in_a_crowd_just_below(make_docs):
     check_crowd(make_docs)
 
 
+def test_similar_pairs_of_different_blocks(make_docs, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "MOST_MATES", 64)
+    check_crowd(make_docs)
+
+
 def test_signatures_estimate_weighted_similarity():
     rnd = np.random.default_rng(0)
     a = np.sort(rnd.integers(0, 300, 600).astype(np.uint64))

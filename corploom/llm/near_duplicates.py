@@ -456,7 +456,10 @@ def near_duplicate_classes(
     df: DataFrame, text: str = "text", least: float = SIMILARITY, result: str = "class_key"
 ) -> DataFrame:
     """Adds `text_key` (digest of the text) and `result`: the smallest text key of the row's
-    class. Columns of these names are replaced, all others pass through."""
+    class. Columns of these names are replaced, all others pass through. Bands and coordinates are
+    laid out for `SIMILARITY`; a `least` below it would lose pairs and is an error."""
+    if not least >= SIMILARITY:
+        raise ValueError(f"least must be {SIMILARITY} or more, not {least}")
     keyed = df.drop("text_key", result).withColumn("text_key", F.unhex(F.md5(whole(F.col(text)))))
     texts = keyed.select(F.col("text_key").alias("_key"), whole(F.col(text)).alias("_text"))
     roots = components(similar_pairs(texts, least), "_key", "leader")

@@ -372,6 +372,14 @@ def test_similar_pairs_of_different_blocks(make_docs, monkeypatch):
     check_crowd(make_docs)
 
 
+def test_similarity_below_the_bands_is_refused(make_docs):
+    docs = make_docs([(1, "a b c d e f")])
+    for of in (near_duplicates.near_duplicate_classes, near_duplicates.one_per_class):
+        with pytest.raises(ValueError, match="least"):
+            of(docs, least=0.6)
+    assert near_duplicates.near_duplicate_classes(docs, least=0.9).count() == 1
+
+
 def test_signatures_estimate_weighted_similarity():
     rnd = np.random.default_rng(0)
     a = np.sort(rnd.integers(0, 300, 600).astype(np.uint64))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from corploom.llm.licenses import COVERAGE, GRAM, NEAR, PHRASES, TEMPLATES
 from corploom.llm.quality import STOP_WORDS
 from corploom.llm.secrets import RULES as SECRETS
+from corploom.llm.spelling import LEAST_COUNT, LEAST_LETTERS, RATIO, SLIPS
 from corploom.llm.urls import RULES as URL_RULES
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -59,14 +60,25 @@ from judged
 """
 
 # crc32 goes over the bytes of each text with a table of 256 entries made by its rule.
-SHARDS = r"""
-with recursive steps(byte, k, v) as (
+_CRC = """steps(byte, k, v) as (
   select range::bigint, 0, range::bigint from range(256)
   union all
   select byte, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end
   from steps where k < 8
 ),
-crc as (select list(v order by byte) as entries from steps where k = 8),
+crc as (select list(v order by byte) as entries from steps where k = 8)"""
+
+
+def _crc32(digits: str) -> str:
+    """crc32 of the bytes that a hex string stands for; `crc` must be joined."""
+    return f"""xor(list_reduce(
+    list_prepend(4294967295::bigint, list_transform(range(1, length({digits}) // 2 + 1),
+      lambda i: ('0x' || substr({digits}, (2 * i - 1)::bigint, 2))::bigint)),
+    lambda c, b: xor(c >> 8, entries[xor(c & 255, b) + 1])), 4294967295)"""
+
+
+SHARDS = rf"""
+with recursive {_CRC},
 sized as (
   select doc_id, source, coalesce(text, '') as text, octet_length(encode(coalesce(text, ''))) + 1
     as size, hex(coalesce(text, '')) as digits,
@@ -75,11 +87,7 @@ sized as (
   from documents
 ),
 summed as (
-  select sized.*, xor(list_reduce(
-    list_prepend(4294967295::bigint, list_transform(range(1, size),
-      lambda i: ('0x' || substr(digits, (2 * i - 1)::bigint, 2))::bigint)),
-    lambda c, b: xor(c >> 8, entries[xor(c & 255, b) + 1])), 4294967295) as text_crc32
-  from sized, crc
+  select sized.*, {_crc32("digits")} as text_crc32 from sized, crc
 ),
 ranked as (
   select *, (row_number() over (partition by src order by key) - 0.5::double)
@@ -254,6 +262,57 @@ from docs left join joined using (rid)
 """
 
 
+# Words one code point apart agree once the same place, or any place of the longer one, is left out.
+SPELLING = rf"""
+with recursive {_CRC},
+runs as (
+  select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents
+),
+counted as (
+  select run, count(*) as n, hex(concat(doc_id::varchar, ':', run)) as digits
+  from runs where length(run) >= {LEAST_LETTERS} group by doc_id, run
+),
+hashed as (select run, n, length(run) as size, {_crc32("digits")} as h from counted, crc),
+slipped as (
+  select n, case when h % {SLIPS} <> 0 then run
+    else substr(run, 1, (h % size)::bigint) || substr(run, (h % size + 2)::bigint) end as word
+  from hashed
+),
+words as (
+  select word, sum(n)::bigint as n from slipped where length(word) >= {LEAST_LETTERS}
+  group by word having sum(n) >= {LEAST_COUNT}
+),
+shorter as (
+  select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+  from (select word, unnest(range(1, length(word) + 1)) as i from words)
+),
+near as (
+  select a.word, b.word as other from shorter a join shorter b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select word, rest from shorter where rest in (select word from words)
+  union select rest, word from shorter where rest in (select word from words)
+),
+ranked as (
+  select near.word, other, o.n as other_n, count(*) over (partition by near.word) as n_near,
+    row_number() over (partition by near.word order by o.n desc, other) as place
+  from near join words o on o.word = near.other
+),
+formed as (
+  select w.word, w.n, coalesce(n_near, 0)::bigint as n_near,
+    case when other_n >= {RATIO} * w.n then other end as form,
+    case when other_n >= {RATIO} * w.n then other_n end as form_n
+  from words w left join ranked r on r.word = w.word and place = 1
+),
+chain as (
+  select word, coalesce(form, word) as root, 0 as links from formed
+  union all
+  select c.word, f.form, links + 1 from chain c join formed f on f.word = c.root where f.form is not null
+),
+roots as (select word, arg_max(root, links) as root from chain group by word)
+select word, form, root, n, n_near, form_n from formed join roots using (word)
+"""
+
+
 ORACLES = {
     "op2_stratified_shards": SHARDS,
     "op3_fm_repeats": REPEATS,
@@ -261,4 +320,5 @@ ORACLES = {
     "op9_license_diagonals": LICENSES,
     "op10_trigram_secrets": _duck_secrets(),
     "op5_quality_rules": QUALITY,
+    "op13_spelling_variants": SPELLING,
 }

@@ -19,6 +19,7 @@ from corploom.llm.secrets import BASE_RULES as BASE_SECRETS
 from corploom.llm.secrets import RULES as SECRETS
 from corploom.llm.secrets import scan_secrets
 from corploom.llm.sharding import interleave
+from corploom.llm.spelling import spelling_variants
 from corploom.llm.text import join_spans, whole
 from corploom.llm.urls import judge_urls
 
@@ -186,3 +187,9 @@ def op3_fm_repeats(spark, sf_dir):
     return without_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling_variants(docs)

@@ -11,6 +11,7 @@ from corploom.llm.bpe import decode, encode
 from corploom.llm.decontamination import with_leaks
 from corploom.llm.licenses import with_licenses
 from corploom.llm.near_duplicates import near_duplicate_classes
+from corploom.llm.packing import pack_documents
 from corploom.llm.pii import KINDS as PII_KINDS
 from corploom.llm.pii import fit_model, with_pii
 from corploom.llm.quality import with_quality
@@ -34,10 +35,10 @@ def query(build: Query) -> Query:
     return build
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -189,6 +190,21 @@ def op3_fm_repeats(spark, sf_dir):
     )
 
 
+@query
+def op12_ffd_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = pack_documents(docs, tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return packed.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 @query
 def op13_spelling_variants(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

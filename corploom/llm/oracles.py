@@ -262,6 +262,56 @@ from docs left join joined using (rid)
 """
 
 
+# Every node adds its own part to all nodes on its smallest member's path above it.
+TRIE = rf"""
+with recursive {_CRC},
+turns as (
+  select conv_id, turn, md5(octet_length(encode(coalesce(role, '')))::varchar || ':' || coalesce(role, '')
+      || coalesce(text, '')) as digest, octet_length(encode(coalesce(text, '')))::bigint as size
+  from conversations where conv_id is not null
+),
+numbered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, digest, size) as k from turns
+),
+convs as (
+  select conv_id, conv_id - conv_id % 5 as base, {_crc32("hex(conv_id::varchar)")} % 9 as h
+  from (select distinct conv_id from turns), crc
+),
+parts as (
+  select c.conv_id, 0 as part, k, digest, size from convs c join numbered t on t.conv_id = c.base and k <= h
+  union all
+  select c.conv_id, 1, k, digest, size from convs c join numbered t on t.conv_id = c.conv_id and k > h
+),
+paths as (
+  select conv_id, list(digest order by part, k) as path, list(size order by part, k) as sizes
+  from parts group by conv_id
+  union all
+  select conv_id, [], [] from convs where conv_id not in (select conv_id from parts)
+),
+prefixes as (
+  select conv_id, d, md5(array_to_string(path[1:d], '')) as key, md5(array_to_string(path[1:d - 1], '')) as upper,
+    case when d > 0 then sizes[d] else 0 end as size, len(path) as length
+  from (select *, unnest(range(0, len(path) + 1)) as d from paths)
+),
+nodes as (
+  select d, key, any_value(upper) as upper, min(conv_id) as conv_id, count(*) as n_convs, any_value(size) as size,
+    coalesce(string_agg(case when length = d then conv_id::varchar end, ',' order by conv_id), '') as ends
+  from prefixes group by d, key
+),
+children as (select d - 1 as d, upper as key, count(*) as n from nodes where d > 0 group by all),
+own as (
+  select nodes.*, coalesce(n, 0) as n_children, (n_convs - 1) * size as saved from nodes left join children using (d, key)
+),
+totals as (
+  select p.d, p.key, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved_tokens
+  from own u join prefixes p on p.conv_id = u.conv_id and p.d <= u.d group by p.d, p.key
+)
+select o.conv_id, o.d::bigint as depth, u.conv_id as parent_conv_id, o.n_convs, o.n_children, n_leaves,
+  saved_tokens::bigint as saved_tokens, sha256(o.ends) as ends_sha256
+from own o join totals using (d, key) left join nodes u on o.d > 0 and u.d = o.d - 1 and u.key = o.upper
+"""
+
+
 # Words one code point apart agree once the same place, or any place of the longer one, is left out.
 SPELLING = rf"""
 with recursive {_CRC},
@@ -320,5 +370,6 @@ ORACLES = {
     "op9_license_diagonals": LICENSES,
     "op10_trigram_secrets": _duck_secrets(),
     "op5_quality_rules": QUALITY,
+    "op11_prefix_trie": TRIE,
     "op13_spelling_variants": SPELLING,
 }

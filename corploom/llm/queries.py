@@ -14,6 +14,7 @@ from corploom.llm.near_duplicates import near_duplicate_classes
 from corploom.llm.packing import pack_documents
 from corploom.llm.pii import KINDS as PII_KINDS
 from corploom.llm.pii import fit_model, with_pii
+from corploom.llm.prefix_trie import prefix_trie, rebuilt_paths
 from corploom.llm.quality import with_quality
 from corploom.llm.repeats import without_repeats
 from corploom.llm.secrets import BASE_RULES as BASE_SECRETS
@@ -190,6 +191,11 @@ def op3_fm_repeats(spark, sf_dir):
     )
 
 
+@query
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie(rebuilt_paths(table(spark, sf_dir, "conversations")))
+
+
 @query
 def op12_ffd_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -78,12 +78,13 @@ def vocabulary_view(entries: DataFrame) -> DataFrame:
 
 
 def _bounded_rows(vocab: DataFrame, max_bytes: int) -> list:
-    """The table on the driver, if it holds at most `max_bytes`; the size is checked first."""
-    size = F.sum(F.octet_length("token").cast("bigint") + _ENTRY_BYTES)
-    held = vocab.agg(size).first()[0] or 0
+    """The table on the driver, computed once. `spark.driver.maxResultSize` bounds what may arrive
+    there, `max_bytes` what may go on to the workers."""
+    rows = vocab.select("token_id", "token").collect()
+    held = sum(len(row.token) + _ENTRY_BYTES for row in rows)
     if held > max_bytes:
         raise ValueError(f"the vocabulary takes {held} bytes; max_bytes is {max_bytes}")
-    return vocab.select("token_id", "token").collect()
+    return rows
 
 
 def encoding_table(vocab: DataFrame, max_bytes: int = MAX_VOCABULARY_BYTES) -> dict[bytes, int]:

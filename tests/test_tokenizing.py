@@ -1,5 +1,7 @@
 import gzip
 import lzma
+import pickle
+import random
 
 import pyarrow as pa
 import pytest
@@ -8,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PythonException, SparkRuntimeException
 from pyspark.sql import functions as F
 
+from corploom.functions import longest_match
 from corploom.functions.longest_match import LongestMatch, TokenBytes
 from corploom.functions.packed_ids import line_bytes, pack_ids, unpack_ids
 from corploom.operators.tokenizing import (
@@ -170,3 +173,50 @@ def test_gaps_in_the_vocabulary_are_named():
     for text, place in ((b"abx", "x"), (b"xab", "xab"), (b"abca", "a"), (b"c", "c")):
         with pytest.raises(ValueError, match=f"at b'{place}'"):
             match(text)
+
+
+def plain_match(ids, text):
+    found = []
+    while text:
+        size = next((n for n in range(min(len(text), 12), 0, -1) if text[:n] in ids), 0)
+        if not size:
+            return None
+        found.append(ids[text[:size]])
+        text = text[size:]
+    return found
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_lanes_and_places_equal_brute_force(monkeypatch, seed):
+    """Vocabularies with and without gaps, texts over few letters, blocks of few bytes."""
+    random.seed(seed)
+    monkeypatch.setattr(longest_match, "_BLOCK", random.choice([3, 16, 512]))
+    monkeypatch.setattr(longest_match, "_WINDOW", random.choice([16, 100, 4 << 20]))
+    monkeypatch.setattr(longest_match, "_SPARSE", random.choice([0, 16, 10**9]))
+    monkeypatch.setattr(longest_match, "_ROUNDS", random.choice([0, 1, 3]))
+    for _ in range(20):
+        letters = random.choice([b"a", b"ab", b"abc", bytes(range(256)), b"ab\xc3\xa9"])
+        ids = {}
+        for _ in range(random.choice([1, 3, 10, 60])):
+            ids[bytes(random.choices(letters, k=random.choice([1, 2, 3, 4, 6, 9])))] = random.randrange(70_000)
+        if random.random() < 0.7:
+            for byte in letters:
+                ids.setdefault(bytes([byte]), byte)
+        texts = [bytes(random.choices(letters, k=random.choice([0, 1, 2, 5, 40, 400]))) for _ in range(8)]
+        expected = [plain_match(ids, text) for text in texts]
+        match = pickle.loads(pickle.dumps(LongestMatch(ids)))
+        if None in expected:
+            with pytest.raises(ValueError, match="no vocabulary entry"):
+                match(pa.array(texts, pa.binary()))
+        else:
+            assert match(pa.array(texts, pa.binary())).to_pylist() == expected
+
+
+def test_runs_of_one_letter_do_not_meet():
+    """Tokens of three letters in blocks that three does not divide."""
+    match = LongestMatch({b"a": 1, b"aaa": 2, b"aaaaaaa": 3, b"b": 4})
+    for size in (10_000, 1_000_001):
+        text = b"a" * size + b"b"
+        expected = [3] * (size // 7) + [2] * (size % 7 // 3) + [1] * (size % 7 % 3) + [4]
+        assert match.match(text).tolist() == expected
+        assert match.match(text * 2).tolist() == expected * 2

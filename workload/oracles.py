@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import CHUNK, MIN_ROWS, MIN_SUBCHUNK, SHARD, SPLITS, WORDS
+from workload.queries import CHUNK, MIN_ROWS, MIN_SUBCHUNK, NGRAMS, SHARD, SPLITS, WORDS
 
 SOURCES = """src AS (
     SELECT 0 AS source_ord, 'documents' AS source, doc_id::VARCHAR AS row_key, text
@@ -113,6 +113,40 @@ typed AS (
     SELECT s, list(token_id ORDER BY spot) AS ids FROM walk JOIN longest USING (s, spot) GROUP BY s),
 toks AS (SELECT doc_id, flatten(list(ids ORDER BY i)) AS ids FROM seg JOIN typed USING (s) GROUP BY doc_id)"""
 
+# Runs begin at characters, so the longest one at each character is looked up; which characters begin
+# a token follows by doubling the hops: all places that a power of two of tokens leads to.
+HOPS = 16
+NGRAM_TOKENS = f"""
+grams AS (
+    SELECT t, 256 + row_number() OVER (ORDER BY t) AS token_id FROM (
+        SELECT t, count(*) AS n FROM (
+            SELECT unnest(list_transform(range(0, length(text) // k), lambda i: substr(text, i * k + 1, k))) AS t
+            FROM documents, (SELECT unnest(range(2, 7)) AS k))
+        GROUP BY t ORDER BY n DESC, t LIMIT {NGRAMS})),
+places AS (SELECT doc_id, text, unnest(range(1, length(text) + 1)) AS i FROM documents),
+pieces AS (
+    SELECT doc_id, i, k, substr(text, i, k) AS t FROM places, (SELECT unnest(range(2, 7)) AS k)
+    WHERE i + k - 1 <= length(text)),
+longest AS (
+    SELECT doc_id, i, max(k) AS size, arg_max(token_id, k) AS token_id FROM pieces JOIN grams USING (t)
+    GROUP BY doc_id, i),
+at_place AS (
+    SELECT p.doc_id, i, i + coalesce(size, 1) AS next,
+           CASE WHEN size IS NULL THEN {byte_ids("substr(text, i, 1)")} ELSE [token_id::INT] END AS ids
+    FROM places p LEFT JOIN longest USING (doc_id, i)),
+hop0 AS (SELECT doc_id, i, next FROM at_place),
+""" + "".join(
+    f"""hop{k + 1} AS (SELECT a.doc_id, a.i, b.next FROM hop{k} a JOIN hop{k} b ON b.doc_id = a.doc_id AND b.i = a.next),
+"""
+    for k in range(HOPS)
+) + f"reach{HOPS + 1} AS (SELECT doc_id, 1::BIGINT AS i FROM documents WHERE text <> ''),\n" + ",\n".join(
+    f"""reach{k} AS (SELECT * FROM reach{k + 1} UNION
+        SELECT h.doc_id, h.next FROM hop{k} h JOIN reach{k + 1} r ON r.doc_id = h.doc_id AND r.i = h.i)"""
+    for k in range(HOPS, -1, -1)
+) + """,
+gram_tokens AS (
+    SELECT doc_id, flatten(list(ids ORDER BY i)) AS ids FROM reach0 JOIN at_place USING (doc_id, i) GROUP BY doc_id)"""
+
 LINE_BYTES = """(57 + strlen(array_to_string({ids}, ','))
     + greatest(2 * {n} - 1, 0) + greatest(2 * {t} - 1, 0))::BIGINT"""
 
@@ -289,5 +323,8 @@ ORACLES: dict[str, str] = {
                             min(first) OVER (PARTITION BY shard) AS base FROM sharded)
         SELECT shard, k - 1 AS shard_doc, n::INT AS size, first - base AS pointer, k AS doc_end
         FROM numbered""",
-    "dense_vocab_tokens": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
+    "dense_vocab_tokens": f"""WITH {NGRAM_TOKENS}
+        SELECT doc_id, coalesce(len(ids), 0)::INT AS n_tokens, {ids_md5("coalesce(ids, [])")} AS ids_md5,
+               md5(text) AS text_md5
+        FROM documents LEFT JOIN gram_tokens USING (doc_id)""",
 }

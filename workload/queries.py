@@ -29,6 +29,7 @@ MIN_ROWS = 64
 MIN_SUBCHUNK = 16
 SHARD = 200_000
 WORDS = 1000
+NGRAMS = 65_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -609,7 +610,7 @@ def store_index_files(spark, sf_dir):
     return files.select(shard, F.explode(entries("content")).alias("entry")).select("shard", "entry.*")
 
 
-def ngram_vocabulary(spark: SparkSession, sf_dir: str, entries: int = 65_000) -> DataFrame:
+def ngram_vocabulary(spark: SparkSession, sf_dir: str, entries: int = NGRAMS) -> DataFrame:
     """Single bytes, then the most frequent runs of 2 to 6 characters: a dense vocabulary of the
     usual size."""
     docs = table(spark, sf_dir, "documents").repartition(cores(spark), "doc_id")
@@ -628,9 +629,11 @@ def ngram_vocabulary(spark: SparkSession, sf_dir: str, entries: int = 65_000) ->
 
 @query
 def dense_vocab_tokens(spark, sf_dir):
-    """Tokens of a vocabulary of some 65,000 entries put together again: the texts themselves."""
+    """Tokens of a vocabulary of some 65,000 entries, and the texts put together from them again."""
     docs = table(spark, sf_dir, "documents").repartition(cores(spark), "doc_id")
     vocab = ngram_vocabulary(spark, sf_dir)
     tokens = tokenizing.tokenize_corpus(docs, vocab).select("doc_id", "input_ids")
     back = tokenizing.detokenize_corpus(tokens, vocab)
-    return back.select("doc_id", F.md5("text").alias("text_md5"))
+    return back.select(
+        "doc_id", F.size("input_ids").alias("n_tokens"), ids_md5(), F.md5("text").alias("text_md5")
+    )

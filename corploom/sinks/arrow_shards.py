@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corploom.functions.packed_ids import as_lists, line_bytes
-from corploom.sinks.files import AtomicFile, check_files, open_folder, refuse_filled, worker_uri
+from corploom.sinks.files import AtomicFile, check_files, new_folder, open_folder, worker_uri
 from corploom.sinks.shards import SHARD_BYTES, each_shard, in_shards, with_shards
 from corploom.sinks.token_rows import packed_rows, train_test
 from corploom.staging import stage
@@ -64,23 +64,35 @@ class _ShardFile:
 
 
 def write_arrow_shards(
-    df: DataFrame, path: str, shard_bytes: int = SHARD_BYTES, pad_token_types: bool = False
+    df: DataFrame,
+    path: str,
+    shard_bytes: int = SHARD_BYTES,
+    pad_token_types: bool = False,
+    filled: bool = False,
 ) -> DataFrame:
     """Write `train/data-00000.arrow`, ... and `test/data-00000.arrow`; returns the manifest table.
 
-    A shard takes whole rows, in order of `pos`, up to `shard_bytes` of JSON line size. `path`
-    must be new or empty and visible to all executors. The manifest is also kept as Parquet under `path/manifest`.
-    A shard that cannot be written fails the job.
+    A shard takes whole rows, in order of `pos`, up to `shard_bytes` of JSON line size (with `filled`,
+    until it exceeds them). `path` must be new or empty and visible to all executors. The manifest is
+    also kept as Parquet under `path/manifest`. All files appear together once they are
+    written and checked; a shard that cannot be written fails the job and leaves nothing.
     """
     spark = df.sparkSession
-    target = worker_uri(spark, path)
-    refuse_filled(spark, path)
+    worker_uri(spark, path)
     rows = packed_rows(df)
-    staged = stage(rows.withColumn("row_bytes", line_bytes("tokens", "n_real")), "export")
+    with new_folder(spark, path) as folder:
+        staged = stage(rows.withColumn("row_bytes", line_bytes("tokens", "n_real")), "export")
+        _write_shards(staged, folder, shard_bytes, pad_token_types, filled)
+    return read_manifest(spark, path)
+
+
+def _write_shards(staged: DataFrame, path: str, shard_bytes: int, pad_token_types: bool, filled: bool):
+    spark = staged.sparkSession
+    target = worker_uri(spark, path)
     reports = []
     for split, part in train_test(staged).items():
         if split == "train":
-            part = with_shards(part, shard_bytes)
+            part = with_shards(part, shard_bytes, filled=filled)
         else:
             part = part.withColumn("shard", F.lit(0).cast("bigint"))
 
@@ -97,7 +109,6 @@ def write_arrow_shards(
     written = manifest.where(F.col("split") == "train").agg(F.sum("n_rows").alias("n")).first()["n"] or 0
     if written != staged.count():
         raise RuntimeError(f"{written} rows in the shards for {staged.count()} rows of input")
-    return manifest
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

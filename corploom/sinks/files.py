@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyarrow import fs
 from pyspark.sql import SparkSession
@@ -50,6 +52,29 @@ def refuse_filled(spark: SparkSession, path: str):
         raise ValueError(f"{path} is not empty")
 
 
+@contextmanager
+def new_folder(spark: SparkSession, path: str) -> Iterator[str]:
+    """A hidden folder beside `path` to make an export in. It gets its name when all is written and
+    checked; if anything fails, it is deleted, and `path` is as it was before. `path` must be
+    new or empty. A task that outlives a failed job writes to the hidden folder at most."""
+    refuse_filled(spark, path)
+    head, _, name = path.rstrip("/").rpartition("/")
+    hidden = f"{head}/.{name}.{uuid.uuid4().hex}" if head else f".{name}.{uuid.uuid4().hex}"
+    try:
+        yield hidden
+    except BaseException:
+        files, folder = _hadoop(spark, hidden)
+        files.delete(folder, True)
+        raise
+    files, folder = _hadoop(spark, hidden)
+    target = _hadoop(spark, path)[1]
+    refuse_filled(spark, path)
+    files.delete(target, False)  # empty, if there at all
+    files.mkdirs(target.getParent())
+    if not files.rename(folder, target):
+        raise RuntimeError(f"{hidden} could not be renamed to {path}")
+
+
 def check_files(spark: SparkSession, path: str, expected: dict[str, int]):
     """Fails if Spark's file system does not hold what the tasks report to have written."""
     found = file_sizes(spark, path)

@@ -6,43 +6,149 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corploom.functions.arithmetic import div
 from corploom.operators.running_totals import running_totals_by_position
+from corploom.staging import stage
 
 SHARD_BYTES = 500_000_000
 _BLOCK_BITS = 16
 _BROADCAST_CUTS = 1_000_000
+_STRETCH_ROWS = 1 << 16
 
 
 def with_shards(
-    staged: DataFrame, shard_bytes: int = SHARD_BYTES, size: str = "row_bytes", position: str = "pos"
+    staged: DataFrame,
+    shard_bytes: int = SHARD_BYTES,
+    size: str = "row_bytes",
+    position: str = "pos",
+    filled: bool = False,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """`shard`: bytes of all rows before, div `shard_bytes`. Rows are never cut.
+    """`shard`: bytes of all rows before, div `shard_bytes`; with `filled`, shards take whole rows until
+    they exceed `shard_bytes`, see `filled_cuts`. Rows are never cut.
 
     `staged` is a table, as it is read twice: running sums need positions and sizes alone, and
     leave a few cuts per block of 65,536 positions. Rows look their shard up there, so that they
-    move only once, to the task that writes the shard.
+    move only once, to the task that writes the shard. If several rows share a position, `sizes` has
+    it once, with the size of all of them.
     """
-    summed = running_totals_by_position(staged.select(position, size), {"before": size}, position)
-    block = F.shiftright(position, _BLOCK_BITS)
-    cuts = (
-        summed.groupBy(block.alias("_block"), div(F.col("before"), shard_bytes).alias("shard"))
-        .agg(F.min(position).alias("since"))
-        .groupBy("_block")
-        .agg(F.sort_array(F.collect_list(F.struct("since", "shard"))).alias("_cuts"))
-    )
+    sizes = staged if sizes is None else sizes
+    rows, held = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    if filled:
+        cuts = filled_cuts(sizes, shard_bytes, size, position)
+        ends = F.coalesce(F.lead("since").over(Window.orderBy("since")), F.lit(rows)) - 1
+        first, last = (F.shiftright(c, _BLOCK_BITS) for c in (F.col("since"), F.col("until")))
+        cuts = cuts.withColumn("until", ends).withColumn("_block", F.explode(F.sequence(first, last)))
+    else:
+        summed = running_totals_by_position(sizes.select(position, size), {"before": size}, position)
+        block, shard = F.shiftright(position, _BLOCK_BITS), div(F.col("before"), shard_bytes)
+        cuts = summed.groupBy(block.alias("_block"), shard.alias("shard")).agg(F.min(position).alias("since"))
+    return _look_up(staged, cuts, rows, held, shard_bytes, position)
+
+
+def _look_up(
+    staged: DataFrame, cuts: DataFrame, rows: int, held: int, shard_bytes: int, position: str
+) -> DataFrame:
+    """Adds the `shard` of the last cut at or before each row; `cuts` has those of each block."""
+    cuts = cuts.groupBy("_block").agg(F.sort_array(F.collect_list(F.struct("since", "shard"))).alias("_cuts"))
     # Each block has a cut, and each shard that begins in it adds one at most.
-    rows, held = staged.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
     if (rows >> _BLOCK_BITS) + held // shard_bytes + 1 <= _BROADCAST_CUTS:
         cuts = F.broadcast(cuts)
     reached = F.filter("_cuts", lambda cut: cut["since"] <= F.col(position))
-    found = staged.withColumn("_block", block).join(cuts, "_block")
+    found = staged.withColumn("_block", F.shiftright(position, _BLOCK_BITS)).join(cuts, "_block")
     return found.withColumn("shard", F.element_at(reached, -1)["shard"]).drop("_block", "_cuts")
 
 
+def filled_cuts(
+    sizes: DataFrame, shard_bytes: int = SHARD_BYTES, size: str = "row_bytes", position: str = "pos"
+) -> DataFrame:
+    """`shard, since, bytes_before` of shards that take whole rows until they exceed `shard_bytes`,
+    each counting anew: the next shard begins at the first row with more than `shard_bytes` more
+    bytes before it than the shard's first row.
+
+    Where a shard begins depends on all shards before it. Every row points to the row at
+    which the shard after it would begin, were it a shard's first. A window of `shard_bytes` bytes of
+    the stream holds at most one beginning, and no chain of pointers jumps over two windows with
+    rows, so it enters every group of two. Pointers to the next group are joined with
+    themselves, which doubles their reach and leaves half of the groups, until one
+    pointer reaches the end; backwards, the beginnings found so far take those pointers to find
+    the ones between. All joins are by position, and rounds halve what they read.
+
+    Sizes must be positive; positions dense. An empty table gives no shards.
+    """
+    rows, total = sizes.agg(F.count(F.lit(1)), F.sum(size)).first()
+    summed = running_totals_by_position(sizes.select(position, size), {"before": size}, position)
+    starts = summed.select(F.col(position).alias("pos"), "before")
+    if not rows:
+        return starts.select(F.lit(0).cast("bigint").alias("shard"), F.col("pos").alias("since"), "before")
+    starts = stage(starts, "starts")
+    pointers = stage(_next_starts(starts, shard_bytes, max(1, _STRETCH_ROWS * total // rows)), "pointers")
+
+    # Windows with rows are numbered without a gap; there are at most as many as full shards.
+    window = div(F.col("before"), shard_bytes)
+    order = Window.orderBy("window")
+    windows = starts.select(window.alias("window")).distinct()
+    windows = windows.select("window", F.shiftright(F.row_number().over(order) - 1, 1).alias("group"))
+    if total // shard_bytes < _BROADCAST_CUTS:
+        windows = F.broadcast(windows)
+    placed = starts.withColumn("window", window).join(windows, "window").select("pos", "group")
+    first = stage(placed.join(pointers, "pos"), "first")  # pos, group, next
+    onward = first.select(F.col("pos").alias("next"), F.col("group").alias("next_group"), F.col("next").alias("second"))
+    stays = F.col("next_group") == F.col("group")
+    level = first.join(onward, "next", "left").select(
+        "pos",
+        "group",
+        F.when(stays, F.col("second")).otherwise(F.col("next")).alias("to"),
+        F.when(stays, F.col("next")).alias("inner"),
+    )
+    inner = stage(level, "jumps")
+    levels = [inner.select("pos", "group", "to")]
+    groups = inner.agg(F.max("group")).first()[0] + 1
+    while 1 << (len(levels) - 1) < groups:
+        reach = 1 << len(levels)
+        now = levels[-1]
+        further = now.select(F.col("pos").alias("to"), F.col("to").alias("further"))
+        jumped = now.where(F.col("group") % reach == 0).join(further, "to", "left")
+        levels.append(stage(jumped.select("pos", "group", F.col("further").alias("to")), "jumps"))
+
+    few = total // shard_bytes < _BROADCAST_CUTS
+    begun = starts.where("pos = 0").select("pos")
+
+    def taken(jumps: DataFrame, column: str) -> DataFrame:
+        asked = F.broadcast(begun) if few else begun
+        return jumps.where(F.col(column).isNotNull()).join(asked, "pos").select(F.col(column).alias("pos"))
+
+    for jumps in reversed(levels):
+        begun = stage(begun.unionByName(taken(jumps, "to")), "begun")
+    begun = begun.unionByName(taken(inner, "inner"))
+    begun = starts.join(F.broadcast(begun) if few else begun, "pos")
+    number = F.row_number().over(Window.orderBy("pos")).cast("bigint") - 1
+    return stage(begun.select(number.alias("shard"), F.col("pos").alias("since"), "before"), "cuts")
+
+
+def _next_starts(starts: DataFrame, shard_bytes: int, stretch: int) -> DataFrame:
+    """`pos, next`: the first row with more than `shard_bytes` more bytes before it, null if none.
+
+    Row starts and the places asked for are merged in stretches of the stream of `stretch` bytes, which
+    hold some `_STRETCH_ROWS` rows. What a stretch does not answer, the next one with rows does.
+    """
+    asked = starts.select((F.col("before") + shard_bytes).alias("at"), F.col("pos").alias("asks"), F.lit(None).cast("bigint").alias("starts"))
+    begins = starts.select(F.col("before").alias("at"), F.lit(None).cast("bigint").alias("asks"), F.col("pos").alias("starts"))
+    merged = asked.unionByName(begins).withColumn("stretch", div(F.col("at"), stretch))
+    # From the end to the start; a row that starts right at an asked place is not beyond it.
+    after = Window.partitionBy("stretch").orderBy(F.desc("at"), F.col("asks").isNull())
+    after = after.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = merged.withColumn("next", F.min("starts").over(after)).where(F.col("asks").isNotNull())
+    firsts = merged.groupBy("stretch").agg(F.min("starts").alias("first"))
+    later = Window.orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = firsts.select("stretch", F.min("first").over(later).alias("later"))
+    joined = found.join(firsts, "stretch")
+    return joined.select(F.col("asks").alias("pos"), F.coalesce("next", "later").alias("next"))
+
+
 def shard_manifest(sharded: DataFrame) -> DataFrame:
     """Rows and bytes of each shard."""
     return sharded.groupBy("shard").agg(
@@ -50,9 +156,9 @@ def shard_manifest(sharded: DataFrame) -> DataFrame:
     )
 
 
-def in_shards(sharded: DataFrame, position: str = "pos") -> DataFrame:
-    """All rows of a shard in one partition, in order."""
-    return sharded.repartition("shard").sortWithinPartitions("shard", position)
+def in_shards(sharded: DataFrame, *order: str) -> DataFrame:
+    """All rows of a shard in one partition, in order (of `pos` unless told otherwise)."""
+    return sharded.repartition("shard").sortWithinPartitions("shard", *(order or ("pos",)))
 
 
 def shard_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corploom.functions.arithmetic import div
 from corploom.sinks.files import open_folder, worker_uri
-from corploom.sinks.token_store import ITEM_BYTES, STORE_INDEX
+from corploom.sinks.token_store import ITEM_BYTES, ITEM_INDEX, STORE_INDEX
 
 _READ_BYTES = 64 << 20
 
@@ -62,33 +62,80 @@ class TokenStore:
         return i if i >= 0 else i + count
 
     def _read(self, index: DataFrame) -> DataFrame:
-        path = worker_uri(self.spark, self.path)
+        return read_ranges(self.spark, self.path, index, "doc_ord bigint")
 
-        def read(batches):
-            for batch in batches:
-                yield from _read_ranges(path, batch)
 
-        # Tasks by data to read, not by size of the index.
-        ranges = index.select("doc_ord", "shard", "size", "shard_pointer").repartition(
-            F.col("shard"), div(F.col("shard_pointer"), _READ_BYTES)
-        )
-        return ranges.mapInArrow(read, "doc_ord bigint, input_ids array<int>")
+class ItemStore:
+    """Documents of several items, written by `write_token_store` from lists of id lists.
+
+    `index` has a row for each item: its document, its place in it and its number in the whole
+    store, and one without an item for each document that has none.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        rows = spark.read.schema(ITEM_INDEX).parquet(f"{path}/index")
+        # A row a shard: the shards are few, whatever the number of items.
+        earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+        held = rows.groupBy("shard").agg(F.count("item").alias("n"))
+        base = held.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+        self.index = rows.join(base, "shard").withColumn("item_ord", F.col("base") + F.col("shard_item")).drop("base")
+
+    def items(self, wanted: Column | None = None) -> DataFrame:
+        """`doc_ord, item, item_ord, input_ids` of the items, or of those that `wanted` picks by the
+        columns of the index."""
+        index = self.index.where("item is not null")
+        index = index if wanted is None else index.where(wanted)
+        return read_ranges(self.spark, self.path, index, "doc_ord bigint, item bigint, item_ord bigint")
+
+    def item(self, i: int) -> DataFrame:
+        """The item of that number in the whole store."""
+        return self.items(F.col("item_ord") == i)
+
+    def documents(self, wanted: Column | None = None) -> DataFrame:
+        """`doc_ord, input_ids`: the lists of a document's items in order, an empty list for none."""
+        index = self.index if wanted is None else self.index.where(wanted)
+        parts = F.sort_array(F.collect_list(F.struct("item", "input_ids")))
+        ids = F.transform(parts, lambda p: p["input_ids"])
+        filled = self.items(wanted).groupBy("doc_ord").agg(ids.alias("input_ids"))
+        none = F.array().cast("array<array<int>>")
+        empty = index.where("item is null").select("doc_ord", none.alias("input_ids"))
+        return filled.unionByName(empty)
+
+    def document(self, i: int) -> DataFrame:
+        return self.documents(F.col("doc_ord") == i)
+
+
+def read_ranges(spark: SparkSession, path: str, index: DataFrame, keys: str) -> DataFrame:
+    """`input_ids` of the byte ranges in an index, each with the columns `keys` of its row."""
+    uri = worker_uri(spark, path)
+    names = [key.split()[0] for key in keys.split(", ")]
+
+    def read(batches):
+        for batch in batches:
+            yield from _read_ranges(uri, batch, names)
+
+    # Tasks by data to read, not by size of the index.
+    ranges = index.select(*names, "shard", "size", "shard_pointer").repartition(
+        F.col("shard"), div(F.col("shard_pointer"), _READ_BYTES)
+    )
+    return ranges.mapInArrow(read, f"{keys}, input_ids array<int>")
 
 
-def _read_ranges(path: str, batch: pa.RecordBatch):
-    """Open each shard once and join neighbouring documents to one read, up to 64 MB."""
+def _read_ranges(path: str, batch: pa.RecordBatch, keys: list[str]):
+    """Open each shard once and join neighbouring ranges to one read, up to 64 MB."""
     if not batch.num_rows:
         return
     batch = batch.sort_by([("shard", "ascending"), ("shard_pointer", "ascending")])
-    docs, shards, sizes, starts = (batch.column(i).to_numpy() for i in range(4))
+    shards, sizes, starts = (batch.column(c).to_numpy() for c in ("shard", "size", "shard_pointer"))
     sizes = sizes.astype(np.int64)
     ends = starts + sizes * ITEM_BYTES
     files, folder = open_folder(path)
     a = 0
-    while a < len(docs):
+    while a < len(starts):
         b = a + 1
         while (
-            b < len(docs)
+            b < len(starts)
             and shards[b] == shards[a]
             and starts[b] == ends[b - 1]
             and ends[b] - starts[a] <= _READ_BYTES
@@ -99,7 +146,7 @@ def _read_ranges(path: str, batch: pa.RecordBatch):
         offsets = np.concatenate(([0], np.cumsum(sizes[a:b]))).astype(np.int32)
         ids = np.frombuffer(raw, "<u2").astype(np.int32)
         if len(ids) != offsets[-1]:
-            raise ValueError(f"document {docs[b - 1]} reaches past the end of its shard")
+            raise ValueError(f"{keys[0]} {batch.column(keys[0])[b - 1]} reaches past the end of its shard")
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
-        yield pa.record_batch({"doc_ord": docs[a:b], "input_ids": lists})
+        yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in keys), lists], [*keys, "input_ids"])
         a = b

@@ -1,6 +1,7 @@
 import glob
 import json
 import os
+import random
 import struct
 
 import numpy as np
@@ -16,7 +17,7 @@ from corploom.sinks.arrow_shards import manifest_features, read_arrow_shards
 from corploom.sinks.shards import with_shards
 from corploom.sinks.token_store import document_index, store_index
 from corploom.sources.json_lines import read_json_lines
-from corploom.sources.token_store import TokenStore
+from corploom.sources.token_store import ItemStore, TokenStore
 from corploom.staging import stage
 
 DOCS = [[10, 11, 12], [20, 21], [30, 31, 32, 33]]
@@ -184,3 +185,91 @@ def test_only_packed_tokens_are_moved_for_export(spark, ordered_ids, capsys):
     above = plan[: plan.index("Repartition")] if "Repartition" in plan else plan
     assert "input_ids" in above and "tokens" in plan
     assert "RangePartitioning" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def filled_plainly(sizes, limit):
+    shards, held = [], 0
+    for size in sizes:
+        if held > limit:
+            held = 0
+        shards.append(shards[-1] + (held == 0) if shards else 0)
+        held += size
+    return shards
+
+
+@pytest.mark.parametrize("case", range(5))
+def test_shards_filled_to_the_limit(spark, monkeypatch, case):
+    from corploom.sinks import shards
+
+    random.seed(case)
+    monkeypatch.setattr(shards, "_STRETCH_ROWS", [1, 3, 10, 1 << 16, 2][case])
+    monkeypatch.setattr(shards, "_BLOCK_BITS", [16, 1, 3, 16, 2][case])
+    monkeypatch.setattr(shards, "_BROADCAST_CUTS", [1_000_000, 0, 1_000_000, 0, 1_000_000][case])
+    sizes = [
+        [50] + [200] * 40,
+        [random.choice([1, 5, 30, 50, 99, 100, 101, 102, 200, 201, 1000]) for _ in range(120)],
+        [random.randint(1, 30) for _ in range(200)],
+        [100, 1, 100, 1, 101, 100],
+        [7],
+    ][case]
+    df = stage(spark.createDataFrame(list(enumerate(sizes)), "pos bigint, row_bytes bigint").repartition(3), "rows")
+    found = with_shards(df, 100, filled=True).orderBy("pos").collect()
+    assert [r.shard for r in found] == filled_plainly(sizes, 100)
+
+
+def test_filled_exports(spark, ordered_ids, tmp_path):
+    export(ordered_ids(DOCS * 3), "store", str(tmp_path / "store"), shard_bytes=8, filled=True)
+    held = [os.path.getsize(f) for f in sorted(glob.glob(f"{tmp_path}/store/*.bin"))]
+    assert held == [10, 14, 12, 10, 8]
+    empty = with_shards(stage(spark.createDataFrame([], "pos bigint, row_bytes bigint"), "none"), 8, filled=True)
+    assert empty.count() == 0
+
+
+ITEM_DOCS = [[[10, 11], [12]], [], [[20]], [[], [30, 31, 32]], []]
+
+
+def test_documents_of_several_items(spark, tmp_path):
+    path = str(tmp_path / "store")
+    df = spark.createDataFrame(list(enumerate(ITEM_DOCS)), "pos bigint, input_ids array<array<int>>").repartition(3)
+    export(df, "store", path)
+    header = b"MMIDIDX\x00\x00" + struct.pack("<QBQQ", 1, 8, 5, 6)
+    sizes, pointers = np.array([2, 1, 1, 0, 3], np.int32), np.array([0, 4, 6, 8, 8], np.int64)
+    ends = np.array([0, 2, 2, 3, 5, 5], np.int64)
+    expected = header + b"".join(a.tobytes() for a in (sizes, pointers, ends))
+    assert open(f"{path}/shard-00000.idx", "rb").read() == expected
+    assert np.fromfile(f"{path}/shard-00000.bin", np.uint16).tolist() == [10, 11, 12, 20, 30, 31, 32]
+
+
+@pytest.mark.parametrize("rows", [1, 2, 1 << 16])
+def test_items_and_documents_read_back(spark, tmp_path, monkeypatch, rows):
+    from corploom.sinks import token_store
+
+    monkeypatch.setattr(token_store, "_INDEX_ROWS", rows)
+    df = spark.createDataFrame(list(enumerate(ITEM_DOCS)), "pos bigint, input_ids array<array<int>>").repartition(3)
+    export(df, "store", str(tmp_path / "store"), shard_bytes=4)
+    assert len(glob.glob(f"{tmp_path}/store/*.bin")) > 2
+    store = ItemStore(spark, str(tmp_path / "store"))
+    assert [r.input_ids for r in store.documents().orderBy("doc_ord").collect()] == ITEM_DOCS
+    items = [(r.doc_ord, r.item, r.input_ids) for r in store.items().orderBy("item_ord").collect()]
+    assert items == [(d, i, ids) for d, doc in enumerate(ITEM_DOCS) for i, ids in enumerate(doc)]
+    assert [r.input_ids for r in store.item(4).collect()] == [[30, 31, 32]]
+    assert [r.input_ids for r in store.document(1).collect()] == [[]]
+
+
+def test_a_failed_export_leaves_nothing(spark, tmp_path):
+    """One document that the store cannot hold, in a shard of its own."""
+    rows = [[i] * 50 for i in range(200)] + [[70_000]]
+    df = spark.createDataFrame(list(enumerate(rows)), "pos bigint, input_ids array<int>").repartition(4)
+    for fmt in ("store", "arrow"):
+        path = tmp_path / fmt
+        bad = df if fmt == "store" else df.withColumn("input_ids", F.when(F.col("pos") < 200, F.col("input_ids")))
+        bad = bad if fmt == "store" else bad.withColumn("n_real", F.when(F.col("pos") < 200, 50))
+        with pytest.raises(Exception):
+            export(bad, fmt, str(path), shard_bytes=500)
+        assert not list(tmp_path.iterdir())
+        path.mkdir()
+        export(df.where("pos < 200"), fmt, str(path), shard_bytes=500)
+        assert len(glob.glob(f"{path}/**/*.bin", recursive=True) + glob.glob(f"{path}/train/*.arrow")) > 20
+        assert [p.name for p in tmp_path.iterdir() if p.name.startswith(".")] == []
+        for made in tmp_path.iterdir():
+            made.rename(tmp_path.parent / f"{tmp_path.name}-{fmt}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import CHUNK, MIN_ROWS, MIN_SUBCHUNK, NGRAMS, SHARD, SPLITS, WORDS
+from workload.queries import CHUNK, MIN_ROWS, MIN_SUBCHUNK, NGRAMS, SHARD, SMALL_SHARD, SPLITS, WORDS
 
 SOURCES = """src AS (
     SELECT 0 AS source_ord, 'documents' AS source, doc_id::VARCHAR AS row_key, text
@@ -201,6 +201,40 @@ PLACES = """row_number() OVER (ORDER BY md5('102:' || group_id::VARCHAR || ':' |
 DOCS_IN_ORDER = f"{DOCUMENTS}, {TOKENS}, {placed(IN_SOURCE_ORDER)}"
 STORE_ROWS = f"SELECT pos AS doc_ord, n::INT AS n_tokens, {ids_md5('ids')} AS ids_md5 FROM placed"
 
+
+def filled(limit: int) -> str:
+    """CTEs from `sized(pos, b)` to `sharded(shard, pos, b)`: one shard after the other."""
+    return f"""
+        summed AS (SELECT *, (sum(b) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING))::BIGINT - b AS before FROM sized),
+        follows AS MATERIALIZED (
+            SELECT a.pos, n.pos AS next FROM (SELECT pos, before + {limit} AS until FROM summed) a
+            ASOF LEFT JOIN summed n ON a.until < n.before),
+        begun AS (
+            SELECT 0::BIGINT AS shard, 0::BIGINT AS since
+            UNION ALL
+            SELECT shard + 1, next FROM begun JOIN follows ON pos = since WHERE next IS NOT NULL),
+        sharded AS (SELECT shard, pos, b FROM summed ASOF JOIN begun ON since <= pos)"""
+
+
+FILLED = """SELECT shard, min(pos) AS first, count(*) AS n_rows, sum(b)::BIGINT AS n_bytes
+        FROM sharded GROUP BY shard"""
+LINE_SIZES = f"sized AS (SELECT pos, {LINE_BYTES.format(ids='ids', n='n', t='n')} AS b FROM placed)"
+CHUNK_SIZES = f"sized AS (SELECT pos, {LINE_BYTES.format(ids='ids', n=CHUNK, t='n_real')} AS b FROM packed)"
+
+ITEMS = f"""
+    convs AS (
+        SELECT conv_id, coalesce(list(text ORDER BY turn) FILTER (role <> 'user'), []) AS parts
+        FROM conversations GROUP BY conv_id),
+    docs AS (
+        SELECT *, row_number() OVER (ORDER BY md5('101:' || conv_id::VARCHAR), conv_id) - 1 AS pos FROM convs),
+    items AS (
+        SELECT pos, unnest(parts) AS text, generate_subscripts(parts, 1) - 1 AS item FROM docs),
+    sized AS (
+        SELECT pos, len(parts) AS n, greatest(list_sum(list_transform(parts, lambda p: greatest(2 * strlen(p), 1))), 1) AS b
+        FROM docs),
+    placed AS (
+        SELECT *, ((sum(b) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING) - b) // {SHARD})::BIGINT AS shard FROM sized)"""
+
 ORACLES: dict[str, str] = {
     "split_documents": "SELECT doc_id, lang, strlen(text)::INT AS n_bytes FROM documents WHERE lang = 'fr'",
     "split_folders": "SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE lang = 'es'",
@@ -299,6 +333,20 @@ ORACLES: dict[str, str] = {
         summed AS (SELECT *, (sum(b) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING))::BIGINT - b AS before FROM sized)
         SELECT before // {SHARD} AS shard, count(*) AS n_rows, sum(b)::BIGINT AS n_bytes
         FROM summed GROUP BY 1""",
+    "filled_shards": f"WITH RECURSIVE {DOCS_IN_ORDER}, {LINE_SIZES}, {filled(SHARD)} {FILLED}",
+    "filled_small_shards": f"WITH RECURSIVE {DOCS_IN_ORDER}, {LINE_SIZES}, {filled(SMALL_SHARD)} {FILLED}",
+    "filled_arrow_shards": f"""WITH RECURSIVE {DOCUMENTS}, {TOKENS}, {placed(SHUFFLED)}, {chunks(CHUNK, SPLITS)},
+        {CHUNK_SIZES}, {filled(SHARD)} SELECT shard, count(*) AS n_rows FROM sharded GROUP BY shard""",
+    "item_store": f"""WITH {ITEMS}
+        SELECT pos AS doc_ord, item::BIGINT AS item, row_number() OVER (ORDER BY pos, item) - 1 AS item_ord,
+               strlen(text)::INT AS n_tokens, {ids_md5(byte_ids("text"))} AS ids_md5 FROM items""",
+    "item_documents": f"""WITH {ITEMS}
+        SELECT pos AS doc_ord, len(parts)::INT AS n_items, md5(array_to_string(list_transform(parts,
+            lambda p: array_to_string({byte_ids("p")}, ',')), '|')) AS ids_md5 FROM docs""",
+    "item_index_files": f"""WITH {ITEMS}
+        SELECT shard, row_number() OVER w::INT AS doc, (sum(n) OVER w)::BIGINT AS doc_end FROM placed
+        WINDOW w AS (PARTITION BY shard ORDER BY pos ROWS UNBOUNDED PRECEDING)
+        UNION ALL SELECT DISTINCT shard, 0, 0 FROM placed""",
     "train_test": f"""WITH {DOCS_IN_ORDER}
         SELECT 'train' AS split, row_key, pos, n::INT AS n_tokens FROM placed
         UNION ALL SELECT 'test', row_key, pos, n::INT FROM placed WHERE pos = 0""",

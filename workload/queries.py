@@ -18,7 +18,7 @@ from corploom.operators.running_totals import with_running_totals
 from corploom.plans.pack import Source, export, mix, pack, tokenized_stage
 from corploom.sinks import arrow_shards, shards, token_rows, token_store
 from corploom.sources import datasets, json_lines, vocabulary
-from corploom.sources.token_store import TokenStore
+from corploom.sources.token_store import ItemStore, TokenStore
 from corploom.staging import new_stage_path, stage
 from corploom.streaming.tokenizing import append_to_stage, tokenize_stream
 
@@ -28,6 +28,7 @@ SPLITS = 30
 MIN_ROWS = 64
 MIN_SUBCHUNK = 16
 SHARD = 200_000
+SMALL_SHARD = 5_000
 WORDS = 1000
 NGRAMS = 65_000
 
@@ -519,6 +520,84 @@ def shard_manifest(spark, sf_dir):
     return shards.shard_manifest(shards.with_shards(sizes, SHARD))
 
 
+def filled_manifest(spark: SparkSession, sf_dir: str, shard_bytes: int) -> DataFrame:
+    docs = mixing.mix_concat(document_stage(spark, sf_dir, measure_lines=True))
+    sizes = stage(docs.select("pos", F.col("len").alias("row_bytes")), "sizes")
+    sharded = shards.with_shards(sizes, shard_bytes, filled=True)
+    return sharded.groupBy("shard").agg(
+        F.min("pos").alias("first"), F.count(F.lit(1)).alias("n_rows"), F.sum("row_bytes").alias("n_bytes")
+    )
+
+
+@query
+def filled_shards(spark, sf_dir):
+    """Shards that take whole rows until they exceed 200 kB, each counting anew."""
+    return filled_manifest(spark, sf_dir, SHARD)
+
+
+@query
+def filled_small_shards(spark, sf_dir):
+    """The same with a limit that many rows exceed by themselves."""
+    return filled_manifest(spark, sf_dir, SMALL_SHARD)
+
+
+@query
+def filled_arrow_shards(spark, sf_dir):
+    """The manifest of Arrow shards filled to the limit."""
+    path = new_stage_path(spark, "arrow")
+    tokens = document_stage(spark, sf_dir)
+    manifest = export(mix(tokens), "arrow", path, shard_bytes=SHARD, filled=True)
+    return manifest.where("split = 'train'").select("shard", "n_rows")
+
+
+def item_store_of(spark: SparkSession, sf_dir: str) -> str:
+    """Path of a store in which a document is a conversation and its items are the turns that are
+    not the user's; some have none."""
+    path = new_stage_path(spark, "items")
+    turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    others = F.filter(turns, lambda t: t["role"] != "user")
+    convs = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
+        F.transform(others, lambda t: t["text"]).alias("parts")
+    )
+    tokens = tokenizing.tokenize_corpus(convs, byte_vocabulary(spark), key="parts")
+    kept = stage(tokens.select("conv_id", "input_ids"), "items")
+    export(ordering.shuffle_rows(kept, ["conv_id"]), "store", path, shard_bytes=SHARD)
+    return path
+
+
+@query
+def item_store(spark, sf_dir):
+    """Documents of several items, read back by item."""
+    items = ItemStore(spark, item_store_of(spark, sf_dir)).items()
+    return items.select("doc_ord", "item", "item_ord", F.size("input_ids").alias("n_tokens"), ids_md5())
+
+
+@query
+def item_documents(spark, sf_dir):
+    """The same store read back by document."""
+    docs = ItemStore(spark, item_store_of(spark, sf_dir)).documents()
+    ids = F.array_join(F.transform("input_ids", joined), "|")
+    return docs.select("doc_ord", F.size("input_ids").alias("n_items"), F.md5(ids).alias("ids_md5"))
+
+
+@query
+def item_index_files(spark, sf_dir):
+    """How many items of a shard its `.idx` file counts up to the end of each document."""
+    path = item_store_of(spark, sf_dir)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.idx").load(path)
+
+    @F.pandas_udf("array<bigint>")
+    def doc_ends(contents: pd.Series) -> pd.Series:
+        def read(raw: bytes) -> list[int]:
+            items, docs = struct.unpack_from("<QQ", raw, 18)
+            return np.frombuffer(raw, "<i8", docs, 34 + 12 * items).tolist()
+
+        return contents.map(read)
+
+    shard = F.regexp_extract("path", r"shard-(\d+)\.idx", 1).cast("bigint").alias("shard")
+    return files.select(shard, F.posexplode(doc_ends("content")).alias("doc", "doc_end"))
+
+
 @query
 def train_test(spark, sf_dir):
     parts = token_rows.train_test(ordered_documents(spark, sf_dir))

@@ -30,7 +30,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corploom.llm.batches import AS_IS, NOT_WHITE, Words, mix, slices, text_bytes
@@ -45,6 +45,7 @@ _AGREE = 85  # coordinates; a pair at 0.8 agrees in fewer once in 30,000 times
 MOST_MATES = 2048  # texts of a bucket that are compared in one block
 BLOCK_BYTES = 32 << 20  # shingles of a block that are judged exactly
 _BATCH_BYTES = 2 << 20
+_THROWN_TEXTS = 256  # a text throws some 900 darts, however short it is
 
 
 def shingles(words: Words, text: int) -> np.ndarray:
@@ -62,7 +63,12 @@ def shingles(words: Words, text: int) -> np.ndarray:
 
 def signatures(texts: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray:
     """A row per text, given its sorted shingles (one at least): the earliest dart of each
-    coordinate. All texts are thrown at together."""
+    coordinate. `_THROWN_TEXTS` texts are thrown at together."""
+    parts = [texts[i : i + _THROWN_TEXTS] for i in range(0, len(texts), _THROWN_TEXTS)]
+    return np.concatenate([np.empty((0, coordinates), np.uint64), *(_signatures(p, coordinates) for p in parts)])
+
+
+def _signatures(texts: list[np.ndarray], coordinates: int) -> np.ndarray:
     entries = np.zeros((len(texts), coordinates), np.uint64)
     left = np.arange(len(texts))
     darts_wanted = coordinates * np.log(coordinates) + 2 * coordinates
@@ -452,34 +458,50 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         before = state
 
 
+def text_classes(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(_key, root) of the texts that have a near-duplicate: the smallest key of their class.
+    `texts` has `_key`, a digest, and `_text`, in any number of copies."""
+    if not least >= SIMILARITY:
+        raise ValueError(f"least must be {SIMILARITY} or more, not {least}")
+    roots = components(similar_pairs(texts, least), "_key", "leader")
+    return roots.select(F.col("node").alias("_key"), "root")
+
+
 def near_duplicate_classes(
     df: DataFrame, text: str = "text", least: float = SIMILARITY, result: str = "class_key"
 ) -> DataFrame:
     """Adds `text_key` (digest of the text) and `result`: the smallest text key of the row's
     class. Columns of these names are replaced, all others pass through. Bands and coordinates are
     laid out for `SIMILARITY`; a `least` below it would lose pairs and is an error."""
-    if not least >= SIMILARITY:
-        raise ValueError(f"least must be {SIMILARITY} or more, not {least}")
     keyed = df.drop("text_key", result).withColumn("text_key", F.unhex(F.md5(whole(F.col(text)))))
-    texts = keyed.select(F.col("text_key").alias("_key"), whole(F.col(text)).alias("_text"))
-    roots = components(similar_pairs(texts, least), "_key", "leader")
-    roots = roots.select(F.col("node").alias("text_key"), F.col("root").alias("_root"))
-    joined = keyed.join(roots, "text_key", "left")
-    return joined.withColumn(result, F.coalesce("_root", "text_key")).drop("_root")
+    roots = text_classes(keyed.select(F.col("text_key").alias("_key"), whole(F.col(text)).alias("_text")), least)
+    root = "root"
+    while root in keyed.columns:
+        root += "_"
+    joined = keyed.join(roots.select(F.col("_key").alias("text_key"), F.col("root").alias(root)), "text_key", "left")
+    own = [c for c in keyed.columns if c != "text_key"]
+    return joined.select(*own, "text_key", F.coalesce(root, "text_key").alias(result))
 
 
 def one_per_class(df: DataFrame, row_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of each class: that of the smallest id (nulls last), then text key. Of rows that
-    are equal in both, one stays."""
-    classed = near_duplicate_classes(df, text, result="_class", **options)
-    order = [F.col(row_id).isNull().alias("none"), F.col(row_id).alias("id"), F.col("text_key").alias("key")]
-    kept = classed.groupBy("_class").agg(F.min(F.struct(*order)).alias("_kept"))
-    kept = kept.select(F.col("_kept.key").alias("text_key"), F.col("_kept.id").alias("_id"))
-    same = Window.partitionBy("text_key").orderBy(F.lit(1))
-    return (
-        classed.join(kept, "text_key")
-        .where(F.col(row_id).eqNullSafe(F.col("_id")))
-        .withColumn("_n", F.row_number().over(same))
-        .where(F.col("_n") == 1)
-        .select(*df.columns)
-    )
+    """One row of each class: that of the smallest id (nulls last), then text key, then digest of
+    the other columns. Of rows that are equal in all columns, one stays.
+
+    Classes are settled on keys alone. Rows move once, by their digest, after equal ones have
+    become one in each task, so that a row with many copies is no hot spot.
+    """
+    text_key = F.unhex(F.md5(whole(F.col(text))))
+    others = [F.col(c) for c in df.columns if c != text]
+    rest = F.unhex(F.md5(F.to_json(F.struct(F.col(text).isNull(), *others))))
+    digest = F.concat(text_key, rest).alias("digest")
+    # All of a row's own columns are in one, so that helper columns meet no other.
+    rows = df.select(F.struct(*df.columns).alias("row"), digest)
+    order = F.struct(F.col(row_id).isNull().alias("none"), F.col(row_id).alias("id"), digest)
+    keys = df.select(text_key.alias("text_key"), F.col(text).alias("text"), order.alias("order"))
+    first = stage(keys.groupBy("text_key").agg(F.min("order").alias("order")), "firsts")
+    roots = text_classes(keys.select(F.col("text_key").alias("_key"), whole(F.col("text")).alias("_text")), **options)
+    roots = roots.select(F.col("_key").alias("text_key"), "root")
+    best = first.join(roots, "text_key", "left").groupBy(F.coalesce("root", "text_key").alias("class"))
+    kept = stage(best.agg(F.min("order").alias("order")).select("order.digest"), "kept")
+    distinct = rows.groupBy("digest").agg(F.first("row").alias("row"))
+    return distinct.join(kept, "digest", "left_semi").select("row.*")

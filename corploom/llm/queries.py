@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corploom.llm.batches import small_batches
 from corploom.llm.bpe import decode, encode
 from corploom.llm.decontamination import with_leaks
 from corploom.llm.licenses import with_licenses
@@ -24,6 +25,7 @@ from corploom.llm.sharding import interleave
 from corploom.llm.spelling import spelling_variants
 from corploom.llm.text import join_spans, whole
 from corploom.llm.urls import judge_urls
+from corploom.staging import stage
 
 SHARDS = 16
 
@@ -43,6 +45,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -180,6 +183,8 @@ def op6_dart_minhash(spark, sf_dir):
         F.count(F.lit(1)).alias("n_docs"),
         F.count_distinct("text_key").alias("n_texts"),
     )
+    # As a table, so that the join below reads two plain exchanges and large classes are split.
+    classes = stage(classes, "classes")
     return classed.join(classes, "class_key").select("doc_id", "class_id", "n_docs", "n_texts")
 
 

@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -463,3 +464,57 @@ def test_boosting_separates():
     scores = fit(x[:400], y[:400]).scores(x[400:])
     assert ((scores > 0) == y[400:]).mean() > 0.95
     assert fit(x[:0], y[:0]).scores(x[:2]).tolist() == [0.0, 0.0]
+
+
+def test_short_texts_take_bounded_memory():
+    """10,000 texts of ten words throw some nine million darts."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(10)) for i in range(10_000)]
+    keys = [i.to_bytes(4, "big") for i in range(len(texts))]
+    batch = pa.record_batch({"_key": pa.array(keys, pa.binary()), "_text": pa.array(texts)})
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in near_duplicates._band_rows(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 26 * len(texts) and peak < 80 << 20
+
+
+HELPERS = "_key _text _id _class _kept _n _root _shared row digest key order root text_key class_key".split()
+
+
+def test_columns_come_through_near_duplicates(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, text, "a"), (1, text, "a"), (2, text + " end", "b"), (None, text, "c"), (7, None, "d"), (7, "", "d")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    df = df.withColumns({name: F.concat(F.lit(name), "lang") for name in HELPERS})
+    kept = near_duplicates.one_per_class(df).collect()
+    assert sorted((r.doc_id, r.lang) for r in kept) == [(1, "a"), (7, "d")]
+    assert all(r[name] == name + r.lang for r in kept for name in HELPERS)
+    classed = near_duplicates.near_duplicate_classes(df).collect()
+    assert all(r[name] == name + r.lang for r in classed for name in HELPERS[:-2])
+    assert len({r.class_key for r in classed}) == 2
+
+
+def test_the_row_that_stays_does_not_depend_on_order(spark):
+    """Rows equal in id and text: the digest of the other columns decides."""
+    rows = [(None, "same text of some words here", f"s{i}") for i in range(50)]
+    found = set()
+    for seed in range(3):
+        df = spark.createDataFrame(random.Random(seed).sample(rows, 50), "doc_id bigint, text string, source string")
+        (row,) = near_duplicates.one_per_class(df.repartition(4)).collect()
+        found.add(row.source)
+    assert len(found) == 1
+
+
+def test_recall_of_near_duplicates():
+    """Pairs at 0.80 and 0.85, by bands and agreement of their signatures."""
+    chance = np.random.default_rng(11)
+    for common, own in ((80, 10), (85, 7.5)):
+        missed = 0
+        for _ in range(1000):
+            shared = chance.integers(0, 2**64, 2 * common, dtype=np.uint64)
+            sides = [np.sort(np.concatenate([shared, chance.integers(0, 2**64, int(2 * own), dtype=np.uint64)])) for _ in "ab"]
+            assert near_duplicates.similarity(*sides) >= 0.8
+            signs = near_duplicates.signatures(sides)
+            bands = near_duplicates.bands_of(signs)
+            missed += not (bands[0] == bands[1]).any() or (signs[0] == signs[1]).sum() < near_duplicates._AGREE
+        assert missed <= 5

@@ -322,6 +322,7 @@ ORACLES: dict[str, str] = {
     "store_roundtrip": f"WITH {DOCS_IN_ORDER} {STORE_ROWS}",
     "store_item": f"WITH {DOCS_IN_ORDER} {STORE_ROWS} WHERE pos = 7",
     "store_slice": f"WITH {DOCS_IN_ORDER} {STORE_ROWS} WHERE pos >= 20 AND pos < 120",
+    "store_source": f"WITH {DOCS_IN_ORDER} {STORE_ROWS} WHERE pos >= 20 AND pos < 120 AND n > 9",
     "store_subrange": f"""WITH {DOCS_IN_ORDER}
         SELECT pos AS doc_ord, len(ids[6:45])::INT AS n_tokens, {ids_md5("ids[6:45]")} AS ids_md5
         FROM placed WHERE pos = 11""",

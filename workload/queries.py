@@ -18,6 +18,7 @@ from corploom.operators.running_totals import with_running_totals
 from corploom.plans.pack import Source, export, mix, pack, tokenized_stage
 from corploom.sinks import arrow_shards, shards, token_rows, token_store
 from corploom.sources import datasets, json_lines, vocabulary
+from corploom.sources.store_source import read_store
 from corploom.sources.token_store import ItemStore, TokenStore
 from corploom.staging import new_stage_path, stage
 from corploom.streaming.tokenizing import append_to_stage, tokenize_stream
@@ -501,6 +502,17 @@ def store_slice(spark, sf_dir):
     return store_rows(written_store(spark, sf_dir).slice(20, 120))
 
 
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
+@query
+def store_source(spark, sf_dir):
+    """A condition on the documents of the store as a data source."""
+    spark.conf.set(PUSHDOWN, "true")
+    docs = read_store(spark, written_store(spark, sf_dir).path, read_bytes=50_000)
+    return store_rows(docs.where("doc_ord >= 20 and doc_ord < 120 and size(input_ids) > 9"))
+
+
 @query
 def store_subrange(spark, sf_dir):
     return store_rows(written_store(spark, sf_dir).get(11, offset=5, length=40))

@@ -36,10 +36,10 @@ class Trie:
         parent, byte, depth, value = self._nodes(ids)
         count = len(parent)
         node_base, slots, size = self._place(parent, byte)
-        self.base = np.full(size, size - _SPAN, np.int32)  # nothing is there: a dead end
-        self.check = np.full(size, -1, np.int32)
+        self.base = np.full(size, size - _SPAN, np.int64)  # nothing is there: a dead end
+        self.check = np.full(size, -1, np.int64)
         self.best_id = np.full(size, _BAD, np.int32)
-        self.best_size = np.ones(size, np.int32)
+        self.best_size = np.ones(size, np.int64)
         self.base[slots] = node_base
         self.check[slots[1:]] = slots[parent[1:]]
         best, best_size = value.copy(), np.where(value >= 0, depth, 1)
@@ -51,8 +51,8 @@ class Trie:
         first = self._children(np.zeros(_SPAN, np.int32), np.arange(_SPAN))
         one, two = np.repeat(first, _SPAN), np.tile(np.arange(_SPAN), _SPAN)
         second = np.where(one >= 0, self._children(np.maximum(one, 0), two), -1)
-        self.pair = np.where(second >= 0, second, np.where(one >= 0, one, dead)).astype(np.int32)
-        self.pair_depth = np.where(second >= 0, 2, 1).astype(np.int32)
+        self.pair = np.where(second >= 0, second, np.where(one >= 0, one, dead)).astype(np.int64)
+        self.pair_depth = np.where(second >= 0, 2, 1).astype(np.int64)
         self.longest = max(map(len, ids), default=0)
         self.slots = count
 

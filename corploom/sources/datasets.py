@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_NAMED_SPLITS = 20
+
 def scan(
     spark: SparkSession,
     source: str | None,
@@ -49,11 +51,15 @@ def _split_path(spark: SparkSession, path: str, split: str) -> str:
 
 
 def select_split(df: DataFrame, split: str, column: str = "split") -> DataFrame:
-    """Rows of one split; a split that does not occur is an error that lists those that do."""
+    """Rows of one split; a split that does not occur is an error that lists those that do, the
+    first `_NAMED_SPLITS` of them."""
     chosen = df.where(F.col(column) == split)
     if chosen.isEmpty():
-        names = df.select(column).distinct().orderBy(column).collect()
-        raise ValueError(f"no split {split!r}; valid splits: {[r[0] for r in names]}")
+        names = df.select(column).distinct()
+        count = names.count()
+        listed = [r[0] for r in names.orderBy(column).limit(_NAMED_SPLITS).collect()]
+        more = f" and {count - len(listed)} more" if count > len(listed) else ""
+        raise ValueError(f"no split {split!r}; valid splits: {listed}{more}")
     return chosen
 
 

@@ -113,3 +113,9 @@ def test_vocabulary_size_is_checked(spark):
     assert len(encoding_table(vocab)) == 100_000
     with pytest.raises(ValueError, match="max_bytes"):
         encoding_table(vocab, max_bytes=1000)
+
+
+def test_an_unknown_split_names_some_of_many(spark):
+    df = spark.range(1000).selectExpr("cast(id as string) as split")
+    with pytest.raises(ValueError, match="and 980 more"):
+        select_split(df, "none")

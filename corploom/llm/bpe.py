@@ -8,7 +8,8 @@ the first in the right one at which chunk and whole text agree for certain that
 
 Why this is exact: words (pre-tokens) are encoded on their own, and the pattern that splits them
 reads from left to right. A space between two visible ASCII characters starts a word in every
-text that holds the three, so between two such places chunk and whole text have the same words.
+text that holds the three, so between two such places chunk and whole text have the same words. That
+goes for files of the usual byte-level kind; with any other, texts are encoded and decoded whole.
 
 Rows stay where they are: no shuffle, nothing kept between tasks, and a lost executor costs its
 tasks. Nulls count as empty texts (no ids); equal rows are encoded alike; columns named as the
@@ -21,6 +22,7 @@ import json
 import re
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +35,7 @@ from corploom.llm.batches import slices
 _WINDOW = 16  # bytes the rolling hash sees
 _MASK = np.uint64((1 << 9) - 1)  # a cut every 512 bytes on average
 _LEAST = 128  # bytes between cuts
-_STORE_BYTES = 16 << 20  # text held in a task's store of chunks
+_STORE_BYTES = 6 << 20  # text held in a task's store of chunks
 _BATCH_BYTES = 2 << 20  # text encoded at a time
 # Fixed value: how files of the usual kind state the split into words.
 _USUAL_SPLIT = {
@@ -96,6 +98,23 @@ _WORDS = (
 )
 
 
+def is_usual(spec: dict) -> bool:
+    """Whether a file is byte-level BPE of the kind whose texts may be cut where words surely start,
+    and whose tokens are bytes of the text."""
+    model = spec["model"]
+    if model["type"] != "BPE" or any(model.get(k) for k in ("dropout", "end_of_word_suffix", "continuing_subword_prefix")):
+        return False
+    pairs = [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
+    made = [model["vocab"]["".join(pair)] for pair in pairs]
+    placed = ("single_word", "lstrip", "rstrip")
+    return (
+        spec["pre_tokenizer"] == _USUAL_SPLIT
+        and spec["normalizer"] is None
+        and not any(t[k] for t in spec.get("added_tokens", []) for k in placed)
+        and all(a < b for a, b in zip(made, made[1:]))
+    )
+
+
 class Encoder:
     """Encodes texts as the tokenizers library does, special tokens in texts included.
 
@@ -109,21 +128,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.library.no_padding()
+        self.library.no_truncation()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        flat, ends = token_bytes(path)
-        self.sizes = np.diff(ends)
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        vocab = spec["model"]["vocab"]
-        pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"]["merges"]]
-        made = [vocab["".join(pair)] for pair in pairs]
-        usual = (
-            spec["pre_tokenizer"] == _USUAL_SPLIT
-            and spec["normalizer"] is None
-            and all(a < b for a, b in zip(made, made[1:]))
-        )
         self.fast = None
-        if usual:
+        if is_usual(spec):
+            vocab = spec["model"]["vocab"]
+            flat, ends = token_bytes(path)
+            self.sizes = np.diff(ends)
             raw = flat.tobytes()
             ranks = {raw[ends[i] : ends[i + 1]]: i for i in vocab.values()}
             self.fast = tiktoken.Encoding(
@@ -144,12 +158,15 @@ class Encoder:
             else:
                 ids = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
             if self.held > _STORE_BYTES:
-                self.store.clear()
-                self.held = 0
+                self.clear()
             self.store[data] = ids
             self.held += len(data)
         return ids
 
+    def clear(self):
+        self.store.clear()
+        self.held = 0
+
     def part(self, data: bytes, begin: int, end: int) -> np.ndarray:
         """Ids of `data[begin:end]` out of the ids of all of it; both ends start words in it."""
         ids = self.piece(data)
@@ -158,6 +175,8 @@ class Encoder:
         return ids[first : np.searchsorted(ends, end, side="right")]
 
     def encode(self, text: str) -> np.ndarray:
+        if not self.fast:  # words may depend on what stands around them: no cuts
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
         parts = [np.empty(0, np.uint32)]
         for part in self._split_special(text):
             if isinstance(part, int):
@@ -239,6 +258,18 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+@lru_cache(maxsize=2)
+def _decoder(path: str) -> Callable[[np.ndarray], str]:
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    if is_usual(spec) and (spec.get("decoder") or {}).get("type") == "ByteLevel":
+        return lambda ids: decode_ids(ids, path).decode(errors="replace")
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    return lambda ids: library.decode(ids.tolist(), skip_special_tokens=False)
+
+
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds `ids` (binary: little-endian unsigned 32-bit integers) for the tokenizer file."""
 
@@ -249,6 +280,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
                 texts = part.column(text).to_pylist()
                 packed = [encoder.encode(t or "").astype("<u4").tobytes() for t in texts]
                 yield part.append_column(ids, pa.array(packed, pa.binary()))
+        encoder.clear()
 
     source = df.drop(ids)
     schema = T.StructType([*source.schema.fields, T.StructField(ids, T.BinaryType())])
@@ -260,14 +292,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     that are no UTF-8 become U+FFFD."""
 
     def run(batches):
+        text_of = _decoder(path)
         for batch in batches:
             for part in slices(batch, ids, 4 * _BATCH_BYTES):
-                texts = [
-                    None
-                    if x is None
-                    else decode_ids(np.frombuffer(x, "<u4"), path).decode(errors="replace")
-                    for x in part.column(ids).to_pylist()
-                ]
+                packed = part.column(ids).to_pylist()
+                texts = [None if x is None else text_of(np.frombuffer(x, "<u4")) for x in packed]
                 yield part.append_column(decoded, pa.array(texts, pa.string()))
 
     source = df.drop(decoded)

@@ -6,9 +6,11 @@ in the document, so reordered passages count. Words are runs of letters and digi
 and punctuation do not matter.
 
 Items are the query set: their rolling (Karp-Rabin) hashes of `least` words go to every task, in
-blocks of bounded size, one pass over the documents each. A task meets its documents' rolling
+blocks of some `BLOCK_BYTES` of text, one pass over the documents each. Where there are several, every pass
+is written before the next block is fetched, so driver and tasks hold one block at a time. A task meets its documents' rolling
 hashes with them. Pairs whose shared seeds cannot reach the coverage are dropped, which is exact:
-tiles consist of seeds. The others are tiled. Nothing is shuffled.
+tiles consist of seeds. The others are tiled. Nothing is shuffled. Of equally long tiles, the one
+that begins first in the item, then in the document, is taken.
 
 Null and empty texts hold no words and leak nothing; items with fewer than `least` words cannot
 be tiled and never leak. Equal items are found each on its own, equal rows alike.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corploom.llm.batches import ALNUM, LOWER, Words, slices, text_bytes
+from corploom.staging import stage
 
 LEAST = 5
 COVERAGE = 0.6
@@ -168,7 +171,9 @@ def with_leaks(
     blocks = 1 + size // BLOCK_BYTES
     source = docs.drop(result)
     for n in range(blocks):
-        part = known.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == n).toArrow()
+        if n:
+            source = stage(source, "leaks")
+        part = known.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == n).toArrow()
         table = Items(part["id"].to_pylist(), part["text"].to_pylist(), least)
         name = f"_leaks{n}"
         schema = T.StructType([*source.schema.fields, T.StructField(name, _parse(f"array<{leak}>"))])

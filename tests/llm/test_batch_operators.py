@@ -1,6 +1,7 @@
 """BPE, decontamination, substring dedup, near duplicates, personal data, and their parts."""
 
 import collections
+import json
 import random
 import re
 import tracemalloc
@@ -518,3 +519,30 @@ def test_recall_of_near_duplicates():
             bands = near_duplicates.bands_of(signs)
             missed += not (bands[0] == bands[1]).any() or (signs[0] == signs[1]).sum() < near_duplicates._AGREE
         assert missed <= 5
+
+
+@pytest.mark.parametrize(
+    "changes",
+    [
+        {"normalizer": {"type": "NFKC"}},
+        {"normalizer": {"type": "Lowercase"}},
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}},
+        {"pre_tokenizer": {"type": "Metaspace", "replacement": "\u2581", "prepend_scheme": "always", "split": True}},
+        {"padding": {"strategy": {"Fixed": 9000}, "direction": "Right", "pad_to_multiple_of": None, "pad_id": 0,
+                     "pad_type_id": 0, "pad_token": "!"}},
+    ],
+)
+def test_other_files_are_encoded_and_decoded_as_the_library_does(spark, tmp_path, changes):
+    with open(PATH, encoding="utf-8") as file:
+        spec = json.load(file)
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps({**spec, **changes}))
+    text = " ".join(f"W\u00f6rd{i % 321} \ufb01ne \u2460" for i in range(3000))
+    library = Tokenizer.from_file(str(path))
+    library.no_padding()
+    ids = library.encode(text, add_special_tokens=False).ids
+    df = spark.createDataFrame([(text,), (None,)], "text string")
+    rows = bpe.decode(bpe.encode(df, str(path)), str(path)).collect()
+    found = {r.text: (np.frombuffer(r.ids, "<u4").tolist(), r.decoded) for r in rows}
+    assert found[text] == (ids, library.decode(ids, skip_special_tokens=False))
+    assert found[None] == ([], "")

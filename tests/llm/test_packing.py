@@ -13,9 +13,11 @@ from corploom.llm import packing
 from corploom.llm.packing import (
     CAPACITY, TextEncoder, by_words, first_fit_decreasing, pack_documents, pack_group, sequences,
 )
+from corploom.llm.bpe import token_bytes
 from corploom.llm.queries import tokenizer_path
 
 PATH = tokenizer_path("word_bpe_49k.json")
+LATIN = [*map(chr, range(0xC0, 0x280)), *"abcdefgh'.,0123 "]
 
 
 def plain_first_fit(sizes, capacity):
@@ -123,10 +125,28 @@ def test_words_are_exact(library):
     random.seed(7)
     marks = ["́", "Σ", "ς", "İ", "é", "ﬁ", " ", " ", "<|endoftext|>", "'s", "'LL", "\x00", "🎉", "日本", "٣"]
     texts = ["".join(random.choices([*"ab' .1\t\n\v\r", *marks], k=random.randint(0, 40))) for _ in range(3000)]
+    texts += ["".join(random.choices(sure, k=random.randint(0, 20))) for sure in [LATIN] * 20_000]
+    texts += ["<|STARTOFTEXT|> <|endoftext|>a A<|b", "x" * 5000, "don't DON'T it'LL we're 12ab3"]
+    texts += [c * n for c in "ax-'.é1" for n in range(1, 60)]
+    texts += ["".join(random.choices("abehnox", k=random.randint(1, 4))) * random.randint(3, 9) for _ in range(3000)]
     encoder = TextEncoder(PATH)
-    assert encoder.words
-    found = [np.frombuffer(x, "<u4").tolist() for x in encoder(texts)]
-    assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.words and encoder.fast
+    for text in texts:
+        assert np.frombuffer(encoder(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_every_entry_and_real_words_are_exact(library, spark):
+    """All entries of the vocabulary that are text, and all words of a table."""
+    encoder = TextEncoder(PATH)
+    flat, begins = token_bytes(PATH)
+    raw = flat.tobytes()
+    entries = [raw[a:b].replace(b"</w>", b"") for a, b in zip(begins, begins[1:])]
+    words = {e.decode().strip() for e in entries if e.decode(errors="ignore").encode() == e}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    words |= {w for r in docs for w in r.text.split()}
+    words = sorted(words)
+    expected = library.encode_batch(words, add_special_tokens=False)
+    assert all(np.frombuffer(encoder(w), "<u4").tolist() == e.ids for w, e in zip(words, expected))
 
 
 def test_other_files_take_whole_texts(tmp_path):
@@ -135,4 +155,4 @@ def test_other_files_take_whole_texts(tmp_path):
         assert not by_words(json.load(file))
     text = "Some words,  spaces\n\n and more"
     expected = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(TextEncoder(path)([text])[0], "<u4").tolist() == expected
+    assert np.frombuffer(TextEncoder(path)(text), "<u4").tolist() == expected

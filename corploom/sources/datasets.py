@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_NAMED_SPLITS = 20
+_NAMED_SPLITS = 1000
 
 def scan(
     spark: SparkSession,

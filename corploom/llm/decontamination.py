@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corploom.llm.batches import ALNUM, LOWER, Words, slices, text_bytes
+from corploom.llm.text import keeps_columns
 from corploom.staging import stage
 
 LEAST = 5
@@ -151,6 +152,7 @@ def leaks_of(docs: Words, items: Items, coverage: float) -> dict[int, list[dict]
     return found
 
 
+@keeps_columns
 def with_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -212,6 +214,7 @@ def _finder(items: Items, text: str, coverage: float, name: str, kind: pa.DataTy
     return run
 
 
+@keeps_columns
 def without_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that leak no item."""
     return with_leaks(docs, items, result="_leaks", **options).where(F.size("_leaks") == 0).drop("_leaks")

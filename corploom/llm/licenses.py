@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corploom.llm.text import let, lower_ascii, range_of, whole
+from corploom.llm.text import keeps_columns, let, lower_ascii, range_of, whole
 
 GRAM = 3  # words of a k-gram; hashes go over the first two, so that shorter phrases join as well
 NEAR = 3  # diagonals this close belong together
@@ -162,6 +162,7 @@ def find_licenses(
     )
 
 
+@keeps_columns
 def with_licenses(
     df: DataFrame, text: str = "text", result: str = "licenses", **options
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corploom.llm.text import SPACE, let, range_of, whole, words_of
+from corploom.llm.text import SPACE, keeps_columns, let, range_of, whole, words_of
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -192,6 +192,7 @@ def compile_rules(found: Column, rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*[broken(rule) for rule in rules]))
 
 
+@keeps_columns
 def with_quality(
     df: DataFrame,
     rules: Sequence[Rule] = RULES,

@@ -21,7 +21,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corploom.llm.text import SPANS, lower_ascii, spans_of, whole
+from corploom.llm.text import SPANS, keeps_columns, lower_ascii, spans_of, whole
 
 Clauses = frozenset[frozenset[str]]  # OR of ANDs; an empty AND asks for nothing
 _ANY: Clauses = frozenset({frozenset()})
@@ -178,6 +178,7 @@ def scans_fully(rule: Rule) -> bool:
     return frozenset() in trigram_query(rule.pattern)
 
 
+@keeps_columns
 def scan_secrets(
     df: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", result: str = "secrets"
 ) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corploom.functions.arithmetic import div
+from corploom.llm.text import keeps_columns
 from corploom.operators.running_totals import default_bits, hash_bucket
 
 SEED = 101
@@ -32,6 +33,7 @@ def shuffle_key(seed: int, row_id: Column, text: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), row_id.cast("string"), F.md5(text)))
 
 
+@keeps_columns
 def interleave(
     df: DataFrame,
     shards: int,

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import wraps
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -14,6 +15,27 @@ SPANS = "array<struct<start:int,end:int,kind:string,part:string>>"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def keeps_columns(operate: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Lets the rows of the first argument have columns that begin with `_`, as the helper columns of
+    the operators do: those go by other names meanwhile. Columns that an argument names keep theirs."""
+
+    @wraps(operate)
+    def run(df: DataFrame, *args, **options) -> DataFrame:
+        given = [v if isinstance(v, (list, tuple)) else [v] for v in (*args, *options.values())]
+        named = {value for values in given for value in values if isinstance(value, str)}
+        names: dict[str, str] = {}
+        for column in df.columns:
+            if column.startswith("_") and column not in named:
+                free = f"own{column}"
+                while free in df.columns or free in names.values():
+                    free = f"own{free}"
+                names[column] = free
+        result = operate(df.withColumnsRenamed(names), *args, **options)
+        return result.withColumnsRenamed({free: column for column, free in names.items()})
+
+    return run
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of a value that is computed once per row, however often the body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -22,7 +22,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corploom.llm.text import lower_ascii, whole
+from corploom.llm.text import keeps_columns, lower_ascii, whole
 
 MOST_BROADCAST = 100_000  # rules sent to all tasks; more are joined by a shuffle
 
@@ -121,6 +121,7 @@ def rule_index(addresses: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+@keeps_columns
 def judge_urls(
     df: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url", default: str = "allow"
 ) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from corploom.llm import licenses, quality, secrets, sharding, urls
+from corploom.llm import decontamination, licenses, pii, quality, repeats, secrets, sharding, urls
 from corploom.llm.text import join_spans
 
 from edge_texts import TEXTS
@@ -216,3 +216,25 @@ def test_native_operators_run_no_python(edge_docs):
         assert not re.search("Python|Pandas|Arrow|UDF", plan)
 
 
+OWN = "_key _id _n _source _slice _rows _text _in _before _share _pos _bucket _leaks _found _shared _kept _frequent".split()
+
+
+@pytest.mark.parametrize(
+    "operate",
+    [
+        secrets.scan_secrets,
+        licenses.with_licenses,
+        quality.with_quality,
+        repeats.without_repeats,
+        lambda df: sharding.interleave(df, 3),
+        lambda df: pii.redact(pii.with_pii(df, pii.fit_model(df))),
+        lambda df: decontamination.with_leaks(df, df.select(F.col("doc_id").alias("item_id"), "text")),
+        lambda df: urls.judge_urls(df.withColumn("url", F.lit("https://example.com/en/x"))),
+    ],
+)
+def test_columns_with_helper_names_come_through(spark, operate):
+    rows = [(1, "token = secret123 under the MIT license, by a.b@example.org", "s"), (2, "some other words", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = operate(df.withColumns({name: F.concat(F.lit(name), "doc_id") for name in OWN})).collect()
+    assert len(found) == 2
+    assert all(row[name] == f"{name}{row.doc_id}" for row in found for name in OWN)

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corploom.llm.batches import AS_IS, NOT_WHITE, Words, mix, slices, text_bytes
+from corploom.llm.text import keeps_columns
 
 WINDOW = 13
 _ANCHOR = 4
@@ -171,13 +172,16 @@ def _shared_windows(part: pa.RecordBatch, words: Words):
     first, at, anchor = _anchors(words)
     shared, frequent = np.zeros(len(first), bool), np.zeros(len(first), bool)
     begins = np.searchsorted(first, words.first)
-    for name, out in (("_shared", shared), ("_frequent", frequent)):
+    # Shared anchors come back by their lower halves. An anchor that is taken for shared by mistake
+    # is in this document alone, which then owns its windows; frequent ones decide routes and are whole.
+    lower = anchor.astype(np.int32)
+    for name, anchor_of, out in (("_shared", lower, shared), ("_frequent", anchor, frequent)):
         column = part.column(name)
         offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
         valid = column.is_valid().to_numpy(zero_copy_only=False)
         for i in np.flatnonzero(valid & (np.diff(offsets) > 0) & (np.diff(begins) > 0)):
             own = slice(begins[i], begins[i + 1])
-            out[own] = np.isin(anchor[own], values[offsets[i] : offsets[i + 1]])
+            out[own] = np.isin(anchor_of[own], values[offsets[i] : offsets[i + 1]])
     return first, at, anchor, shared | frequent, frequent
 
 
@@ -295,6 +299,7 @@ def _result_rows(fields: list[str], names: tuple[str, str, str], text: str):
     return run
 
 
+@keeps_columns
 def without_repeats(
     df: DataFrame, text: str = "text", row_id: str = "doc_id", result: str = "kept_text"
 ) -> DataFrame:
@@ -314,11 +319,12 @@ def without_repeats(
         .where(F.col("a") != F.col("b"))
         .select("anchor", (F.col("n") > _FREQUENT).alias("often"))
     )
+    lower = F.shiftright(F.shiftleft("anchor", 32), 32).cast("int")
     lists = (
         anchors.join(shared, "anchor")
         .groupBy("_id")
         .agg(
-            F.collect_set(F.when(~F.col("often"), F.col("anchor"))).alias("_shared"),
+            F.collect_set(F.when(~F.col("often"), lower)).alias("_shared"),
             F.collect_set(F.when(F.col("often"), F.col("anchor"))).alias("_frequent"),
         )
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corploom.functions.longest_match import LongestMatch, TokenBytes
-from corploom.functions.packed_ids import pack_ids, packed_array
+from corploom.functions.packed_ids import pack_ids, packed_array, packed_ids
 from corploom.sources.vocabulary import MAX_VOCABULARY_BYTES, decoding_table, encoding_table
 
 Tokenizer = Callable[[Column], Column]
@@ -129,3 +130,62 @@ def detokenize_corpus(
         return joined.cast(pa.large_string()).cast(pa.string()) if as_text else joined.cast(pa.binary())
 
     return df.withColumn(out, detokenize(F.col(ids)))
+
+
+def detokenize_chunks(rows: DataFrame, vocab: DataFrame, out: str = "text") -> DataFrame:
+    """Text of packed rows (`split_id, chunk_id, n_real, tokens`), which may end inside a character.
+    `rows` is a table, such as a stage, as it is read twice.
+
+    A character belongs to the row that holds its first byte. The bytes of it that begin the next rows,
+    three at most, are handed back to that row by position: only they move to be matched. The texts of a
+    split, one after the other, are its documents. Padding has no text. Bytes without a first
+    byte before them in their split, and unfinished characters at its end, fail as they do in
+    `detokenize_corpus`.
+    """
+    tokens = rows.sparkSession.sparkContext.broadcast(TokenBytes(decoding_table(vocab)))
+
+    @F.arrow_udf("own binary, lead binary")
+    def parted(packed: pa.Array, n_real: pa.Array, first: pa.Array) -> pa.Array:
+        ids, ends = packed_ids(packed)
+        starts, sizes = ends[:-1], n_real.to_numpy()
+        # Padding is at the end of a row: ids are taken up to it.
+        kept = np.arange(len(ids)) - np.repeat(starts, np.diff(ends)) < np.repeat(sizes, np.diff(ends))
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[kept], pa.int32()))
+        own, lead = [], []
+        for raw, begins in zip(tokens.value(lists).to_pylist(), first.to_pylist()):
+            cut = 0
+            while not begins and cut < min(len(raw), 3) and raw[cut] & 0xC0 == 0x80:
+                cut += 1
+            own.append(raw[cut:])
+            lead.append(raw[:cut])
+        return pa.StructArray.from_arrays([pa.array(own, pa.binary()), pa.array(lead, pa.binary())], ["own", "lead"])
+
+    @F.arrow_udf("string")
+    def decoded(raw: pa.Array) -> pa.Array:
+        return raw.cast(pa.string())
+
+    bytes_of = parted("tokens", "n_real", F.col("chunk_id") == 0)
+    parts = rows.withColumn("_part", bytes_of)
+    empty = F.octet_length("_part.own") == 0
+    handed = rows.select("split_id", "chunk_id", bytes_of.alias("_part")).where(F.octet_length("_part.lead") > 0)
+    handed = handed.select(
+        "split_id", "chunk_id", F.col("_part.lead").alias("lead"), empty.alias("all"), F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("back")
+    )
+    # A row gets the bytes of the rows after it up to the first that has a character of its own.
+    after = F.sort_array(F.collect_list(F.struct("back", "lead", "all")))
+    given = handed.groupBy("split_id", (F.col("chunk_id") - F.col("back")).alias("chunk_id")).agg(after.alias("_after"))
+    nothing = F.lit(b"")
+
+    def take(state: Column, row: Column) -> Column:
+        wanted = row["back"] == state["next"]
+        return F.struct(
+            F.when(wanted, F.concat(state["held"], row["lead"])).otherwise(state["held"]).alias("held"),
+            F.when(wanted & row["all"], state["next"] + 1).when(wanted, F.lit(-1)).otherwise(state["next"]).alias("next"),
+        )
+
+    start = F.struct(nothing.alias("held"), F.lit(1).alias("next"))
+    more = F.coalesce(F.aggregate("_after", start, take, lambda state: state["held"]), nothing)
+    joined = parts.join(given, ["split_id", "chunk_id"], "left")
+    whole = F.when(empty, nothing).otherwise(F.concat("_part.own", more))
+    return joined.withColumn(out, decoded(whole)).drop("_part", "_after")

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from corploom.operators.ordering import shuffle_rows
 from corploom.operators.rechunking import rechunk, with_chunk_masks, with_splits
+from corploom.staging import stage
 
 
 def packed(df, **options):
@@ -98,3 +99,25 @@ def test_tokens_reach_chunks_by_hash_exchange_only(spark, ordered_ids):
             below = " ".join(lines[i : i + 2])
             assert "tokens" not in below.replace("n_tokens", "").replace("split_tokens", ""), below
     assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 64])
+def test_characters_cut_by_chunks_come_back(spark, byte_vocab, size):
+    """Characters of one to four bytes in rows of few tokens: each is in the row of its first byte."""
+    from corploom.operators.tokenizing import VocabularyTokenizer, detokenize_chunks
+
+    texts = ["aé日🎉b", "", "🎉🎉🎉", "é", "日本語 text", "z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "pos bigint, text string")
+    packed = df.select("pos", VocabularyTokenizer(byte_vocab).packed(F.col("text")).alias("tokens"))
+    found = detokenize_chunks(stage(rechunk(packed, size, 3), "chunks"), byte_vocab).orderBy("pos").collect()
+    per_split = {}
+    for row in found:
+        per_split.setdefault(row.split_id, []).append(row.text)
+    joined = ["".join(texts[2 * k : 2 * k + 2]) for k in range(3)]
+    assert ["".join(parts) for _, parts in sorted(per_split.items())] == joined
+    for split, parts in per_split.items():
+        raw, place = joined[split].encode(), 0
+        for k, part in enumerate(parts):
+            place += len(part.encode())
+            end = min(len(raw), size * (k + 1))
+            assert place >= end and raw[end:place] == bytes(b for b in raw[end:place] if b & 0xC0 == 0x80)

@@ -295,6 +295,19 @@ ORACLES: dict[str, str] = {
     "rechunk_empty_splits": f"""WITH {LINES}, {TOKENS},
         {placed("md5('101:' || row_key), row_key")}, {chunks(256, 5_000)} {PACKED}""",
     "shuffled_corpus_chunks": f"WITH {SOURCES}, {TOKENS}, {placed(SHUFFLED)}, {chunks(CHUNK, SPLITS)} {PACKED}",
+    "detokenized_chunks": f"""WITH {DOCUMENTS}, {TOKENS}, {placed(SHUFFLED)}, {chunks(CHUNK, SPLITS)},
+        spelled AS (
+            SELECT split_id, pos, start - s0 AS spot, i, substr(text, i, 1) AS c
+            FROM (SELECT sp.*, s0, unnest(range(1, length(text) + 1)) AS i FROM sp JOIN base USING (split_id))),
+        located AS (
+            SELECT split_id, i, c, pos,
+                   (spot + sum(strlen(c)) OVER (PARTITION BY pos ORDER BY i ROWS UNBOUNDED PRECEDING) - strlen(c)) AS place
+            FROM spelled),
+        texts AS (
+            SELECT split_id, (place // {CHUNK})::BIGINT AS chunk_id, string_agg(c, '' ORDER BY place) AS text
+            FROM located GROUP BY ALL)
+        SELECT split_id, chunk_id, md5(coalesce(text, '')) AS text_md5
+        FROM packed LEFT JOIN texts USING (split_id, chunk_id)""",
     "packed_corpus": f"""WITH {SOURCES}, {TOKENS}, {placed(IN_SOURCE_ORDER)}, {chunks(CHUNK, SPLITS)}
         SELECT split, pos, n_real, {ids_md5("ids")} AS ids_md5
         FROM packed, (VALUES ('train'), ('test')) v(split) WHERE split = 'train' OR pos = 0""",

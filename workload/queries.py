@@ -382,6 +382,14 @@ def packed_corpus(spark, sf_dir):
     return tagged[0].unionByName(tagged[1]).select("split", "pos", "n_real", ids_md5())
 
 
+@query
+def detokenized_chunks(spark, sf_dir):
+    """Text of rows of 2,048 tokens, which end inside characters."""
+    chunks = mix(document_stage(spark, sf_dir), chunk_size=CHUNK, splits=SPLITS)
+    texts = tokenizing.detokenize_chunks(stage(chunks, "chunks"), byte_vocabulary(spark))
+    return texts.select("split_id", "chunk_id", F.md5("text").alias("text_md5"))
+
+
 # Lengths
 
 

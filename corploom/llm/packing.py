@@ -24,6 +24,8 @@ replaced; an empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import os
+import re
 from collections.abc import Sequence
 from functools import lru_cache
 
@@ -35,13 +37,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corploom.llm.batches import slices
+from corploom.llm.bpe import token_bytes
 
 CAPACITY = 4096
-GROUP_DOCS = 8192
-GROUP_TOKENS = 8 << 20
+GROUP_DOCS = 4096
+GROUP_TOKENS = 4 << 20
 SEED = 101
 _BATCH_BYTES = 2 << 20
 _STORE_WORDS = 150_000
+# A full stop or comma between a letter and white space is a word of its own: most words then come
+# without marks.
+_MARK = re.compile(rb"([a-z])([.,])(?=[ \n])")
 _LONG_WORD = 64  # bytes; longer words are encoded each time
 _SEQUENCES = 1 << 32  # a task's sequences at most
 
@@ -72,35 +78,118 @@ def by_words(spec: dict) -> bool:
     )
 
 
+class WordEncoder:
+    """Ids of words in lower case without white space, as the library gives them at a multiple of the
+    time. Merges run by rank in tiktoken, on the same vocabulary; a byte that no text holds stands
+    for the end of a word, and to join it to the last character comes before all merges.
+
+    Only words that both classify alike for certain: visible ASCII and U+00C0 to U+027F, without the
+    one capital whose lower case is two characters. `ids` gives None for all others.
+    """
+
+    _SURE = re.compile(rb"(?:[!-~]|[\xc3-\xc9][\x80-\xbf])+")
+    _END = b"\xff"
+
+    def __init__(self, spec: dict, path: str):
+        import regex
+        import tiktoken
+
+        flat, begins = token_bytes(path)
+        raw = flat.tobytes()
+        model = spec["model"]
+        suffix, vocab = model["end_of_word_suffix"], model["vocab"]
+        marked = len(suffix.encode())
+
+        def stored(token: str) -> bytes:
+            own = raw[begins[vocab[token]] : begins[vocab[token] + 1]]
+            return own[:-marked] + self._END if token.endswith(suffix) else own
+
+        ranks, table = {}, []
+        pairs = [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
+        merged = {"".join(p) for p in pairs}
+        singles = {stored(t): i for t, i in vocab.items() if t not in merged}
+        # Bytes come first, then bytes that end a word, then merges in their order.
+        both = [bytes([b]) for b in range(256)] + [bytes([b]) + self._END for b in range(256)]
+        for token in both:
+            ranks[token] = len(table)
+            table.append(singles.get(token, -1))
+        for pair in pairs:
+            ranks[stored("".join(pair))] = len(table)
+            table.append(vocab["".join(pair)])
+        self.exact = len(ranks) == len(table) and set(singles) <= set(both)
+        self.table = [i.to_bytes(4, "little", signed=True) for i in table]
+        self.piece = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe
+        self.split = regex.compile(_SPLIT["pattern"]["Regex"]).findall
+
+    def ids(self, word: bytes, known: dict[bytes, bytes]) -> bytes | None:
+        """Ids of a word; `known` has those of some words, which may be parts of it."""
+        if word.isalpha():  # ASCII letters
+            return self._part(word.lower())
+        if not self._SURE.fullmatch(word) or b"\xc4\xb0" in word:
+            return None
+        text, found = word.decode(), []
+        if text.isalpha():
+            return self._part(text.lower().encode())
+        for part in self.split(text.lower()):
+            part = part.encode()
+            found.append(known.get(part) or self._part(part))
+        return b"".join(found)
+
+    def _part(self, part: bytes) -> bytes:
+        table = self.table
+        return b"".join([table[rank] for rank in self.piece.encode_single_piece(part + self._END)])
+
+
 class TextEncoder:
     """Ids of texts, packed as little-endian unsigned 32-bit integers, as the tokenizers library
     gives them for the file without padding, truncation or further special tokens."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share the cores already
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
         with open(path, encoding="utf-8") as file:
-            self.words = by_words(json.load(file))
+            spec = json.load(file)
+        self.words = by_words(spec)
+        self.special = [t["content"].encode() for t in spec["added_tokens"]]
+        self.fast = WordEncoder(spec, path) if self.words and spec["model"].get("end_of_word_suffix") else None
+        if self.fast and not self.fast.exact:
+            self.fast = None
         self.store: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _word(self, word: bytes) -> bytes:
+        ids = self.fast.ids(word, self.store) if self.fast else None
+        return self._encoded(word.decode()) if ids is None else ids
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, text: str) -> bytes:
         if not self.words:
-            return self._encoded(texts)
-        split = [text.encode().split() for text in texts]
-        if len(self.store) > _STORE_WORDS:
-            self.store.clear()
-        new = list({w for words in split for w in words}.difference(self.store))
-        ids = dict(zip(new, self._encoded([w.decode() for w in new])))
-        self.store.update((w, i) for w, i in ids.items() if len(w) <= _LONG_WORD)
-        ids = self.store if all(len(w) <= _LONG_WORD for w in new) else {**self.store, **ids}
-        return [b"".join(map(ids.__getitem__, words)) for words in split]
+            return self._encoded(text)
+        data = text.encode()
+        if any(s in data for s in self.special):
+            # They are found before the text is put in lower case.
+            return b"".join(
+                self._encoded(w.decode()) if any(s in w for s in self.special) else self._word(w) for w in data.split()
+            )
+        words = _MARK.sub(rb"\1 \2", self._lower(data)).split()
+        if len(self.store) > _STORE_WORDS:  # words that are still in use come back from the older ones
+            self.store, self.older = {}, self.store
+        long = {}
+        for word in set(words).difference(self.store):
+            ids = self.older.get(word)
+            (self.store if len(word) <= _LONG_WORD else long)[word] = self._word(word) if ids is None else ids
+        return b"".join(map((self.store | long if long else self.store).__getitem__, words))
+
+    def _lower(self, data: bytes) -> bytes:
+        """In lower case as far as ASCII goes, unless that makes a special token of other text."""
+        lower = data.lower()
+        return data if any(s in lower for s in self.special) else lower
 
 
 @lru_cache(maxsize=2)
@@ -218,7 +307,7 @@ def pack_documents(
         for batch in batches:
             for part in slices(batch, field, _BATCH_BYTES):
                 texts = [t or "" for t in part.column(field).to_pylist()]
-                coded = [x + end for x in encoder(texts)]
+                coded = [encoder(t) + end for t in texts]
                 rows = part.drop_columns([field])
                 while rows.num_rows:
                     # A group takes rows while it has room for documents and tokens, one at least.

@@ -26,7 +26,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -45,9 +45,6 @@ GROUP_TOKENS = 4 << 20
 SEED = 101
 _BATCH_BYTES = 2 << 20
 _STORE_WORDS = 150_000
-# A full stop or comma between a letter and white space is a word of its own: most words then come
-# without marks.
-_MARK = re.compile(rb"([a-z])([.,])(?=[ \n])")
 _LONG_WORD = 64  # bytes; longer words are encoded each time
 _SEQUENCES = 1 << 32  # a task's sequences at most
 
@@ -120,11 +117,16 @@ class WordEncoder:
         self.table = [i.to_bytes(4, "little", signed=True) for i in table]
         self.piece = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe
         self.split = regex.compile(_SPLIT["pattern"]["Regex"]).findall
+        self.marks = {mark: self._part(mark) for mark in (b".", b",")}
 
     def ids(self, word: bytes, known: dict[bytes, bytes]) -> bytes | None:
         """Ids of a word; `known` has those of some words, which may be parts of it."""
         if word.isalpha():  # ASCII letters
             return self._part(word.lower())
+        mark = self.marks.get(word[-1:])
+        if mark is not None and word[:-1].isalpha():
+            stem = word[:-1].lower()
+            return (known.get(stem) or self._part(stem)) + mark
         if not self._SURE.fullmatch(word) or b"\xc4\xb0" in word:
             return None
         text, found = word.decode(), []
@@ -140,6 +142,22 @@ class WordEncoder:
         return b"".join([table[rank] for rank in self.piece.encode_single_piece(part + self._END)])
 
 
+class _Words(dict):
+    """Ids of words; those that are not there are taken from older ones or made."""
+
+    def __init__(self, make: Callable[[bytes], bytes], older: dict[bytes, bytes] | None = None):
+        super().__init__()
+        self.make, self.older = make, dict(older or {})
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.make(word)
+        if len(word) <= _LONG_WORD:
+            self[word] = ids
+        return ids
+
+
 class TextEncoder:
     """Ids of texts, packed as little-endian unsigned 32-bit integers, as the tokenizers library
     gives them for the file without padding, truncation or further special tokens."""
@@ -158,8 +176,7 @@ class TextEncoder:
         self.fast = WordEncoder(spec, path) if self.words and spec["model"].get("end_of_word_suffix") else None
         if self.fast and not self.fast.exact:
             self.fast = None
-        self.store: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.store = _Words(self._word)
 
     def _encoded(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -177,14 +194,10 @@ class TextEncoder:
             return b"".join(
                 self._encoded(w.decode()) if any(s in w for s in self.special) else self._word(w) for w in data.split()
             )
-        words = _MARK.sub(rb"\1 \2", self._lower(data)).split()
+        words = self._lower(data).split()
         if len(self.store) > _STORE_WORDS:  # words that are still in use come back from the older ones
-            self.store, self.older = {}, self.store
-        long = {}
-        for word in set(words).difference(self.store):
-            ids = self.older.get(word)
-            (self.store if len(word) <= _LONG_WORD else long)[word] = self._word(word) if ids is None else ids
-        return b"".join(map((self.store | long if long else self.store).__getitem__, words))
+            self.store = _Words(self._word, self.store)
+        return b"".join(map(self.store.__getitem__, words))
 
     def _lower(self, data: bytes) -> bytes:
         """In lower case as far as ASCII goes, unless that makes a special token of other text."""

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corploom.functions.arithmetic import div
-from corploom.operators.running_totals import running_totals_by_position
+from corploom.operators.running_totals import ranks_by_position, running_totals_by_position
 from corploom.staging import stage
 
 SHARD_BYTES = 500_000_000
-_BLOCK_BITS = 16
+_BLOCK_BITS = 16  # at most; see `_block_bits`
+_LEAST_BITS = 8
+_BLOCKS = 1 << 16
 _BROADCAST_CUTS = 1_000_000
 _STRETCH_ROWS = 1 << 16
 
@@ -31,34 +33,47 @@ def with_shards(
     they exceed `shard_bytes`, see `filled_cuts`. Rows are never cut.
 
     `staged` is a table, as it is read twice: running sums need positions and sizes alone, and
-    leave a few cuts per block of 65,536 positions. Rows look their shard up there, so that they
+    leave the cuts of each block of positions. Rows look their shard up there, so that they
     move only once, to the task that writes the shard. If several rows share a position, `sizes` has
     it once, with the size of all of them.
     """
     sizes = staged if sizes is None else sizes
     rows, held = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    bits = _block_bits(rows, held // shard_bytes)
     if filled:
         cuts = filled_cuts(sizes, shard_bytes, size, position)
-        ends = F.coalesce(F.lead("since").over(Window.orderBy("since")), F.lit(rows)) - 1
-        first, last = (F.shiftright(c, _BLOCK_BITS) for c in (F.col("since"), F.col("until")))
-        cuts = cuts.withColumn("until", ends).withColumn("_block", F.explode(F.sequence(first, last)))
+        after = cuts.select((F.col("shard") - 1).alias("shard"), (F.col("since") - 1).alias("until"))
+        cuts = cuts.join(after, "shard", "left").withColumn("until", F.coalesce("until", F.lit(rows - 1)))
+        first, last = (F.shiftright(c, bits) for c in ("since", "until"))
+        cuts = cuts.withColumn("_block", F.explode(F.sequence(first, last)))
     else:
         summed = running_totals_by_position(sizes.select(position, size), {"before": size}, position)
-        block, shard = F.shiftright(position, _BLOCK_BITS), div(F.col("before"), shard_bytes)
+        block, shard = F.shiftright(position, bits), div(F.col("before"), shard_bytes)
         cuts = summed.groupBy(block.alias("_block"), shard.alias("shard")).agg(F.min(position).alias("since"))
-    return _look_up(staged, cuts, rows, held, shard_bytes, position)
+    return _look_up(staged, cuts, bits, _fits(rows, bits, held // shard_bytes), position)
 
 
-def _look_up(
-    staged: DataFrame, cuts: DataFrame, rows: int, held: int, shard_bytes: int, position: str
-) -> DataFrame:
+def _fits(rows: int, bits: int, shards: int) -> bool:
+    """Each block has a cut, and each shard that begins in it adds one at most."""
+    return (rows >> bits) + shards + 1 <= _BROADCAST_CUTS
+
+
+def _block_bits(rows: int, shards: int) -> int:
+    """Bits of a position within its block. Each row reads all cuts of its block, of which there may be
+    one a row, so blocks are small: as small as some 65,000 of them allow if their cuts go to all
+    tasks, else the smallest."""
+    least = min(_LEAST_BITS, _BLOCK_BITS)
+    bits = min(_BLOCK_BITS, max(least, (rows // _BLOCKS).bit_length()))
+    return bits if _fits(rows, bits, shards) else least
+
+
+def _look_up(staged: DataFrame, cuts: DataFrame, bits: int, few: bool, position: str) -> DataFrame:
     """Adds the `shard` of the last cut at or before each row; `cuts` has those of each block."""
     cuts = cuts.groupBy("_block").agg(F.sort_array(F.collect_list(F.struct("since", "shard"))).alias("_cuts"))
-    # Each block has a cut, and each shard that begins in it adds one at most.
-    if (rows >> _BLOCK_BITS) + held // shard_bytes + 1 <= _BROADCAST_CUTS:
+    if few:
         cuts = F.broadcast(cuts)
     reached = F.filter("_cuts", lambda cut: cut["since"] <= F.col(position))
-    found = staged.withColumn("_block", F.shiftright(position, _BLOCK_BITS)).join(cuts, "_block")
+    found = staged.withColumn("_block", F.shiftright(position, bits)).join(cuts, "_block")
     return found.withColumn("shard", F.element_at(reached, -1)["shard"]).drop("_block", "_cuts")
 
 
@@ -89,9 +104,8 @@ def filled_cuts(
 
     # Windows with rows are numbered without a gap; there are at most as many as full shards.
     window = div(F.col("before"), shard_bytes)
-    order = Window.orderBy("window")
-    windows = starts.select(window.alias("window")).distinct()
-    windows = windows.select("window", F.shiftright(F.row_number().over(order) - 1, 1).alias("group"))
+    windows = ranks_by_position(starts.select(window.alias("window")).distinct(), "rank", "window")
+    windows = windows.select("window", F.shiftright("rank", 1).alias("group"))
     if total // shard_bytes < _BROADCAST_CUTS:
         windows = F.broadcast(windows)
     placed = starts.withColumn("window", window).join(windows, "window").select("pos", "group")
@@ -123,10 +137,9 @@ def filled_cuts(
 
     for jumps in reversed(levels):
         begun = stage(begun.unionByName(taken(jumps, "to")), "begun")
-    begun = begun.unionByName(taken(inner, "inner"))
+    begun = ranks_by_position(begun.unionByName(taken(inner, "inner")), "shard")
     begun = starts.join(F.broadcast(begun) if few else begun, "pos")
-    number = F.row_number().over(Window.orderBy("pos")).cast("bigint") - 1
-    return stage(begun.select(number.alias("shard"), F.col("pos").alias("since"), "before"), "cuts")
+    return stage(begun.select("shard", F.col("pos").alias("since"), "before"), "cuts")
 
 
 def _next_starts(starts: DataFrame, shard_bytes: int, stretch: int) -> DataFrame:

@@ -217,6 +217,19 @@ def test_shards_filled_to_the_limit(spark, monkeypatch, case):
     assert [r.shard for r in found] == filled_plainly(sizes, 100)
 
 
+@pytest.mark.parametrize("filled", [True, False])
+def test_rows_look_up_few_cuts_if_each_row_fills_a_shard(spark, monkeypatch, filled):
+    from corploom.sinks import shards
+
+    tables = []
+    monkeypatch.setattr(shards.F, "broadcast", lambda df: tables.append(df) or df)
+    df = stage(spark.range(3000).selectExpr("id as pos", "200 as row_bytes"), "rows")
+    found = with_shards(df, 100, filled=filled).agg(F.count_distinct("shard")).first()[0]
+    assert found == 3000
+    cuts = next(t for t in tables if "_cuts" in t.columns)
+    assert cuts.agg(F.max(F.size("_cuts"))).first()[0] <= 300
+
+
 def test_filled_exports(spark, ordered_ids, tmp_path):
     export(ordered_ids(DOCS * 3), "store", str(tmp_path / "store"), shard_bytes=8, filled=True)
     held = [os.path.getsize(f) for f in sorted(glob.glob(f"{tmp_path}/store/*.bin"))]

@@ -6,13 +6,18 @@ arrays, and are cut and joined by byte position. Arrays come back at the end.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import corploom.functions.batches  # noqa: F401  (workers give memory back)
+
 ID_BYTES = 4
+BLOCK_IDS = 1 << 20  # ids looked at together; arrays of eight bytes an id are made of those only
 # Fixed value: bytes of a JSON line with three empty lists,
 # {"input_ids":[],"token_type_ids":[],"attention_mask":[]} and the line end.
 _EMPTY_LINE = 57
@@ -36,6 +41,22 @@ def packed_ids(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ids[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def sums_at(ends: np.ndarray, values: Iterator[np.ndarray]) -> np.ndarray:
+    """Sums of all values before each of the places `ends`; values come in blocks, one after the other."""
+    sums, at, before = np.zeros(len(ends), np.int64), 0, 0
+    for block in values:
+        if len(block):
+            so_far = np.cumsum(block, dtype=np.int64)
+            a, b = np.searchsorted(ends, [at, at + len(block)], side="right")
+            sums[a:b] = before + so_far[ends[a:b] - at - 1]
+            at, before = at + len(block), before + int(so_far[-1])
+    return sums
+
+
+def id_blocks(ids: np.ndarray) -> Iterator[np.ndarray]:
+    return (ids[at : at + BLOCK_IDS] for at in range(0, len(ids), BLOCK_IDS))
+
+
 def as_lists(rows: pa.Array) -> pa.Array:
     """The same rows as list<int32>."""
     ids, ends = packed_ids(rows)
@@ -59,11 +80,11 @@ def _unpack(rows: pa.Array) -> pa.Array:
 @F.arrow_udf(T.LongType())
 def _line_bytes(rows: pa.Array, n_real: pa.Array) -> pa.Array:
     ids, ends = packed_ids(rows)
-    digits = np.concatenate(([0], np.cumsum(np.searchsorted(_DECIMAL_STEPS, ids, "right") + 1)))
+    digits = sums_at(ends, (np.searchsorted(_DECIMAL_STEPS, block, "right") + 1 for block in id_blocks(ids)))
     size, real = np.diff(ends), n_real.to_numpy()
     commas = np.maximum(size - 1, 0)
     flags = np.maximum(2 * size - 1, 0) + np.maximum(2 * real - 1, 0)
-    return pa.array(digits[ends[1:]] - digits[ends[:-1]] + commas + flags + _EMPTY_LINE)
+    return pa.array(np.diff(digits) + commas + flags + _EMPTY_LINE)
 
 
 def pack_ids(ids: Column | str) -> Column:

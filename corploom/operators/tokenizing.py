@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corploom.functions.batches import small_batches
 from corploom.functions.longest_match import LongestMatch, TokenBytes
 from corploom.functions.packed_ids import pack_ids, packed_array, packed_ids
 from corploom.sources.vocabulary import MAX_VOCABULARY_BYTES, decoding_table, encoding_table
@@ -26,6 +27,7 @@ class VocabularyTokenizer:
     """
 
     def __init__(self, vocab: DataFrame, max_bytes: int = MAX_VOCABULARY_BYTES):
+        small_batches(vocab.sparkSession)
         self.table = encoding_table(vocab, max_bytes)
         matcher = vocab.sparkSession.sparkContext.broadcast(LongestMatch(self.table))
 
@@ -122,6 +124,7 @@ def detokenize_corpus(
     df: DataFrame, vocab: DataFrame, ids: str = "input_ids", out: str = "text", as_text: bool = True
 ) -> DataFrame:
     """Joined token bytes of each row, as strict UTF-8 text or as binary. Unknown ids fail."""
+    small_batches(df.sparkSession)
     tokens = df.sparkSession.sparkContext.broadcast(TokenBytes(decoding_table(vocab)))
 
     @F.arrow_udf("string" if as_text else "binary")
@@ -142,6 +145,7 @@ def detokenize_chunks(rows: DataFrame, vocab: DataFrame, out: str = "text") -> D
     byte before them in their split, and unfinished characters at its end, fail as they do in
     `detokenize_corpus`.
     """
+    small_batches(rows.sparkSession)
     tokens = rows.sparkSession.sparkContext.broadcast(TokenBytes(decoding_table(vocab)))
 
     @F.arrow_udf("own binary, lead binary")

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from corploom.functions.batches import small_batches
 from corploom.functions.keys import with_content_keys
 from corploom.functions.packed_ids import id_count, line_bytes
 from corploom.operators import mixing
@@ -117,6 +118,8 @@ def tokenized_stage(
     """
     if len({source.name for source in sources}) != len(sources):
         raise ValueError("source names must be unique")
+    for source in sources[:1]:
+        small_batches(source.rows.sparkSession)
     if stage_path is not None and spec is None:
         spec = tokenizer_spec(tokenizer)
     by_name = {}
@@ -201,6 +204,7 @@ def pack(
 def export(df: DataFrame, fmt: str, path: str, **options) -> DataFrame | None:
     """Write ordered rows as `json`, `parquet`, `arrow` shards or a token `store`. `path` must be
     new or empty."""
+    small_batches(df.sparkSession)
     if fmt == "json":
         refuse_filled(df.sparkSession, path)
         rows = ordered_rows(df, **options).select(*COLUMNS)

@@ -220,3 +220,54 @@ def test_runs_of_one_letter_do_not_meet():
         expected = [3] * (size // 7) + [2] * (size % 7 // 3) + [1] * (size % 7 % 3) + [4]
         assert match.match(text).tolist() == expected
         assert match.match(text * 2).tolist() == expected * 2
+
+
+def test_arrays_beside_the_ids_stay_small():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from corploom.functions.longest_match import TokenBytes
+
+    size, rows = 3_000_000, 1000
+    ids = pa.array(np.arange(size, dtype=np.int32) % 256 + 1)
+    ends = pa.array(np.r_[0, 0, np.linspace(0, size, rows).astype(np.int32)[1:], size].astype(np.int32))
+    lists = pa.ListArray.from_arrays(ends, ids)
+    tokens = TokenBytes({i + 1: bytes([i]) for i in range(256)})
+    tracemalloc.start()
+    joined = tokens(lists)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = bytes(i % 256 for i in range(256)) * (size // 256 + 1)
+    edges = ends.to_pylist()
+    assert joined.to_pylist() == [whole[a:b] for a, b in zip(edges, edges[1:])]
+    assert peak < 30 * (1 << 20) + 6 * size
+
+
+def test_line_sizes_across_blocks_of_ids(monkeypatch):
+    import numpy as np
+
+    from corploom.functions import packed_ids
+
+    monkeypatch.setattr(packed_ids, "BLOCK_IDS", 3)
+    ids, ends = np.array([1, 22, 333, 4, 55, 6, 7, 8888]), np.array([0, 0, 2, 3, 3, 6, 8, 8])
+    sums = packed_ids.sums_at(ends, packed_ids.id_blocks(ids))
+    assert sums.tolist() == [ids[:e].sum() for e in ends]
+    assert packed_ids.sums_at(np.array([0, 0]), packed_ids.id_blocks(ids[:0])).tolist() == [0, 0]
+
+
+def test_texts_come_in_small_batches(spark, byte_vocab):
+    from corploom.operators.tokenizing import VocabularyTokenizer
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        VocabularyTokenizer(byte_vocab)
+        assert spark.conf.get(name) == "1000"
+        spark.conf.set(name, "77")  # a setting of one's own stays
+        VocabularyTokenizer(byte_vocab)
+        assert spark.conf.get(name) == "77"
+    finally:
+        spark.conf.set(name, before)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corploom.functions.packed_ids import line_bytes
+from corploom.functions.packed_ids import line_bytes, moved_small
 from corploom.operators.lengths import length_places
 from corploom.operators.ordering import SHUFFLE_SEED, shuffle_rows
 from corploom.operators.rechunking import CHUNK_SIZE, SPLITS, rechunk
@@ -29,12 +29,14 @@ def concat_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
 
 def mix_concat(df: DataFrame, seed: int = SHUFFLE_SEED) -> DataFrame:
     """Sources in order, each one shuffled; adds `pos` and `start`."""
-    return shuffle_rows(df, ["source_ord", "row_key"], seed, ["source_ord"], _TOKEN_SUMS)
+    keys = ["source_ord", "row_key"]
+    return moved_small(df, lambda rows: shuffle_rows(rows, keys, seed, ["source_ord"], _TOKEN_SUMS))
 
 
 def mix_shuffle(df: DataFrame, seed: int = SHUFFLE_SEED) -> DataFrame:
     """One shuffle over all sources; adds `pos` and `start`."""
-    return shuffle_rows(df, ["source_ord", "row_key"], seed, None, _TOKEN_SUMS)
+    keys = ["source_ord", "row_key"]
+    return moved_small(df, lambda rows: shuffle_rows(rows, keys, seed, None, _TOKEN_SUMS))
 
 
 def mix_inverse(
@@ -42,7 +44,8 @@ def mix_inverse(
 ) -> DataFrame:
     """Rechunk the sources in order first, then shuffle the chunks; `pos` is the new place."""
     chunks = rechunk(mix_concat(df, seed), size, splits, df)
-    return shuffle_rows(chunks.drop("pos"), ["split_id", "chunk_id"], seed)
+    keys = ["split_id", "chunk_id"]
+    return moved_small(chunks.drop("pos"), lambda rows: shuffle_rows(rows, keys, seed))
 
 
 def mix_by_length(df: DataFrame, length: Column | None = None, **options) -> DataFrame:

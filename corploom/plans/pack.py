@@ -23,7 +23,7 @@ from corploom.sinks.json_lines import COLUMNS
 from corploom.sinks.token_rows import ordered_rows, train_test
 from corploom.sinks.token_store import write_token_store
 from corploom.sources.datasets import keyed_rows
-from corploom.staging import stage
+from corploom.staging import stage, write_stage
 
 MODES = ("shuffle", "concat", "dist_by_length")
 LINE_LENGTH = "len"
@@ -81,7 +81,7 @@ def reused_source(
     if not stage_reusable(path, rows, columns, spec):
         made = prepare_source(source, tokenizer, partitions)
         drop_fingerprint(rows.sparkSession, path)
-        made.write.mode("overwrite").parquet(path)
+        write_stage(made, path, "overwrite")
         save_fingerprint(path, rows, columns, spec)
     return source.rows.sparkSession.read.schema("row_key string, tokens binary").parquet(path)
 
@@ -203,12 +203,13 @@ def pack(
 
 def export(df: DataFrame, fmt: str, path: str, **options) -> DataFrame | None:
     """Write ordered rows as `json`, `parquet`, `arrow` shards or a token `store`. `path` must be
-    new or empty."""
+    new or empty. Files of JSON lines are compressed if `compression` says how."""
     small_batches(df.sparkSession)
     if fmt == "json":
         refuse_filled(df.sparkSession, path)
+        compression = options.pop("compression", None)
         rows = ordered_rows(df, **options).select(*COLUMNS)
-        return rows.write.mode("overwrite").json(path)
+        return rows.write.mode("overwrite").json(path, compression=compression)
     if fmt == "parquet":
         refuse_filled(df.sparkSession, path)
         return ordered_rows(df, **options).write.mode("overwrite").parquet(path)

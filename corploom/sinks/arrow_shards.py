@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corploom.functions.packed_ids import as_lists, line_bytes
+from corploom.functions.packed_ids import as_lists, line_bytes, moved_small
 from corploom.sinks.files import AtomicFile, check_files, new_folder, open_folder, worker_uri
 from corploom.sinks.shards import SHARD_BYTES, each_shard, in_shards, with_shards
 from corploom.sinks.token_rows import packed_rows, train_test
@@ -99,7 +99,7 @@ def _write_shards(staged: DataFrame, path: str, shard_bytes: int, pad_token_type
         def write(batches: Iterator[pa.RecordBatch], split: str = split) -> Iterator[pa.RecordBatch]:
             return each_shard(batches, lambda shard: _ShardFile(target, split, shard, pad_token_types))
 
-        columns = in_shards(part).select("shard", "tokens", "n_real")
+        columns = moved_small(part, in_shards).select("shard", "tokens", "n_real")
         reports.append(columns.mapInArrow(write, MANIFEST))
     reports[0].unionByName(reports[1]).write.mode("overwrite").parquet(f"{path}/manifest")
     manifest = read_manifest(spark, path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corploom.functions.arithmetic import div
-from corploom.functions.packed_ids import id_count, pack_ids
+from corploom.functions.packed_ids import id_count, moved_small, pack_ids
 from corploom.operators.ordering import write_order
 from corploom.operators.rechunking import with_chunk_masks, with_ids
 from corploom.operators.tokenizing import with_masks
@@ -32,7 +32,7 @@ def ordered_rows(df: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame
     staged = stage(packed_rows(df), "export")
     files = max(1, -(-staged.count() // rows_per_file))
     file = div(F.col("pos"), rows_per_file).cast("int")
-    placed = staged.repartitionById(files, file).sortWithinPartitions("pos")
+    placed = moved_small(staged, lambda rows: rows.repartitionById(files, file).sortWithinPartitions("pos"))
     return export_rows(placed)
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corploom.functions.keys import with_content_keys
-from corploom.operators.mixing import concat_sources
+from corploom.operators.mixing import concat_sources, mix_concat, mix_shuffle
 from corploom.operators.ordering import shuffle_rows
 from corploom.operators.running_totals import running_totals_by_position, with_running_totals
 from corploom.staging import remove_stages, stage, stage_root
@@ -82,3 +82,29 @@ def test_stages_lie_in_the_shared_folder(spark):
     assert path.startswith(stage_root(spark)) and staged.count() == 3
     remove_stages(spark)
     assert not os.path.exists(path) and os.path.exists(stage_root(spark))
+
+
+def test_packed_ids_move_compressed(spark):
+    from corploom.functions.packed_ids import moved_small
+
+    rows = [(i, None if i == 3 else bytearray((i % 50 + 1).to_bytes(4, "little") * 1000 * (i % 4))) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int, tokens binary")
+    seen = []
+    moved = moved_small(df, lambda inner: seen.append(inner) or inner.repartition(3, "k"))
+    assert dict(map(tuple, moved.collect())) == dict(rows)
+    size = F.sum(F.octet_length("tokens"))
+    assert seen[0].agg(size).first()[0] * 20 < df.agg(size).first()[0]
+    plan = moved_small(df, lambda inner: inner.repartition(3, "k")).select("k")
+    assert "ArrowEvalPython" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_mixed_tokens_shuffle_compressed(spark):
+    df = spark.range(50).selectExpr(
+        "cast(0 as int) source_ord", "'s' source", "cast(id as string) row_key", "cast(1000 as int) n_tokens",
+        "cast(repeat('a\\\\0\\\\0\\\\0', 1000) as binary) tokens",
+    )
+    for mix in (mix_concat, mix_shuffle):
+        mixed = mix(df)
+        assert mixed.select("tokens").distinct().count() == 1
+        plan = mixed._jdf.queryExecution().executedPlan().toString()
+        assert "_unsqueeze" in plan and "_squeeze" in plan[plan.index("Exchange") :]

@@ -39,7 +39,7 @@ class Words:
     texts, each with a 64-bit hash of its bytes after mapping them by `folded`."""
 
     def __init__(self, data: np.ndarray, edges: np.ndarray, letters: np.ndarray, folded: np.ndarray):
-        self.data = folded[data]
+        self.data = data if folded is AS_IS else folded[data]
         inside = letters[data]
         cut = np.zeros(len(data) + 1, bool)
         cut[edges] = True

@@ -1,4 +1,4 @@
-"""Substring dedup with compressed FM-indexes over content-routed shards.
+"""Substring dedup with FM-indexes over content-routed shards.
 
 A window is `WINDOW` consecutive words of one document. Words covered by a window whose words also
 start in a document with a smaller id are removed; windows are judged on the input.
@@ -11,7 +11,7 @@ of the documents begin with, window by window to the shard of the window's own w
 places of a window meet in one shard and no shard grows with a frequent passage.
 
 Each shard is indexed: suffixes are sorted by as many words as patterns have, the Burrows-Wheeler
-transform is kept in a wavelet matrix of packed bits, and all its stretches are streamed through
+transform is kept as the places of each word in it, and all distinct windows are streamed through
 backward search at once. The interval of a window holds all its places; the smallest document id
 in it owns the window. Owners are told the windows they keep, in rows that grow with distinct
 windows and not with copies; every other document removes its shared windows.
@@ -44,58 +44,48 @@ _MERGED = 200_000  # stretches held by a task to merge equal ones
 _SHARD_WORDS = 500_000  # words indexed at a time; groups of one route are not split
 
 
-class WaveletMatrix:
-    """Ranks of symbols in a sequence: one packed bit row per binary digit."""
-
-    def __init__(self, values: np.ndarray, symbols: int):
-        self.levels = []
-        for digit in reversed(range(max(1, int(symbols - 1).bit_length()))):
-            bits = (values >> digit) & 1
-            padded = np.zeros((len(bits) // 64 + 1) * 64, np.uint8)
-            padded[: len(bits)] = bits
-            words = np.packbits(padded, bitorder="little").view(np.uint64)
-            ones = np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])
-            self.levels.append((digit, words, ones, len(bits) - int(bits.sum())))
-            values = np.concatenate([values[bits == 0], values[bits == 1]])
-        every = np.arange(symbols)
-        self.begins = self._down(every, np.zeros(symbols, np.int64))
-
-    def _down(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
-        for digit, words, ones, zeros in self.levels:
-            block = place >> 6
-            low = (np.uint64(1) << (place & 63).astype(np.uint64)) - np.uint64(1)
-            set_bits = ones[block] + np.bitwise_count(words[block] & low)
-            place = np.where((symbol >> digit) & 1 == 1, zeros + set_bits, place - set_bits)
-        return place
-
-    def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """How often each symbol stands before each place."""
-        return self._down(symbol, place) - self.begins[symbol]
-
-
 class FMIndex:
-    """Backward search in a sequence of symbols for patterns of less than `_SORTED` of them."""
+    """Backward search in a sequence of symbols for stretches of it with less than `_SORTED` of them.
+
+    The transform is kept as the sorted places of each symbol, all in one array: how many symbols are
+    smaller or stand before a place is one binary search, whatever the number of symbols. Sorting
+    leaves the intervals of one, two, four and eight symbols, from which a search starts; where one suffix
+    is left, the suffix before it is looked up."""
 
     def __init__(self, sequence: np.ndarray, symbols: int):
+        self.seeds = []
         rank, span = sequence.astype(np.int64), 1
         while span < _SORTED:
+            self.seeds.append((span, rank, np.concatenate([[0], np.cumsum(np.bincount(rank, minlength=symbols))])))
             after = np.zeros_like(rank)
             after[: len(rank) - span] = rank[span:] + 1
             rank = np.unique(rank * (int(rank.max(initial=0)) + 2) + after, return_inverse=True)[1]
             span *= 2
         self.suffixes = np.argsort(rank, kind="stable")
-        self.before = np.concatenate([[0], np.cumsum(np.bincount(sequence, minlength=symbols))])
-        self.last = WaveletMatrix(sequence[self.suffixes - 1], symbols)
+        last = sequence[self.suffixes - 1].astype(np.int64)
+        self.width = len(sequence) + 1
+        self.places = np.sort(last * self.width + np.arange(len(sequence)))
+        row = np.empty_like(self.suffixes)
+        row[self.suffixes] = np.arange(len(sequence))
+        self.onward = row[self.suffixes - 1]
+
+    def _down(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.places, symbol * self.width + place)
 
     def intervals(self, sequence: np.ndarray, ends: np.ndarray, size: int):
-        """Suffix intervals [low, high) of the patterns of `size` symbols that end before the
+        """Suffix intervals [low, high) of the stretches of `size` symbols that end before the
         places `ends`, matched from their last symbol backwards."""
-        low = np.zeros(len(ends), np.int64)
-        high = np.full(len(ends), len(self.suffixes))
-        for step in range(1, size + 1):
+        span, rank, before = next(seed for seed in reversed(self.seeds) if seed[0] <= size)
+        seed = rank[ends - span]
+        low, high = before[seed], before[seed + 1]
+        for step in range(span + 1, size + 1):
             symbol = sequence[ends - step]
-            low = self.before[symbol] + self.last.rank(symbol, low)
-            high = self.before[symbol] + self.last.rank(symbol, high)
+            several = np.flatnonzero(high - low > 1)
+            begin = self._down(symbol[several], low[several])
+            end = self._down(symbol[several], high[several])
+            low = self.onward[low]
+            high = low + 1
+            low[several], high[several] = begin, end
         return low, high
 
 
@@ -111,11 +101,13 @@ def owners(pieces: list[bytes], documents: np.ndarray) -> tuple[np.ndarray, np.n
     place_document = np.zeros(len(sequence), documents.dtype)
     place_document[at] = documents[text]
     index = FMIndex(sequence, len(names) + 1)
+    # Each distinct window is searched once.
     first = _windows(words)
-    low, high = index.intervals(sequence, at[first] + WINDOW, WINDOW)
+    hashes, which = np.unique(words.grams(WINDOW)[first], return_index=True)
+    low, high = index.intervals(sequence, at[first[which]] + WINDOW, WINDOW)
     # Windows are of one length, so intervals are equal or apart.
     low, which = np.unique(low, return_index=True)
-    hashes, high = words.grams(WINDOW)[first[which]], high[which]
+    hashes, high = hashes[which], high[which]
     held = place_document[index.suffixes]
     edges = np.stack([low, high], 1).ravel()
     smallest = np.minimum.reduceat(np.append(held, held[-1:]), edges)[::2] if len(low) else held[:0]
@@ -312,6 +304,9 @@ def without_repeats(
         source.where(key.isNotNull())
         .select(row_id, text)
         .mapInArrow(_anchor_rows(row_id, text), "anchor bigint, _id bigint")
+        # Moved once, to be counted and to be joined with the counts: both readers keep to one filter.
+        .where("anchor is not null and _id is not null")
+        .repartition("anchor")
     )
     shared = (
         anchors.groupBy("anchor")

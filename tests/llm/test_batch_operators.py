@@ -267,6 +267,32 @@ def test_fm_index_counts():
             assert n == sum(text.startswith(part, k) for k in range(len(text)))
 
 
+def test_anchors_move_once(make_docs, capsys):
+    """Counting the anchors and joining the counts read one exchange."""
+    repeats.without_repeats(make_docs([(1, "a b c"), (2, "a b c")])).explain()
+    plan = capsys.readouterr().out
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning(anchor" in line]
+    assert moves and all("REPARTITION_BY_COL" in line for line in moves)
+    lines = [line.strip(" :+-") for line in plan.splitlines()]
+    # What is below the exchange: with equal filters the plans are the same, and one is reused.
+    filters = [b for a, b in zip(lines, lines[1:]) if a.startswith("Exchange hashpartitioning(anchor")]
+    assert len({re.sub(r"#\d+L?", "", f) for f in filters}) == 1
+
+
+def test_windows_searched_once(monkeypatch):
+    """A window that many stretches share is searched in the index once, from a sorted seed."""
+    asked = []
+    plain = repeats.FMIndex.intervals
+    monkeypatch.setattr(
+        repeats.FMIndex, "intervals", lambda self, s, ends, size: asked.append(len(ends)) or plain(self, s, ends, size)
+    )
+    shared = " ".join(f"w{k}" for k in range(14))
+    pieces = [f"{shared} x{k}".encode() for k in range(50)]
+    hashes, smallest = repeats.owners(pieces, np.arange(50) + 7)
+    assert asked == [2 + 50]
+    assert sorted(smallest.tolist()) == sorted([7, 7, *range(7, 57)]) and len(set(hashes.tolist())) == 52
+
+
 # Near duplicates
 
 

@@ -23,6 +23,7 @@ SHARD_SCHEMA = pa.schema(
         ("attention_mask", pa.list_(pa.int8())),
     ]
 )
+_TASK_BYTES = 64 << 20  # of shard files, read by a task
 MANIFEST = "split string, shard bigint, file string, n_rows bigint, n_bytes bigint"
 
 
@@ -142,6 +143,10 @@ def read_arrow_shards(spark: SparkSession, path: str, split: str = "train") -> D
                             [*place, *rows.columns], ["shard", "row", *SHARD_SCHEMA.names]
                         )
 
-    listed = read_manifest(spark, path).where(F.col("split") == split).select("shard", "file")
+    listed = read_manifest(spark, path).where(F.col("split") == split)
+    files, size = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    # Left to adaptive execution, a list of names is so small that one task would read all files.
+    tasks = max(1, min(files, max(spark.sparkContext.defaultParallelism, size // _TASK_BYTES)))
+    dealt = listed.select("shard", "file").repartitionById(tasks, (F.col("shard") % tasks).cast("int"))
     lists = "input_ids array<int>, token_type_ids array<tinyint>, attention_mask array<tinyint>"
-    return listed.repartition("shard").mapInArrow(read, f"shard bigint, row bigint, {lists}")
+    return dealt.mapInArrow(read, f"shard bigint, row bigint, {lists}")

@@ -115,6 +115,16 @@ def test_arrow_shards(spark, ordered_ids, tmp_path):
     assert [r.input_ids for r in first] == [expected[0][0]]
 
 
+def test_shards_are_read_by_many_tasks(spark, ordered_ids, tmp_path):
+    """A list of file names is small, the files are not: each task reads its share of them."""
+    path = str(tmp_path / "out")
+    files = export(ordered_ids, "arrow", path, shard_bytes=100).where("split = 'train'").count()
+    back = read_arrow_shards(spark, path).select("shard", F.spark_partition_id().alias("task")).distinct()
+    tasks = {row.shard: row.task for row in back.collect()}
+    wanted = min(files, spark.sparkContext.defaultParallelism)
+    assert wanted > 1 and len(set(tasks.values())) == wanted and len(tasks) == files
+
+
 def test_json_lines_in_order(spark, ordered_ids, tmp_path):
     path = str(tmp_path / "json")
     export(ordered_ids([[i, i] for i in range(50)]), "json", path)

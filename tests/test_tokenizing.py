@@ -271,3 +271,23 @@ def test_texts_come_in_small_batches(spark, byte_vocab):
         assert spark.conf.get(name) == "77"
     finally:
         spark.conf.set(name, before)
+
+
+def test_gram_counts(monkeypatch):
+    """Runs of characters side by side, as the regular expression finds them; also where their
+    numbers do not fit 64 bits, and over several blocks."""
+    import re
+    from collections import Counter
+
+    from corploom.functions import grams
+
+    many = "".join(chr(0x4E00 + k % 3000) for k in range(6500))
+    texts = ["", None, "a", "ab", "abcabcabcabcab\nab", "é😀é😀é😀x", many, "ab" * 40]
+    expected = Counter(g for t in texts if t for n in range(2, 7) for g in re.findall(f"(?s).{{{n}}}", t))
+    for block in (grams._CHARS, 20):
+        monkeypatch.setattr(grams, "_CHARS", block)
+        found = Counter()
+        for batch in grams.gram_counts([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])]):
+            for row in batch.to_pylist():
+                found[row["t"]] += row["n"]
+        assert found == expected

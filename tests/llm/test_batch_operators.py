@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corploom.llm import batches, bpe, decontamination, near_duplicates, pii, repeats
-from corploom.llm.boosting import fit
+from corploom.llm.boosting import Boosted, boost, fit, level_sums
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -461,6 +461,46 @@ def test_boosted_spans_add_and_never_take_away(model):
         assert sorted(strict) == sorted(pii.strict_spans(t or ""))
 
 
+def test_model_reads_every_candidate(spark, make_docs, monkeypatch):
+    """5,000 and more distinct candidates all count, in the trees and in the thresholds."""
+    texts = [f"write to user{k}@example{k % 97}.org or call +1 (743) 555-{k:04d}, 12345678{k:05d}" for k in range(2000)]
+    rows = {e["digest"]: e for t in texts for e in pii._examples(t)}
+    fitted = [e for e in rows.values() if int(e["digest"][:2], 16) >= 77]
+    forms = [(1 + len(pii.spellings(e["kind"], e["found"])), len(pii.decoys(e["digest"])), e["label"]) for e in fitted]
+    asked = []
+    monkeypatch.setattr(pii, "boost", lambda n, positives, ask: asked.append((n, positives)) or Boosted(0.0, ()))
+    seen = []
+    plain = pii._bound
+    monkeypatch.setattr(pii, "_bound", lambda scores, n, hits: seen.append(int(n.sum())) or plain(scores, n, hits))
+    pii.fit_model(make_docs([(k, t) for k, t in enumerate(texts * 2)]))
+    assert len(rows) > 5000
+    assert asked == [(sum(f + d for f, d, _ in forms), sum(f for f, _, label in forms if label))]
+    held = [e for e in rows.values() if int(e["digest"][:2], 16) < 77]
+    assert sum(seen) == sum(1 + len(pii.spellings(e["kind"], e["found"])) + len(pii.decoys(e["digest"])) for e in held)
+
+
+def test_boosting_adds_up_parts():
+    """Sums of parts of the rows, with counts in place of copies, give the tree of all rows."""
+    rnd = np.random.default_rng(4)
+    x = rnd.integers(0, 9, (600, 5)).astype(np.uint16)
+    y = ((x[:, 0] > 4) & (x[:, 2] < 6)).astype(int)
+    whole = fit(np.repeat(x, 2, axis=0), np.repeat(y, 2))
+
+    def ask(*tree):
+        parts = [level_sums(x[a::3], y[a::3], np.full(200, 2), *tree) for a in range(3)]
+        sums = {}
+        for part in parts:
+            for node, feature, value, g, h in zip(*part):
+                old = sums.get((node, feature, value), (0, 0))
+                sums[node, feature, value] = old[0] + g, old[1] + h
+        keys = sorted(sums)
+        return tuple(np.array(c) for c in [*zip(*keys), *zip(*[sums[k] for k in keys])])
+
+    added = boost(1200, int(2 * y.sum()), ask)
+    assert added.scores(x).tolist() == whole.scores(x).tolist()
+    assert ((whole.scores(x) > 0) == y).mean() > 0.98
+
+
 def test_pii_frames(spark, edge_docs, no_docs, model, make_docs):
     found = pii.with_pii(edge_docs, model)
     clean = pii.redact(found)

@@ -118,7 +118,8 @@ def test_arrow_shards(spark, ordered_ids, tmp_path):
 def test_shards_are_read_by_many_tasks(spark, ordered_ids, tmp_path):
     """A list of file names is small, the files are not: each task reads its share of them."""
     path = str(tmp_path / "out")
-    files = export(ordered_ids, "arrow", path, shard_bytes=100).where("split = 'train'").count()
+    chunks = rechunk(ordered_ids([[i] * 7 for i in range(1, 40)]), 8, 3)
+    files = export(chunks, "arrow", path, shard_bytes=300).where("split = 'train'").count()
     back = read_arrow_shards(spark, path).select("shard", F.spark_partition_id().alias("task")).distinct()
     tasks = {row.shard: row.task for row in back.collect()}
     wanted = min(files, spark.sparkContext.defaultParallelism)

@@ -354,18 +354,20 @@ def _component(rows: list[dict]) -> pa.RecordBatch:
     leaves = [rows[i]["n_leaves"] + (rows[i]["n_children"] == 0) for i in order]
     saved = [rows[i]["saved_tokens"] + (rows[i]["n_convs"] - 1) * rows[i]["size"] for i in order]
     leaves, saved = subtree_totals(parent, end, [np.array(leaves, np.int64), np.array(saved, np.int64)])
-    names = [f.split()[0] for f in _TOTALLED.split(", ")]
     made = [
         {**rows[i], "n_leaves": int(a), "saved_tokens": int(s), "top": bool(p < 0)}
         for i, a, s, p in zip(order, leaves, saved, parent)
     ]
-    return pa.RecordBatch.from_pylist([{name: row[name] for name in names} for row in made])
+    # Types are given: where no conversation ends at a node of a component, they can't be told from its rows.
+    return pa.RecordBatch.from_pylist(made, _TOTALLED_TYPES)
 
 
 _TOTALLED = (
     "key binary, upper binary, depth bigint, conv_id bigint, n_convs bigint, n_children bigint, "
     "n_leaves bigint, saved_tokens bigint, ends string, top boolean"
 )
+_ARROW = {"binary": pa.binary(), "bigint": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
+_TOTALLED_TYPES = pa.schema([(name, _ARROW[kind]) for name, kind in (f.split() for f in _TOTALLED.split(", "))])
 
 
 def _border_totals(partials: DataFrame) -> DataFrame | None:

@@ -136,3 +136,18 @@ def test_equal_conversations_meet_in_blocks(spark):
     ends = ",".join(map(str, range(20_000)))
     assert found.n_convs == 20_000 and found.saved_tokens == 5 * 19_999
     assert found.ends_sha256 == hashlib.sha256(ends.encode()).hexdigest()
+
+
+def test_border_without_ends(spark):
+    """Several blocks in each of several partitions: in some components of border nodes no conversation
+    ends, in others some do, and a task has both."""
+    rows = [(100 * a + b, t, "user", f"{a} {b * t}") for a in range(10) for b in range(8) for t in range(2)]
+    rows += [(10_000 + a, 0, "user", f"{a} 0") for a in range(0, 10, 3)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    try:
+        assert found_rows(prefix_trie(conversation_paths(df), 5)) == nodes_of(conversations_of(rows))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
